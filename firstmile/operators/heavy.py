@@ -1,0 +1,34 @@
+"""Splitting off the few users that own a large part of the transactions.
+
+A join on the user id sends all rows of one user to one task. Users above the
+share in `Rules` are therefore joined apart, by broadcasting their onboarding
+rows. At most `heavy_share` users can each own more than 1/heavy_share of the
+rows, so that broadcast is bounded whatever the size of the data, and no other
+user can overload a task. Both sides of the split are exact and disjoint.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from firstmile.rules import Rules
+
+
+def heavy_users(transactions: DataFrame, rules: Rules) -> DataFrame:
+    """Ids of heavy users: fewer than `rules.heavy_share` rows."""
+    per_user = transactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    total = per_user.agg(F.sum("n").alias("total")).scalar()
+    enough = F.col("n") >= rules.heavy_floor
+    above_share = F.col("n") * F.lit(rules.heavy_share) > total
+    return per_user.filter(
+        enough & above_share & F.col("user_id").isNotNull()
+    ).select("user_id")
+
+
+def only(df: DataFrame, heavy: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(heavy), "user_id", "left_semi")
+
+
+def without(df: DataFrame, heavy: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(heavy), "user_id", "left_anti")
