@@ -261,14 +261,18 @@ def users_with_segment(t):
 # --- metrics -----------------------------------------------------------------
 
 
+def _daily(t):
+    return activity.daily_activity(t.transactions, METRIC_RULES)
+
+
 @_query
 def transaction_summary_user(t):
-    return activity.transaction_summary_user(t.transactions)
+    return activity.user_summary(_daily(t))
 
 
 @_query
 def user_segments(t):
-    return activity.user_segments(t.transactions, METRIC_RULES)
+    return activity.user_segments(_daily(t), METRIC_RULES)
 
 
 @_query
@@ -387,7 +391,7 @@ def weekly_metrics(t):
 
 @_query
 def contract_user_segments(t):
-    segments = activity.user_segments(t.transactions, METRIC_RULES)
+    segments = activity.user_segments(_daily(t), METRIC_RULES)
     return schemas.conform(segments, schemas.USER_SEGMENTS)
 
 
@@ -413,8 +417,7 @@ def contract_weekly_metrics(t):
 
 @_query
 def transaction_summary_daily(t):
-    daily = activity.transaction_summary_daily(t.transactions, METRIC_RULES)
-    return schemas.conform(daily, schemas.TRANSACTION_SUMMARY)
+    return schemas.conform(activity.daily_summary(_daily(t)), schemas.TRANSACTION_SUMMARY)
 
 
 # --- specified extras --------------------------------------------------------

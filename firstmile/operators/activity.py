@@ -68,13 +68,16 @@ def _per_user(daily: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def transaction_summary_daily(transactions: DataFrame, rules: Rules) -> DataFrame:
-    """Counts per user and day."""
-    daily = _per_day(
+def daily_activity(transactions: DataFrame, rules: Rules) -> DataFrame:
+    """One row per user and day: the base of both summaries and of segments."""
+    return _per_day(
         transactions,
         F.count_if(F.col("type").isin(*rules.payment_types)).alias("payments"),
         F.count_if(F.col("type").isin(*rules.collection_types)).alias("collections"),
     )
+
+
+def daily_summary(daily: DataFrame) -> DataFrame:
     return daily.select(
         "user_id",
         "transaction_date",
@@ -85,9 +88,9 @@ def transaction_summary_daily(transactions: DataFrame, rules: Rules) -> DataFram
     )
 
 
-def transaction_summary_user(transactions: DataFrame) -> DataFrame:
+def user_summary(daily: DataFrame) -> DataFrame:
     """All-time counts and bounds per user."""
-    return _per_user(_per_day(transactions)).select(
+    return _per_user(daily).select(
         "user_id",
         "total_transactions",
         F.coalesce(F.bit_count("type_mask"), F.lit(0)).alias("unique_transaction_types"),
@@ -97,9 +100,9 @@ def transaction_summary_user(transactions: DataFrame) -> DataFrame:
     )
 
 
-def user_segments(transactions: DataFrame, rules: Rules) -> DataFrame:
+def user_segments(daily: DataFrame, rules: Rules) -> DataFrame:
     """Segment and all-time summary of every user with a valid transaction."""
-    users = _per_user(_per_day(transactions))
+    users = _per_user(daily)
     return users.filter(_has_any(F.col("type_mask"), rules.valid_types)).select(
         "user_id",
         segment_of(F.col("type_mask"), rules).alias("user_segment"),
@@ -202,15 +205,22 @@ def with_activity(
     """Onboarding users, one row each, with segment and activity columns.
 
     Activity is NULL for users without transactions. Light users: transactions
-    are shuffled by user once and everything up to the result reuses that
-    partitioning. Heavy users: see operators.heavy.
+    are shuffled by user once, and everything up to the result reuses that
+    partitioning. Heavy users (see operators.heavy) are summed apart and come
+    back as a broadcast of at most one row each.
     """
     heavy = heavy_users(transactions, rules)
-    light = without(onboarding, heavy)
-    dense = only(onboarding, heavy)
-    of_light = _activity(without(transactions, heavy), _logins(light), rules)
-    of_dense = _activity(transactions, F.broadcast(_logins(dense)), rules)
-    both = light.join(of_light, "user_id", "left").unionAll(
-        dense.join(of_dense, "user_id", "left")
-    )
-    return both.withColumn("user_segment", segment_of(F.col("type_mask"), rules))
+    logins = _logins(onboarding)
+    of_light = _activity(without(transactions, heavy), logins, rules)
+    of_heavy = _activity(transactions, F.broadcast(only(logins, heavy)), rules)
+    measures = [c for c in of_light.columns if c != "user_id"]
+    renamed = of_heavy.select("user_id", *[F.col(c).alias(f"heavy_{c}") for c in measures])
+    # No user is in both, so the first non-null value is the only one.
+    merged = {c: F.coalesce(F.col(c), F.col(f"heavy_{c}")) for c in measures}
+    return (
+        onboarding.join(of_light, "user_id", "left")
+        .join(F.broadcast(renamed), "user_id", "left")
+        .withColumns(merged)
+        .drop(*[f"heavy_{c}" for c in measures])
+        .withColumn("user_segment", segment_of(F.col("type_mask"), rules))
+    )

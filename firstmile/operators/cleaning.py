@@ -72,13 +72,18 @@ def keep_all(df: DataFrame, kept: list[Rule]) -> DataFrame:
     return reduce(lambda out, rule: out.filter(rule.keep), kept, df)
 
 
-def ledger(df: DataFrame, kept: list[Rule]) -> DataFrame:
-    """Rows before, removed by and after each rule, in one pass over `df`."""
+def ledger_counts(kept: list[Rule]) -> list[Column]:
+    """Aggregates `after_0`, `after_1`, ...: rows read, rows left after each rule."""
     survives = F.lit(True)
-    counts = [F.count(F.lit(1)).cast("bigint").alias("after_0")]
+    counts = [F.count(F.lit(1)).alias("after_0")]
     for i, rule in enumerate(kept, start=1):
         survives = survives & F.coalesce(rule.keep, F.lit(False))
         counts.append(F.count_if(survives).alias(f"after_{i}"))
+    return counts
+
+
+def ledger_rows(counts: DataFrame, kept: list[Rule]) -> DataFrame:
+    """One row per rule from the single row of `ledger_counts`."""
     steps = [
         F.struct(
             F.lit(i).alias("step"),
@@ -89,7 +94,12 @@ def ledger(df: DataFrame, kept: list[Rule]) -> DataFrame:
         )
         for i, rule in enumerate(kept, start=1)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*steps)))
+    return counts.select(F.inline(F.array(*steps)))
+
+
+def ledger(df: DataFrame, kept: list[Rule]) -> DataFrame:
+    """Rows before, removed by and after each rule, in one pass over `df`."""
+    return ledger_rows(df.agg(*ledger_counts(kept)), kept)
 
 
 # --- column conversions and the three tables ---------------------------------
@@ -144,9 +154,12 @@ def onboarding_rules(typed: DataFrame, rules: Rules) -> list[Rule]:
     ]
 
 
+def one_line_address(users: DataFrame) -> DataFrame:
+    return users.withColumn("address", collapse_whitespace(F.col("address")))
+
+
 def clean_users(raw: DataFrame, rules: Rules) -> DataFrame:
-    kept = keep_all(type_users(raw), user_rules(rules))
-    return kept.withColumn("address", collapse_whitespace(F.col("address")))
+    return one_line_address(keep_all(type_users(raw), user_rules(rules)))
 
 
 def clean_transactions(raw: DataFrame, rules: Rules) -> DataFrame:

@@ -1,0 +1,19 @@
+"""Cutting lineage so that a lost executor does not recompute a whole chain."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(df: DataFrame, shared_folder: str) -> DataFrame:
+    """A reliable checkpoint in the folder the session names.
+
+    `shared_folder` is used only where the session names none; on a cluster it
+    must be visible to every executor.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or shared_folder)
+    return df.checkpoint()
