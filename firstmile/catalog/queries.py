@@ -334,6 +334,10 @@ def _user_metrics(t):
     return metrics.user_metrics(t.onboarding, t.transactions, METRIC_RULES)
 
 
+def _user_flags(t):
+    return metrics.user_flags(t.onboarding, t.transactions, METRIC_RULES)
+
+
 @_query
 def user_metrics(t):
     return _user_metrics(t)
@@ -341,24 +345,24 @@ def user_metrics(t):
 
 @_query
 def metric_rates(t):
-    return metrics.metric_rates(_user_metrics(t))
+    return metrics.metric_rates(_user_flags(t))
 
 
 # --- aggregates --------------------------------------------------------------
 
 
 def _cohorts(t):
-    return funnel.cohort_totals(_user_metrics(t))
+    return funnel.cohort_totals(_user_flags(t))
 
 
 @_query
 def funnel_stages(t):
-    return funnel.funnel_stages(_user_metrics(t))
+    return funnel.funnel_stages(_user_flags(t))
 
 
 @_query
 def funnel_overall(t):
-    return funnel.funnel_overall(_user_metrics(t))
+    return funnel.funnel_overall(_user_flags(t))
 
 
 @_query
@@ -430,12 +434,12 @@ def ab_groups(t):
 
 @_query
 def ab_metrics(t):
-    return experiment.ab_metrics(_user_metrics(t), METRIC_RULES)
+    return experiment.ab_metrics(_user_flags(t), METRIC_RULES)
 
 
 @_query
 def treatment_funnel(t):
-    treated = experiment.treatment_only(_user_metrics(t), METRIC_RULES)
+    treated = experiment.treatment_only(_user_flags(t), METRIC_RULES)
     return funnel.funnel_by_dimension(funnel.cohort_totals(treated))
 
 

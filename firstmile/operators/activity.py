@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firstmile.functions import in_onboarding
+from firstmile.functions import at_midnight, in_onboarding, onboarding_end
 from firstmile.operators.heavy import heavy_users, only, without
 from firstmile.rules import INDIVIDUALS, MAX_TYPE_CODE, SELLERS, UNKNOWN, Rules
 
@@ -160,6 +160,22 @@ def _logins(onboarding: DataFrame) -> DataFrame:
     return onboarding.select("user_id", "first_login_dt")
 
 
+def near_windows(
+    onboarding: DataFrame, transactions: DataFrame, rules: Rules
+) -> DataFrame:
+    """Transactions between the first login of all and the last window's end.
+
+    The two bounds are subqueries, so at run time they prune the scan: a cohort
+    of six months does not read years of transactions.
+    """
+    end = onboarding_end(F.col("first_login_dt"), rules.onboarding_days)
+    ends = at_midnight(transactions, end, like="transaction_dt")
+    first = onboarding.agg(F.min("first_login_dt")).scalar()
+    last = onboarding.agg(F.max(ends)).scalar()
+    moment = F.col("transaction_dt")
+    return transactions.filter((moment >= first) & (moment <= last))
+
+
 def window_transactions(
     onboarding: DataFrame, transactions: DataFrame, rules: Rules
 ) -> DataFrame:
@@ -167,10 +183,11 @@ def window_transactions(
 
     `onboarding` must hold one row per user (see dedupe).
     """
-    heavy = heavy_users(transactions, rules)
-    light = without(transactions, heavy).join(_logins(onboarding), "user_id")
+    near = near_windows(onboarding, transactions, rules)
+    heavy = heavy_users(near, rules)
+    light = without(near, heavy).join(_logins(onboarding), "user_id")
     logins_of_heavy = F.broadcast(only(_logins(onboarding), heavy))
-    dense = transactions.join(logins_of_heavy, "user_id")
+    dense = near.join(logins_of_heavy, "user_id")
     inside = in_onboarding(
         light, "transaction_dt", "first_login_dt", rules.onboarding_days
     )

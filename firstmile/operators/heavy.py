@@ -17,17 +17,21 @@ from firstmile.rules import Rules
 
 def heavy_users(transactions: DataFrame, rules: Rules) -> DataFrame:
     """Ids of heavy users: fewer than `rules.heavy_share` rows."""
-    per_user = transactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    # The filter is repeated in every use of the counts, so that all of them are
+    # the same shuffle to Spark and it runs once.
+    known = transactions.filter(F.col("user_id").isNotNull())
+    per_user = known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     total = per_user.agg(F.sum("n").alias("total")).scalar()
     enough = F.col("n") >= rules.heavy_floor
     above_share = F.col("n") * F.lit(rules.heavy_share) > total
-    return per_user.filter(
-        enough & above_share & F.col("user_id").isNotNull()
-    ).select("user_id")
+    return per_user.filter(enough & above_share).select("user_id")
 
 
 def only(df: DataFrame, heavy: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(heavy), "user_id", "left_semi")
+    # Null-safe equality: with a plain one the optimizer copies the filters of
+    # `df` into the counting of heavy users, which then could not be shared.
+    d, h = df.alias("d"), F.broadcast(heavy).alias("h")
+    return d.join(h, F.col("d.user_id").eqNullSafe(F.col("h.user_id")), "left_semi")
 
 
 def without(df: DataFrame, heavy: DataFrame) -> DataFrame:

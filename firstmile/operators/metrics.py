@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firstmile.functions import onboarding_end, percent, rounded_percent
-from firstmile.operators.activity import with_activity
+from firstmile.operators.activity import near_windows, with_activity, with_segment
 from firstmile.rules import Rules
 
 # Carried into the wide table when the onboarding extract has them.
@@ -181,7 +181,8 @@ def activation_in_window(
     onboarding: DataFrame, transactions: DataFrame, rules: Rules
 ) -> DataFrame:
     """Computed activation: any transaction inside the onboarding window."""
-    active = with_activity(onboarding, transactions, rules)
+    near = near_windows(onboarding, transactions, rules)
+    active = with_activity(onboarding, near, rules)
     inside = F.coalesce(F.col("window_transactions"), F.lit(0))
     return active.select(
         "user_id",
@@ -210,32 +211,50 @@ def drop_from_activity(onboarding: DataFrame, transactions: DataFrame) -> DataFr
     )
 
 
+def _zero_if_none(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0)).alias(name)
+
+
+def user_flags(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
+    """The columns of `user_metrics` that funnels and rates count, and no more.
+
+    Flags and segment need no window, so transactions shrink to one row per
+    user before they are shuffled; without the segment they are not read.
+    """
+    return with_segment(onboarding, transactions, rules).select(
+        "user_id",
+        "first_login_dt",
+        "user_segment",
+        drop_flag().alias("drop_flag"),
+        _zero_if_none("activacion").alias("activation_validated"),
+        _zero_if_none("habito").alias("habit_validated"),
+        _zero_if_none("setup").alias("setup_achieved"),
+    )
+
+
 def user_metrics(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
     """One wide row per onboarding user. `onboarding` holds one row per user."""
     active = _with_habit(with_activity(onboarding, transactions, rules), rules)
     login = F.col("first_login_dt")
     has_transactions = _as_int(F.col("total_transactions").isNotNull())
 
-    def zero_if_none(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).alias(name)
-
     passed = {n: [n] if n in active.columns else [] for n in PASS_THROUGH}
     return active.withColumn("has_transactions", has_transactions).select(
         "user_id",
         "first_login_dt",
         *passed["week_year"],
         "user_segment",
-        zero_if_none("total_transactions"),
-        zero_if_none("transaction_days"),
+        _zero_if_none("total_transactions"),
+        _zero_if_none("transaction_days"),
         drop_flag().alias("drop_flag"),
         "return_flag",
         *passed["return_dt"],
-        F.col("activacion").alias("activation_validated"),
+        _zero_if_none("activacion").alias("activation_validated"),
         *passed["activacion_dt"],
-        F.col("habito").alias("habit_validated"),
+        _zero_if_none("habito").alias("habit_validated"),
         "total_transactions_period",
         "unique_transaction_days",
-        F.col("setup").alias("setup_achieved"),
+        _zero_if_none("setup").alias("setup_achieved"),
         *passed["setup_dt"],
         onboarding_end(login, rules.onboarding_days).alias("onboarding_end_dt"),
         F.month(login).alias("first_login_month"),

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firstmile.functions import percent
-from firstmile.operators.activity import family_users
 from firstmile.rules import Rules
 
+# Bits of the tables a user is in, and of what a user did.
 USERS, TRANSACTIONS, ONBOARDING = 1, 2, 4
+PAID, COLLECTED, TRANSACTED, ONBOARDED = 1, 2, 4, 8
 
 
 def membership(users: DataFrame, transactions: DataFrame, onboarding: DataFrame) -> DataFrame:
@@ -100,53 +101,53 @@ def prefix_share(tables: dict[str, DataFrame], rules: Rules) -> DataFrame:
     )
 
 
-def _not_in(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Set difference of ids. Both sides are distinct before they meet, so a
-    user with very many rows is one row on either side of the join. Ids that
-    are NULL on both sides count as equal, as they do in EXCEPT."""
-    a, b = left.alias("a"), right.alias("b")
-    return a.join(b, F.col("a.user_id").eqNullSafe(F.col("b.user_id")), "left_anti")
+def _users_by_deed(*tagged: DataFrame) -> DataFrame:
+    """(user_id, did): the bits of all rows of a user, in one shuffle."""
+    rows = reduce(DataFrame.unionAll, tagged)
+    return rows.groupBy("user_id").agg(F.bit_or("bit").alias("did"))
 
 
-def only_payment_users(transactions: DataFrame, rules: Rules) -> DataFrame:
-    return _not_in(
-        family_users(transactions, rules.payment_types),
-        family_users(transactions, rules.collection_types),
+def _did(bit: int) -> Column:
+    return F.col("did").bitwiseAND(F.lit(bit)) != 0
+
+
+def _family_bits(transactions: DataFrame, rules: Rules) -> DataFrame:
+    kind = F.col("type")
+    return transactions.select(
+        "user_id",
+        F.when(kind.isin(*rules.payment_types), F.lit(PAID | TRANSACTED))
+        .when(kind.isin(*rules.collection_types), F.lit(COLLECTED | TRANSACTED))
+        .otherwise(F.lit(TRANSACTED))
+        .alias("bit"),
     )
 
 
+def only_payment_users(transactions: DataFrame, rules: Rules) -> DataFrame:
+    """Users with payments, except those with collections."""
+    users = _users_by_deed(_family_bits(transactions, rules))
+    return users.filter(_did(PAID) & ~_did(COLLECTED)).select("user_id")
+
+
 def users_without_transactions(onboarding: DataFrame, transactions: DataFrame) -> DataFrame:
-    return _not_in(
-        onboarding.select("user_id").distinct(), transactions.select("user_id").distinct()
+    """Onboarding users, except those with transactions."""
+    users = _users_by_deed(
+        onboarding.select("user_id", F.lit(ONBOARDED).alias("bit")),
+        transactions.select("user_id", F.lit(TRANSACTED).alias("bit")),
     )
+    return users.filter(~_did(TRANSACTED)).select("user_id")
 
 
 def segmentation_profile(
     onboarding: DataFrame, transactions: DataFrame, rules: Rules
 ) -> DataFrame:
     """Only-paying, collecting, transacting and never-transacting users, in one row."""
-    kind = F.col("type")
-    paid, collected, transacted, onboarded = 1, 2, 4, 8
-    of_transactions = transactions.select(
-        "user_id",
-        F.when(kind.isin(*rules.payment_types), F.lit(paid | transacted))
-        .when(kind.isin(*rules.collection_types), F.lit(collected | transacted))
-        .otherwise(F.lit(transacted))
-        .alias("bit"),
+    users = _users_by_deed(
+        _family_bits(transactions, rules),
+        onboarding.select("user_id", F.lit(ONBOARDED).alias("bit")),
     )
-    of_onboarding = onboarding.select("user_id", F.lit(onboarded).alias("bit"))
-    users = (
-        of_transactions.unionAll(of_onboarding)
-        .groupBy("user_id")
-        .agg(F.bit_or("bit").alias("did"))
-    )
-
-    def did(bit: int) -> Column:
-        return F.col("did").bitwiseAND(F.lit(bit)) != 0
-
     return users.agg(
-        F.count_if(did(paid) & ~did(collected)).alias("only_payment_users"),
-        F.count_if(did(collected)).alias("seller_users"),
-        F.count_if(did(transacted)).alias("transacting_users"),
-        F.count_if(did(onboarded) & ~did(transacted)).alias("users_without_transactions"),
+        F.count_if(_did(PAID) & ~_did(COLLECTED)).alias("only_payment_users"),
+        F.count_if(_did(COLLECTED)).alias("seller_users"),
+        F.count_if(_did(TRANSACTED)).alias("transacting_users"),
+        F.count_if(_did(ONBOARDED) & ~_did(TRANSACTED)).alias("users_without_transactions"),
     )

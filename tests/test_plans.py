@@ -70,3 +70,28 @@ def test_served_tables_roll_up_cohorts(spark):
     lines = optimized(funnel.funnel_by_dimension(funnel.cohort_totals(wide))).splitlines()
     expand = next(i for i, line in enumerate(lines) if "Expand" in line)
     assert any("Aggregate [user_segment" in line for line in lines[expand:])
+
+
+def test_rates_do_not_read_transactions(spark):
+    """A left join whose columns nobody uses is dropped, scan included."""
+    for name in ("metric_rates", "funnel_overall", "ab_metrics"):
+        assert "events.parquet" not in plan_of(entry.queries()[name](spark, SMALL))
+
+
+def test_segments_for_funnels_are_combined_before_the_shuffle(spark, no_small_tables):
+    plan = plan_of(entry.queries()["weekly_metrics"](spark, SMALL))
+    assert "partial_bit_or" in plan
+    assert "transaction_dt" not in plan
+
+
+def test_window_bounds_prune_the_scan(spark):
+    plan = plan_of(entry.queries()["window_transactions"](spark, SMALL))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "events" in line]
+    assert scans
+    assert all("DataFilters" in s and "Subquery" in s for s in scans)
+
+
+def test_set_differences_shuffle_once(spark, no_small_tables):
+    for name in ("only_payment_users", "users_without_transactions", "overlap_counts"):
+        plan = plan_of(entry.queries()[name](spark, SMALL))
+        assert plan.count("Exchange hashpartitioning") == 1
