@@ -11,7 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firstmile.functions import at_midnight, in_onboarding, onboarding_end
-from firstmile.operators.heavy import heavy_users, only, without
+from firstmile.operators.heavy import (
+    heavy_users,
+    only,
+    transaction_counts,
+    without,
+)
 from firstmile.rules import INDIVIDUALS, MAX_TYPE_CODE, SELLERS, UNKNOWN, Rules
 
 
@@ -184,7 +189,7 @@ def window_transactions(
     `onboarding` must hold one row per user (see dedupe).
     """
     near = near_windows(onboarding, transactions, rules)
-    heavy = heavy_users(near, rules)
+    heavy = heavy_users(transaction_counts(near), rules)
     light = without(near, heavy).join(_logins(onboarding), "user_id")
     logins_of_heavy = F.broadcast(only(_logins(onboarding), heavy))
     dense = near.join(logins_of_heavy, "user_id")
@@ -216,17 +221,15 @@ def _activity(
     )
 
 
-def with_activity(
-    onboarding: DataFrame, transactions: DataFrame, rules: Rules
+def _with_measures(
+    onboarding: DataFrame, transactions: DataFrame, heavy: DataFrame, rules: Rules
 ) -> DataFrame:
-    """Onboarding users, one row each, with segment and activity columns.
+    """Onboarding users with the columns of `_activity`, NULL where they did nothing.
 
-    Activity is NULL for users without transactions. Light users: transactions
-    are shuffled by user once, and everything up to the result reuses that
-    partitioning. Heavy users (see operators.heavy) are summed apart and come
+    Light users: transactions are shuffled by user once, and everything up to
+    the result reuses that partitioning. Heavy users are summed apart and come
     back as a broadcast of at most one row each.
     """
-    heavy = heavy_users(transactions, rules)
     logins = _logins(onboarding)
     of_light = _activity(without(transactions, heavy), logins, rules)
     of_heavy = _activity(transactions, F.broadcast(only(logins, heavy)), rules)
@@ -239,5 +242,31 @@ def with_activity(
         .join(F.broadcast(renamed), "user_id", "left")
         .withColumns(merged)
         .drop(*[f"heavy_{c}" for c in measures])
-        .withColumn("user_segment", segment_of(F.col("type_mask"), rules))
+    )
+
+
+def with_activity(
+    onboarding: DataFrame,
+    transactions: DataFrame,
+    rules: Rules,
+    segments: DataFrame | None = None,
+) -> DataFrame:
+    """Onboarding users, one row each, with segment, all-time and window columns.
+
+    Give `segments`, the landed table of `user_segments`, where there is one:
+    it already holds the segment and the all-time columns, so transactions are
+    read for the windows only.
+    """
+    if segments is None:
+        heavy = heavy_users(transaction_counts(transactions), rules)
+        active = _with_measures(onboarding, transactions, heavy, rules)
+        return active.withColumn("user_segment", segment_of(F.col("type_mask"), rules))
+    counts = segments.select("user_id", F.col("total_transactions").alias("n"))
+    near = near_windows(onboarding, transactions, rules)
+    active = _with_measures(onboarding, near, heavy_users(counts, rules), rules)
+    window = [c for c in active.columns if c.startswith("window_")]
+    return (
+        active.select(*onboarding.columns, *window)
+        .join(segments, "user_id", "left")
+        .fillna(UNKNOWN, ["user_segment"])
     )

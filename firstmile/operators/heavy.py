@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 from firstmile.rules import Rules
 
 
-def heavy_users(transactions: DataFrame, rules: Rules) -> DataFrame:
-    """Ids of heavy users: fewer than `rules.heavy_share` rows."""
-    # The filter is repeated in every use of the counts, so that all of them are
-    # the same shuffle to Spark and it runs once.
+def transaction_counts(transactions: DataFrame) -> DataFrame:
+    """(user_id, n) of every known user."""
     known = transactions.filter(F.col("user_id").isNotNull())
-    per_user = known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    total = per_user.agg(F.sum("n").alias("total")).scalar()
+    return known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def heavy_users(counts: DataFrame, rules: Rules) -> DataFrame:
+    """Ids of heavy users: fewer than `rules.heavy_share` rows."""
+    total = counts.agg(F.sum("n").alias("total")).scalar()
     enough = F.col("n") >= rules.heavy_floor
     above_share = F.col("n") * F.lit(rules.heavy_share) > total
-    return per_user.filter(enough & above_share).select("user_id")
+    return counts.filter(enough & above_share).select("user_id")
 
 
 def only(df: DataFrame, heavy: DataFrame) -> DataFrame:

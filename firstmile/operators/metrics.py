@@ -232,9 +232,15 @@ def user_flags(onboarding: DataFrame, transactions: DataFrame, rules: Rules) ->
     )
 
 
-def user_metrics(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
-    """One wide row per onboarding user. `onboarding` holds one row per user."""
-    active = _with_habit(with_activity(onboarding, transactions, rules), rules)
+def user_metrics(
+    onboarding: DataFrame,
+    transactions: DataFrame,
+    rules: Rules,
+    segments: DataFrame | None = None,
+) -> DataFrame:
+    """One wide row per onboarding user. `onboarding` holds one row per user;
+    for `segments` see `with_activity`."""
+    active = _with_habit(with_activity(onboarding, transactions, rules, segments), rules)
     login = F.col("first_login_dt")
     has_transactions = _as_int(F.col("total_transactions").isNotNull())
 

@@ -98,8 +98,9 @@ def transform(clean: Extracts, rules: Rules, folder: str) -> None:
     write_parquet(activity.daily_activity(clean.transactions, rules), f"{folder}/daily_activity")
     daily = read_parquet(spark, f"{folder}/daily_activity")
     write_parquet(activity.user_segments(daily, rules), f"{folder}/user_segments")
+    segments = read_parquet(spark, f"{folder}/user_segments")
     onboarding = one_row_per_user(clean.onboarding)
-    wide = metrics.user_metrics(onboarding, clean.transactions, rules)
+    wide = metrics.user_metrics(onboarding, clean.transactions, rules, segments)
     write_parquet(wide, f"{folder}/user_metrics")
 
 

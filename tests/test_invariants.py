@@ -76,9 +76,9 @@ def test_layout_changes_nothing(wide, inputs):
 
 
 def test_heavy_split_changes_nothing(wide, inputs):
-    from firstmile.operators.heavy import heavy_users
+    from firstmile.operators.heavy import heavy_users, transaction_counts
 
-    heavy = heavy_users(inputs.transactions, HEAVY).count()
+    heavy = heavy_users(transaction_counts(inputs.transactions), HEAVY).count()
     assert 0 < heavy < 30
     again = metrics.user_metrics(inputs.onboarding, inputs.transactions, HEAVY)
     assert rows(again) == rows(wide)
@@ -87,16 +87,29 @@ def test_heavy_split_changes_nothing(wide, inputs):
     assert rows(a) == rows(b)
 
 
+@pytest.mark.parametrize("rules", [METRIC_RULES, HEAVY])
+def test_landed_segments_change_nothing(spark, wide, inputs, rules, tmp_path):
+    daily = activity.daily_activity(inputs.transactions, rules)
+    path = str(tmp_path / "segments")
+    activity.user_segments(daily, rules).write.parquet(path)
+    again = metrics.user_metrics(
+        inputs.onboarding, inputs.transactions, rules, spark.read.parquet(path)
+    )
+    assert again.columns == wide.columns
+    assert rows(again) == rows(wide)
+
+
 def test_heavy_list_is_bounded(spark):
     """Even with a share that nearly every user reaches, the bound holds."""
-    from firstmile.operators.heavy import heavy_users
+    from firstmile.operators.heavy import heavy_users, transaction_counts
 
     tx = spark.range(1000).select(
         F.concat(F.lit("MLB"), (F.col("id") % 10).cast("string")).alias("user_id")
     )
-    assert heavy_users(tx, Rules(heavy_floor=1, heavy_share=11)).count() == 10
-    assert heavy_users(tx, Rules(heavy_floor=1, heavy_share=10)).count() == 0
-    assert heavy_users(tx, Rules(heavy_floor=101, heavy_share=11)).count() == 0
+    counts = transaction_counts(tx)
+    assert heavy_users(counts, Rules(heavy_floor=1, heavy_share=11)).count() == 10
+    assert heavy_users(counts, Rules(heavy_floor=1, heavy_share=10)).count() == 0
+    assert heavy_users(counts, Rules(heavy_floor=101, heavy_share=11)).count() == 0
 
 
 moments = st.integers(0, 45 * 24).map(lambda h: (h // 24, h % 24))
