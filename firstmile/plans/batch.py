@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from firstmile import schemas
 from firstmile.operators import activity, cleaning, funnel, metrics
@@ -99,7 +100,10 @@ def transform(clean: Extracts, rules: Rules, folder: str) -> None:
     daily = read_parquet(spark, f"{folder}/daily_activity")
     write_parquet(activity.user_segments(daily, rules), f"{folder}/user_segments")
     segments = read_parquet(spark, f"{folder}/user_segments")
-    onboarding = one_row_per_user(clean.onboarding)
+    # Cleaning left no row without an id. Saying so keeps the uses of this table
+    # alike to the optimizer, which then shuffles it once for all of them.
+    identified = clean.onboarding.filter(F.col("user_id").isNotNull())
+    onboarding = one_row_per_user(identified)
     wide = metrics.user_metrics(onboarding, clean.transactions, rules, segments)
     write_parquet(wide, f"{folder}/user_metrics")
 
