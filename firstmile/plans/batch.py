@@ -47,6 +47,24 @@ def read_extracts(
     )
 
 
+def land_raw(raw: Extracts, folder: str) -> Extracts:
+    """The extracts as Parquet, unchanged: for when several jobs read them.
+
+    Profiling makes many passes over few columns, and a CSV file with line
+    breaks in its fields is read whole by one task each time.
+    """
+    spark = raw.users.sparkSession
+    landed = []
+    for name, df in (
+        ("users", raw.users),
+        ("transactions", raw.transactions),
+        ("onboarding", raw.onboarding),
+    ):
+        write_parquet(df, f"{folder}/raw_{name}")
+        landed.append(read_parquet(spark, f"{folder}/raw_{name}", df.schema))
+    return Extracts(*landed)
+
+
 def _land(
     typed: DataFrame,
     kept: list[cleaning.Rule],

@@ -44,6 +44,7 @@ def main() -> None:
             parser.error("this stage needs --users, --transactions and --onboarding")
         raw = batch.read_extracts(spark, args.users, args.transactions, args.onboarding)
     if "explore" in stages:
+        raw = batch.land_raw(raw, args.output)
         for name, report in explore(raw, rules).items():
             report.write.mode("overwrite").parquet(f"{args.output}/exploration/{name}")
     if "preprocess" in stages:

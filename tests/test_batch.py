@@ -109,6 +109,24 @@ def test_exploration_reports(spark, extracts):
     assert all(len(r) > 0 for r in reports.values())
 
 
+def test_landed_raw_extracts_are_unchanged(extracts, tmp_path):
+    landed = batch.land_raw(extracts, str(tmp_path))
+    for name in ("users", "transactions", "onboarding"):
+        before, after = getattr(extracts, name), getattr(landed, name)
+        assert after.schema == before.schema
+        assert rows(after) == rows(before)
+
+
+def test_checkpoint_folder_of_the_session_wins(spark, tmp_path):
+    from firstmile.plans.lineage import checkpointed
+
+    df = spark.range(3)
+    checkpointed(df, str(tmp_path / "first"))
+    named = spark.sparkContext.getCheckpointDir()
+    assert checkpointed(df, str(tmp_path / "second")).count() == 3
+    assert spark.sparkContext.getCheckpointDir() == named
+
+
 def test_light_loader(spark, extracts):
     from firstmile.operators.cleaning import prefix_only
 
