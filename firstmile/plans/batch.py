@@ -131,8 +131,13 @@ def serve(
     folder: str,
     sink_of: Callable[[str], Sink],
     with_week: bool = False,
+    instants: bool = False,
 ) -> list[Published]:
-    """Publish the six tables; a failing sink falls back to Parquet under `folder`."""
+    """Publish the six tables; a failing sink falls back to Parquet under `folder`.
+
+    `instants` writes timestamps as instants of the session's time zone, for
+    stores without a wall-clock type.
+    """
     wide = read_parquet(spark, f"{folder}/user_metrics")
     cohorts = checkpointed(funnel.cohort_totals(wide), f"{folder}/checkpoints")
     daily = read_parquet(spark, f"{folder}/daily_activity")
@@ -145,8 +150,13 @@ def serve(
         (schemas.TRANSACTION_SUMMARY, activity.daily_summary(daily)),
     ]
     return [
-        publish(df, c, sink_of(c.name), parquet_table(f"{folder}/fallback/{c.name}"))
-        for c, df in tables
+        publish(
+            df,
+            contract.with_instants() if instants else contract,
+            sink_of(contract.name),
+            parquet_table(f"{folder}/fallback/{contract.name}"),
+        )
+        for contract, df in tables
     ]
 
 

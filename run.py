@@ -58,7 +58,9 @@ def main() -> None:
                 return keyed_table(table, args.keyspace)
             return parquet_table(f"{args.output}/served/{table}")
 
-        published = batch.serve(spark, args.output, sink_of, args.with_week)
+        published = batch.serve(
+            spark, args.output, sink_of, args.with_week, instants=bool(args.keyspace)
+        )
         status_table(spark, published).show(truncate=False)
 
 
