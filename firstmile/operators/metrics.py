@@ -107,9 +107,14 @@ def _with_habit(active: DataFrame, rules: Rules) -> DataFrame:
     return counted.withColumn("habit_achieved_calculated", _habit_reached(rules))
 
 
-def habit_metric(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
+def habit_metric(
+    onboarding: DataFrame,
+    transactions: DataFrame,
+    rules: Rules,
+    segments: DataFrame | None = None,
+) -> DataFrame:
     """Habit flag and computed habit of every onboarding user."""
-    active = _with_habit(with_activity(onboarding, transactions, rules), rules)
+    active = _with_habit(with_activity(onboarding, transactions, rules, segments), rules)
     return active.select(
         "user_id",
         "user_segment",

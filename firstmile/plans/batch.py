@@ -18,6 +18,7 @@ from firstmile.operators.dedupe import one_row_per_user
 from firstmile.plans.lineage import checkpointed
 from firstmile.plans.publish import Published, publish
 from firstmile.rules import Rules
+from firstmile.schemas import Contract
 from firstmile.sources import parquet_table, read_parquet, read_text_table, write_parquet
 from firstmile.sources.keyed import Sink
 
@@ -131,12 +132,12 @@ def serve(
     folder: str,
     sink_of: Callable[[str], Sink],
     with_week: bool = False,
-    instants: bool = False,
+    adapt: Callable[[Contract], Contract] = lambda contract: contract,
 ) -> list[Published]:
     """Publish the six tables; a failing sink falls back to Parquet under `folder`.
 
-    `instants` writes timestamps as instants of the session's time zone, for
-    stores without a wall-clock type.
+    `adapt` changes contracts to what the store takes: `Contract.with_instants`,
+    `Contract.with_wide_counts`.
     """
     wide = read_parquet(spark, f"{folder}/user_metrics")
     cohorts = checkpointed(funnel.cohort_totals(wide), f"{folder}/checkpoints")
@@ -150,13 +151,8 @@ def serve(
         (schemas.TRANSACTION_SUMMARY, activity.daily_summary(daily)),
     ]
     return [
-        publish(
-            df,
-            contract.with_instants() if instants else contract,
-            sink_of(contract.name),
-            parquet_table(f"{folder}/fallback/{contract.name}"),
-        )
-        for contract, df in tables
+        publish(df, adapt(c), sink_of(c.name), parquet_table(f"{folder}/fallback/{c.name}"))
+        for c, df in tables
     ]
 
 

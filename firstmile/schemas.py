@@ -65,16 +65,22 @@ class Contract:
             for c in (self.sort or self.key)
         ]
 
-    def with_instants(self) -> Contract:
-        """The same table with zoned timestamps, for stores that have only those."""
+    def with_type(self, declared: T.DataType, stored: T.DataType) -> Contract:
+        """The same table with every `declared` column as `stored`."""
         fields = [
-            T.StructField(f.name, T.TimestampType(), f.nullable)
-            if isinstance(f.dataType, T.TimestampNTZType)
-            else f
+            T.StructField(f.name, stored, f.nullable) if f.dataType == declared else f
             for f in self.schema.fields
         ]
         return replace(self, schema=T.StructType(fields))
 
+    def with_instants(self) -> Contract:
+        """Zoned timestamps, for stores without a wall-clock type."""
+        return self.with_type(TS, T.TimestampType())
+
+    def with_wide_counts(self) -> Contract:
+        """BIGINT for INT, for users with over two billion transactions."""
+        return self.with_type(T.IntegerType(), T.LongType())
+
 
 _BUCKET_COLUMNS = (
     " user_segment string, total_users bigint, returned_users bigint,"

@@ -1,7 +1,8 @@
 """Run the batch on CSV extracts.
 
 spark-submit run.py --users U --transactions T --onboarding O --output FOLDER
-    [--stage all|explore|preprocess|transform|serve] [--keyspace NAME] [--with-week]
+    [--stage all|explore|preprocess|transform|serve] [--skip-exploration]
+    [--keyspace NAME] [--with-week] [--wide-counts] [--date-from D] [--date-to D]
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from firstmile import Rules
 from firstmile.plans import batch
 from firstmile.plans.explore import explore
 from firstmile.plans.publish import status_table
+from firstmile.schemas import Contract
 from firstmile.sources import keyed_table, parquet_table
 
 STAGES = ("explore", "preprocess", "transform", "serve")
@@ -29,6 +31,7 @@ def main() -> None:
     parser.add_argument("--skip-exploration", action="store_true")
     parser.add_argument("--keyspace", help="publish to this keyspace instead of Parquet")
     parser.add_argument("--with-week", action="store_true", help="add weeks to the funnel")
+    parser.add_argument("--wide-counts", action="store_true", help="BIGINT instead of INT")
     parser.add_argument("--date-from", default=Rules.date_from)
     parser.add_argument("--date-to", default=Rules.date_to)
     args = parser.parse_args()
@@ -58,9 +61,12 @@ def main() -> None:
                 return keyed_table(table, args.keyspace)
             return parquet_table(f"{args.output}/served/{table}")
 
-        published = batch.serve(
-            spark, args.output, sink_of, args.with_week, instants=bool(args.keyspace)
-        )
+        def adapt(contract: Contract) -> Contract:
+            if args.keyspace:
+                contract = contract.with_instants()
+            return contract.with_wide_counts() if args.wide_counts else contract
+
+        published = batch.serve(spark, args.output, sink_of, args.with_week, adapt)
         status_table(spark, published).show(truncate=False)
 
 

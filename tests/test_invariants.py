@@ -112,6 +112,22 @@ def test_heavy_list_is_bounded(spark):
     assert heavy_users(counts, Rules(heavy_floor=101, heavy_share=11)).count() == 0
 
 
+def test_hot_user_leaves_the_shuffle(spark):
+    """A user with a third of all rows is the one heavy user; what is left for
+    the join by id holds no user above the share."""
+    from firstmile.operators.heavy import heavy_users, transaction_counts, without
+
+    rules = Rules(heavy_floor=50, heavy_share=100)
+    hot = F.col("id") % 3 == 0
+    tx = spark.range(30_000).select(
+        F.when(hot, F.lit("hot")).otherwise((F.col("id") % 1009).cast("string")).alias("user_id")
+    )
+    heavy = heavy_users(transaction_counts(tx), rules)
+    assert rows(heavy) == [("hot",)]
+    left = transaction_counts(without(tx, heavy))
+    assert left.agg(F.sum("n"), F.max("n") * 100 <= 30_000).first() == (20_000, True)
+
+
 moments = st.integers(0, 45 * 24).map(lambda h: (h // 24, h % 24))
 
 

@@ -78,6 +78,8 @@ def test_missing_column_and_overflow(spark):
     huge = huge.toDF(*schemas.TRANSACTION_SUMMARY.schema.names)
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         conform(huge, schemas.TRANSACTION_SUMMARY).collect()
+    wide = conform(huge, schemas.TRANSACTION_SUMMARY.with_wide_counts())
+    assert wide.first()["transaction_count"] == 2**40
 
 
 def test_zoned_variant(spark):
