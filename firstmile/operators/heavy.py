@@ -2,7 +2,7 @@
 
 A join on the user id sends all rows of one user to one task. Users above the
 share in `Rules` are therefore joined apart, by broadcasting their onboarding
-rows. At most `heavy_share` users can each own more than 1/heavy_share of the
+rows. Fewer than `heavy_share` users can each own more than 1/heavy_share of the
 rows, so that broadcast is bounded whatever the size of the data, and no other
 user can overload a task. Both sides of the split are exact and disjoint.
 """

@@ -148,28 +148,25 @@ def habit_by_segment(habit: DataFrame) -> DataFrame:
 
 
 def habit_parts(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
-    """Union of the per-family counts, each part with only its own columns.
+    """The counts behind the habit, of users with anything countable in the window.
 
-    Only users with a countable transaction in the window appear. A column that
-    one part lacks is NULL there.
+    The same rows as a union by name of one part per way of counting, where a
+    column that a part lacks is NULL; here as one projection over one join.
     """
-    active = with_activity(onboarding, transactions, rules)
-    on_collections = F.col("user_segment").isin(
-        *[s for s, r in rules.habit.items() if r.collections_only]
-    )
-    all_part = active.filter(~on_collections & (F.col("window_transactions") > 0)).select(
-        "user_id",
-        "user_segment",
-        F.col("window_transactions").alias("total_transactions_period"),
-        F.col("window_days").alias("unique_transaction_days"),
+    active = _with_habit(with_activity(onboarding, transactions, rules), rules)
+    collections = _by_segment(
+        rules,
+        lambda rule: F.col("window_collections")
+        if rule.collections_only
+        else F.lit(None).cast("bigint"),
     )
-    collection_part = active.filter(on_collections & (F.col("window_collections") > 0)).select(
+    return active.filter(F.col("total_transactions_period") > 0).select(
         "user_id",
         "user_segment",
-        F.col("window_collections").alias("total_transactions_period"),
-        F.col("window_collections").alias("total_collection_transactions"),
+        "total_transactions_period",
+        "unique_transaction_days",
+        collections.alias("total_collection_transactions"),
     )
-    return all_part.unionByName(collection_part, allowMissingColumns=True)
 
 
 def onboarding_period(onboarding: DataFrame, rules: Rules) -> DataFrame:

@@ -13,8 +13,17 @@ from firstmile.operators.cleaning import drop_index
 from firstmile.rules import Rules
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column, quoted: headers of extracts may hold dots and spaces."""
+    return [_column(name) for name in df.columns]
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _missing(field: T.StructField) -> Column:
-    value = F.col(f"`{field.name}`")
+    value = _column(field.name)
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
         return value.isNull() | F.isnan(value)
     return value.isNull()
@@ -24,7 +33,7 @@ def quality_profile(df: DataFrame) -> DataFrame:
     """Rows, missing values (NULL or NaN) and their percentage, per column."""
     counts = [F.count_if(_missing(f)).alias(f.name) for f in df.schema.fields]
     totals = df.agg(F.count(F.lit(1)).alias("total rows"), *counts)
-    tall = totals.unpivot("total rows", df.columns, "column_name", "null_count")
+    tall = totals.unpivot("total rows", all_columns(df), "column_name", "null_count")
     total = F.col("total rows")
     return tall.select(
         "column_name",
@@ -80,7 +89,7 @@ def duplicate_rows(tables: dict[str, DataFrame]) -> DataFrame:
 
     def one(name: str, df: DataFrame) -> DataFrame:
         content = drop_index(df)
-        copies = content.groupBy(*content.columns).agg(F.count(F.lit(1)).alias("copies"))
+        copies = content.groupBy(*all_columns(content)).agg(F.count(F.lit(1)).alias("copies"))
         return copies.agg(
             F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
             F.count(F.lit(1)).alias("distinct_rows"),
@@ -120,6 +129,6 @@ def distribution(df: DataFrame, *names: str) -> DataFrame:
     return df.groupBy(*names).agg(F.count(F.lit(1)).alias("row_count")).orderBy(*names)
 
 
-def preview(df: DataFrame, order: list[str], rows: int = 10) -> DataFrame:
+def preview(df: DataFrame, order: list[str] | list[Column], rows: int = 10) -> DataFrame:
     """The first rows in a total order, so that every run shows the same ones."""
     return df.orderBy(*order).limit(rows)

@@ -44,5 +44,5 @@ def explore(raw: Extracts, rules: Rules) -> dict[str, DataFrame]:
     for name, df in tables.items():
         reports[f"schema_{name}"] = schema_listing(df)
         reports[f"profile_{name}"] = quality.quality_profile(df)
-        reports[f"preview_{name}"] = quality.preview(df, df.columns)
+        reports[f"preview_{name}"] = quality.preview(df, quality.all_columns(df))
     return reports

@@ -46,10 +46,11 @@ def _reason(error: Exception) -> str:
     return f"{type(error).__name__}: {text.strip().splitlines()[0]}"
 
 
-def _write(df: DataFrame, sink: Sink) -> int:
-    """Write and count in the same job."""
+def _write(table: DataFrame, contract: Contract, sink: Sink) -> int:
+    """Write in the contract's order and count in the same job."""
+    ordered = table.sortWithinPartitions(*sink.partition_by, *contract.order())
     counted = Observation()
-    write_table(df.observe(counted, F.count(F.lit(1)).alias("rows")), sink)
+    write_table(ordered.observe(counted, F.count(F.lit(1)).alias("rows")), sink)
     return counted.get["rows"]
 
 
@@ -65,13 +66,13 @@ def publish(
     table = conform(df, contract)
     if not bad_keys(table, contract).isEmpty():
         raise DuplicateKeys(f"{contract.name}: key {contract.key} is not unique")
-    ordered = table.sortWithinPartitions(*contract.order())
     try:
-        return Published(contract.name, WRITTEN, sink.format, _write(ordered, sink))
+        rows = _write(table, contract, sink)
+        return Published(contract.name, WRITTEN, sink.format, rows)
     except (PySparkException, Py4JJavaError) as error:
         if fallback is None:
             raise
-        rows = _write(ordered, fallback)
+        rows = _write(table, contract, fallback)
         return Published(contract.name, FALLBACK, fallback.format, rows, _reason(error))
 
 

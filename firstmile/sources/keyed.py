@@ -15,11 +15,13 @@ CASSANDRA_FORMAT = "org.apache.spark.sql.cassandra"
 
 @dataclass(frozen=True)
 class Sink:
-    """Where a table is written and read: format, options, write mode."""
+    """Where a table is written and read: format, options, write mode, and for
+    files the columns that become folders, which later reads prune."""
 
     format: str
     options: dict[str, str] = field(default_factory=dict)
     mode: str = "overwrite"
+    partition_by: tuple[str, ...] = ()
 
 
 def keyed_table(
@@ -36,12 +38,17 @@ def keyed_table(
     return Sink(format, options, mode)
 
 
-def parquet_table(path: str, mode: str = "overwrite") -> Sink:
-    return Sink("parquet", {"path": path}, mode)
+def parquet_table(
+    path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()
+) -> Sink:
+    return Sink("parquet", {"path": path}, mode, partition_by)
 
 
 def write_table(df: DataFrame, sink: Sink) -> None:
-    df.write.format(sink.format).options(**sink.options).mode(sink.mode).save()
+    writer = df.write.format(sink.format).options(**sink.options).mode(sink.mode)
+    if sink.partition_by:
+        writer = writer.partitionBy(*sink.partition_by)
+    writer.save()
 
 
 def read_table(spark: SparkSession, sink: Sink) -> DataFrame:

@@ -57,6 +57,18 @@ def test_parquet_round_trip(spark, tmp_path):
         read_parquet(spark, path, other)
 
 
+def test_odd_headers(spark, tmp_path):
+    from firstmile.operators import quality
+
+    (tmp_path / "odd.csv").write_text("Unnamed: 0,a.b,`c`\n1,x,\n2,x,y\n")
+    df = read_text_table(spark, str(tmp_path))
+    assert rows(quality.quality_profile(df), "column_name", "null_count") == [
+        ("Unnamed: 0", 0), ("`c`", 1), ("a.b", 0),
+    ]
+    assert rows(quality.duplicate_rows({"odd": df}), "distinct_rows") == [(2,)]
+    assert quality.preview(df, quality.all_columns(df), 1).count() == 1
+
+
 def test_schema_listing(spark):
     df = spark.createDataFrame([("a", 1)], "k string, n int")
     assert rows(schemas.schema_listing(df)) == [(0, "k", "string", True), (1, "n", "int", True)]

@@ -39,6 +39,19 @@ def test_latest_day_first_in_a_file(spark, tmp_path):
     assert [r[1].day for r in read_table(spark, sink).collect()] == [3, 2, 1]
 
 
+def test_folders_by_column(spark, tmp_path):
+    sink = parquet_table(str(tmp_path / "daily"), partition_by=("transaction_date",))
+    df = daily(spark, ("b", DAY), ("a", DAY), ("a", date(2022, 1, 2))).coalesce(1)
+    result = publish(df, schemas.TRANSACTION_SUMMARY, sink)
+    assert verify(spark, result, schemas.TRANSACTION_SUMMARY, sink) == []
+    assert len(list((tmp_path / "daily").glob("transaction_date=*"))) == 2
+    one = read_table(spark, sink).filter("transaction_date = date'2022-01-01'")
+    assert [r["user_id"] for r in one.collect()] == ["a", "b"]
+    assert "PartitionFilters: [isnotnull(transaction_date" in (
+        one._jdf.queryExecution().executedPlan().toString()
+    )
+
+
 @pytest.mark.parametrize("keys", [[("a", DAY), ("a", DAY)], [(None, DAY)], [("a", None)]])
 def test_bad_keys_stop_before_writing(spark, tmp_path, keys):
     path = tmp_path / "daily"
