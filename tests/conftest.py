@@ -13,7 +13,12 @@ MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def event_log():
+    return tempfile.mkdtemp(prefix="run-")
+
+
+@pytest.fixture(scope="session")
+def spark(event_log):
     # The zone is deliberately not UTC: no result may depend on it.
     session = (
         SparkSession.builder.master("local[4]")
@@ -22,6 +27,9 @@ def spark():
         .config("spark.sql.shuffle.partitions", 4)
         .config("spark.sql.session.timeZone", "America/Sao_Paulo")
         .config("spark.sql.maxMetadataStringLength", 2000)
+        .config("spark.eventLog.enabled", True)
+        .config("spark.eventLog.compress", False)
+        .config("spark.eventLog.dir", event_log)
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
