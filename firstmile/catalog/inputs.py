@@ -13,7 +13,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstmile.operators.cleaning import clean_onboarding, type_onboarding, type_transactions
+from firstmile.operators.cleaning import (
+    clean_onboarding,
+    clean_transactions,
+    type_onboarding,
+    type_transactions,
+)
 from firstmile.operators.dedupe import one_row_per_user
 from firstmile.rules import Rules
 
@@ -78,8 +83,9 @@ class Inputs:
         )
 
     @cached_property
-    def transactions(self) -> DataFrame:
-        """Purchases, already clean. Every fifth user also collects."""
+    def purchases_raw(self) -> DataFrame:
+        """All events again, typed by what they are: a purchase is a payment or,
+        for every fifth user, at times a collection; no other event has a type."""
         event = F.col("event_id")
         collects = F.col("user_id") % 5 == 0
         kind = (
@@ -87,17 +93,19 @@ class Inputs:
             .when(collects & (event % 4 == 2), F.lit(9))
             .otherwise((1 + event % 7).cast("int"))
         )
-        return (
-            self.table("events")
-            .filter(F.col("event_type") == "purchase")
-            .select(
-                "event_id",
-                F.concat(F.lit("MLB"), _text(F.col("user_id"))).alias("user_id"),
-                F.col("ts").alias("transaction_dt"),
-                kind.alias("type"),
-            )
+        return self.table("events").select(
+            "event_id",
+            F.concat(F.lit("MLB"), _text(F.col("user_id"))).alias("user_id"),
+            F.col("ts").alias("transaction_dt"),
+            F.when(F.col("event_type") == "purchase", kind).alias("type"),
+            F.when(collects, F.lit(2)).otherwise(F.lit(1)).alias("segment"),
         )
 
+    @cached_property
+    def transactions(self) -> DataFrame:
+        """The clean transactions of every metric."""
+        return clean_transactions(self.purchases_raw, METRIC_RULES).drop("segment")
+
     @cached_property
     def onboarding_raw(self) -> DataFrame:
         """One row per customer, and for some a later, conflicting second one."""
