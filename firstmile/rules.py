@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 INDIVIDUALS = "INDIVIDUALS"
 SELLERS = "SELLERS"
@@ -61,6 +62,12 @@ class Rules:
         missing = {INDIVIDUALS, SELLERS, UNKNOWN} - set(self.habit)
         if missing:
             raise ValueError(f"no habit rule for {sorted(missing)}")
+        if datetime.fromisoformat(self.date_from) > datetime.fromisoformat(self.date_to):
+            raise ValueError(f"no dates from {self.date_from} to {self.date_to}")
+        if self.onboarding_days < 0 or self.heavy_share < 1:
+            raise ValueError("onboarding_days and heavy_share must be positive")
+        if not 0 <= self.control_percent <= 100:
+            raise ValueError("control_percent must be in 0..100")
 
     @property
     def valid_types(self) -> tuple[int, ...]:

@@ -183,15 +183,24 @@ def require(df: DataFrame, expected: T.StructType | list[str], table: str) -> Da
     return df
 
 
-def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Project to the contract's columns, order and types.
+def _stored(df: DataFrame, field: T.StructField, table: str) -> Column:
+    """A column as the contract declares it. A count too large for INT is an
+    error in every session, also where casts would wrap."""
+    value = F.col(field.name)
+    narrowed = isinstance(df.schema[field.name].dataType, T.LongType) and isinstance(
+        field.dataType, T.IntegerType
+    )
+    if not narrowed:
+        return value.cast(field.dataType).alias(field.name)
+    fits = value.between(-(2**31), 2**31 - 1) | value.isNull()
+    error = F.raise_error(F.lit(f"{table}.{field.name} does not fit INT")).cast("int")
+    return F.when(fits, value.cast("int")).otherwise(error).alias(field.name)
+
 
-    Casts are ANSI casts: a count that does not fit INT fails instead of wrapping.
-    """
+def conform(df: DataFrame, contract: Contract) -> DataFrame:
+    """Project to the contract's columns, order and types."""
     require(df, contract.schema, contract.name)
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields]
-    )
+    return df.select(*[_stored(df, f, contract.name) for f in contract.schema.fields])
 
 
 def schema_listing(df: DataFrame) -> DataFrame:

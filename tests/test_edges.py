@@ -112,6 +112,14 @@ def test_rules_reject_unusable_values():
         Rules(payment_types=(1, 8))
     with pytest.raises(ValueError):
         Rules(habit={})
+    with pytest.raises(ValueError):
+        Rules(date_from="2022-13-01")
+    with pytest.raises(ValueError):
+        Rules(date_from="2023-01-01")
+    with pytest.raises(ValueError):
+        Rules(heavy_share=0)
+    with pytest.raises(ValueError):
+        Rules(control_percent=101)
 
 
 def users(spark, *values):

@@ -89,8 +89,12 @@ def test_missing_column_and_overflow(spark):
         conform(spark.createDataFrame([("a",)], "user_id string"), schemas.TRANSACTION_SUMMARY)
     huge = spark.createDataFrame([("a", DAY, 2**40, 0, 0, 1)], DDL)
     huge = huge.toDF(*schemas.TRANSACTION_SUMMARY.schema.names)
-    with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        conform(huge, schemas.TRANSACTION_SUMMARY).collect()
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for ansi in (True, False):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        with pytest.raises(Exception, match="transaction_count does not fit INT"):
+            conform(huge, schemas.TRANSACTION_SUMMARY).collect()
+    spark.conf.set("spark.sql.ansi.enabled", before)
     wide = conform(huge, schemas.TRANSACTION_SUMMARY.with_wide_counts())
     assert wide.first()["transaction_count"] == 2**40
 
