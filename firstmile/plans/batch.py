@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firstmile import schemas
-from firstmile.operators import activity, cleaning, funnel, metrics
+from firstmile.operators import activity, cleaning, funnel, metrics, overlap
 from firstmile.operators.dedupe import one_row_per_user
 from firstmile.plans.lineage import checkpointed
 from firstmile.plans.publish import Published, publish
@@ -112,6 +112,13 @@ def read_clean(spark: SparkSession, folder: str) -> Extracts:
     )
 
 
+def consistency(clean: Extracts, folder: str) -> DataFrame:
+    """Land and return how far the users of the clean tables overlap."""
+    counts = overlap.overlap_counts(clean.users, clean.transactions, clean.onboarding)
+    write_parquet(counts, f"{folder}/consistency")
+    return read_parquet(clean.users.sparkSession, f"{folder}/consistency")
+
+
 def transform(clean: Extracts, rules: Rules, folder: str) -> None:
     """Land daily activity, the user segments built on it, and user metrics."""
     spark = clean.users.sparkSession
@@ -162,9 +169,14 @@ def run(
     folder: str,
     sink_of: Callable[[str], Sink] | None = None,
 ) -> tuple[DataFrame, list[Published]]:
-    """All stages: the cleaning ledger and what became of each served table."""
+    """All stages: the cleaning ledger and what became of each served table.
+
+    The overlaps of the clean tables are in `folder`/consistency.
+    """
     spark = raw.users.sparkSession
     ledger = preprocess(raw, rules, folder)
-    transform(read_clean(spark, folder), rules, folder)
+    clean = read_clean(spark, folder)
+    consistency(clean, folder)
+    transform(clean, rules, folder)
     served = sink_of or (lambda name: parquet_table(f"{folder}/served/{name}"))
     return ledger, serve(spark, folder, served)

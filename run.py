@@ -12,6 +12,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from firstmile import Rules
+from firstmile.operators.overlap import coverage_ratios
 from firstmile.plans import batch
 from firstmile.plans.explore import explore
 from firstmile.plans.publish import status_table
@@ -52,6 +53,9 @@ def main() -> None:
             report.write.mode("overwrite").parquet(f"{args.output}/exploration/{name}")
     if "preprocess" in stages:
         batch.preprocess(raw, rules, args.output).show(truncate=False)
+        overlaps = batch.consistency(batch.read_clean(spark, args.output), args.output)
+        overlaps.show(truncate=False)
+        coverage_ratios(overlaps).show(truncate=False)
     if "transform" in stages:
         batch.transform(batch.read_clean(spark, args.output), rules, args.output)
     if "serve" in stages:

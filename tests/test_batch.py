@@ -81,6 +81,18 @@ def test_served_tables_match_their_sql(spark, done):
         assert differences(served, con, sql[name]) == [], p.table
 
 
+def test_consistency_is_landed(spark, done):
+    found = spark.read.parquet(f"{done[0]}/consistency").first().asDict()
+    clean = batch.read_clean(spark, done[0])
+    users, transactions, onboarding = (
+        {r[0] for r in df.select("user_id").collect()}
+        for df in (clean.users, clean.transactions, clean.onboarding)
+    )
+    assert found["users_count"] == len(users) == 125
+    assert found["users_onboarding_overlap"] == len(users & onboarding)
+    assert found["all_three_overlap"] == len(users & transactions & onboarding)
+
+
 def test_clean_tables_have_declared_types(spark, done):
     clean = batch.read_clean(spark, done[0])
     assert schemas.schema_problems(clean.users, schemas.CLEAN_USERS) == []
