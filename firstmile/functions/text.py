@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def strip_newlines(text: Column) -> Column:
-    # translate is a per-character map: no regex engine in the hot path.
-    return F.translate(text, "\n", " ")
+    # A plain replace works on bytes; translate and regular expressions decode.
+    return F.replace(text, F.lit("\n"), F.lit(" "))
 
 
 def collapse_whitespace(text: Column) -> Column:

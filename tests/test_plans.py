@@ -63,6 +63,12 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "event_id" not in plan.split("ReadSchema")[1]
 
 
+def test_cleaning_does_not_shuffle(spark):
+    """What makes counts observed during the write exact under retries."""
+    for name in ("clean_users", "clean_transactions", "clean_onboarding"):
+        assert "Exchange" not in plan_of(entry.queries()[name](spark, SMALL))
+
+
 def test_served_tables_roll_up_cohorts(spark):
     """Grouping sets expand the small cohort table, not the users."""
     t = Inputs(spark, SMALL)
