@@ -16,7 +16,7 @@ from firstmile import schemas
 from firstmile.operators import activity, cleaning, funnel, metrics, overlap
 from firstmile.operators.dedupe import one_row_per_user
 from firstmile.plans.lineage import checkpointed
-from firstmile.plans.publish import Published, publish
+from firstmile.plans.publish import WRITTEN, Published, publish, verify
 from firstmile.rules import Rules
 from firstmile.schemas import Contract
 from firstmile.sources import parquet_table, read_parquet, read_text_table, write_parquet
@@ -134,6 +134,10 @@ def transform(clean: Extracts, rules: Rules, folder: str) -> None:
     write_parquet(wide, f"{folder}/user_metrics")
 
 
+def _fallback(folder: str, table: str) -> Sink:
+    return parquet_table(f"{folder}/fallback/{table}")
+
+
 def serve(
     spark: SparkSession,
     folder: str,
@@ -158,11 +162,26 @@ def serve(
         (schemas.TRANSACTION_SUMMARY, activity.daily_summary(daily)),
     ]
     return [
-        publish(df, adapt(c), sink_of(c.name), parquet_table(f"{folder}/fallback/{c.name}"))
-        for c, df in tables
+        publish(df, adapt(c), sink_of(c.name), _fallback(folder, c.name)) for c, df in tables
     ]
 
 
+def check(
+    spark: SparkSession,
+    folder: str,
+    published: list[Published],
+    sink_of: Callable[[str], Sink],
+    adapt: Callable[[Contract], Contract] = lambda contract: contract,
+) -> list[str]:
+    """Read every served table back from where it went; what is wrong with any."""
+    problems = []
+    for result in published:
+        name = result.table
+        sink = sink_of(name) if result.status == WRITTEN else _fallback(folder, name)
+        problems += verify(spark, result, adapt(schemas.CONTRACTS[name]), sink)
+    return problems
+
+
 def run(
     raw: Extracts,
     rules: Rules,

@@ -72,6 +72,9 @@ def main() -> None:
 
         published = batch.serve(spark, args.output, sink_of, args.with_week, adapt)
         status_table(spark, published).show(truncate=False)
+        problems = batch.check(spark, args.output, published, sink_of, adapt)
+        if problems:
+            raise SystemExit("\n".join(problems))
 
 
 if __name__ == "__main__":

@@ -105,9 +105,25 @@ def test_stage_alone_with_absent_connector(spark, done):
     published = batch.serve(spark, folder, lambda t: keyed_table(t, "ks", format="no.such.connector"))
     assert {p.status for p in published} == {"fallback"}
     assert all("no.such.connector" in p.error for p in published)
-    for p in published:
-        spare = parquet_table(f"{folder}/fallback/{p.table}")
-        assert verify(spark, p, schemas.CONTRACTS[p.table], spare) == []
+    assert batch.check(spark, folder, published, None) == []
+
+
+def test_adapted_contracts_are_served_and_checked(spark, done, tmp_path):
+    folder = done[0]
+
+    def sink_of(table):
+        return parquet_table(str(tmp_path / table))
+
+    def adapt(contract):
+        return contract.with_instants().with_wide_counts()
+
+    published = batch.serve(spark, folder, sink_of, with_week=True, adapt=adapt)
+    assert batch.check(spark, folder, published, sink_of, adapt) == []
+    # The plain contracts no longer fit, and the check says so.
+    problems = batch.check(spark, folder, published, sink_of)
+    assert any("user_metrics.first_login_dt: timestamp, not timestamp_ntz" in p for p in problems)
+    funnel = spark.read.parquet(str(tmp_path / "funnel_analysis"))
+    assert funnel.filter("dimension_type = 'week'").count() == 6
 
 
 def test_exploration_reports(spark, extracts):
