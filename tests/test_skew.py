@@ -58,12 +58,30 @@ def _events(log: str):
                 yield json.loads(line)
 
 
+def _wait_for_log(spark, log: str, mark: str) -> None:
+    """The log is written behind, in order: run a last job and wait for its end."""
+    spark.sparkContext.setJobDescription(mark)
+    spark.range(1).count()
+    spark.sparkContext.setJobDescription(None)
+    for _ in range(60):
+        events = list(_events(log))
+        marked = {
+            e["Job ID"]
+            for e in events
+            if e["Event"] == "SparkListenerJobStart"
+            and (e.get("Properties") or {}).get("spark.job.description") == mark
+        }
+        if marked & {e["Job ID"] for e in events if e["Event"] == "SparkListenerJobEnd"}:
+            return
+        time.sleep(0.5)
+    raise AssertionError("the event log did not arrive")
+
+
 def worst_share(spark, log: str, name: str, df) -> float:
     """Largest task over mean task, in rows read from a shuffle, over all stages."""
     spark.sparkContext.setJobDescription(name)
     df.write.format("noop").mode("overwrite").save()
-    spark.sparkContext.setJobDescription(None)
-    time.sleep(1)  # the log is written behind
+    _wait_for_log(spark, log, f"after {name}")
     stages, read = set(), {}
     for e in _events(log):
         if e["Event"] == "SparkListenerStageSubmitted":
