@@ -5,9 +5,10 @@ from compare import differences, duck
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from firstmile.catalog import oracles, queries
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries.queries()
+SQL = oracles.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,8 @@ def con():
 
 def test_every_query_has_sql_and_back():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
