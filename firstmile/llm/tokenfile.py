@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,20 +40,30 @@ from firstmile.llm.columns import slices, values, whole_text
 
 SAMPLE, SAMPLE_IDS, DICTIONARY_BYTES = 4000, 4096, 65536
 BLOCK_BYTES = 4 << 20
-CACHE = 300_000
+CACHE = 600_000
+#: Punctuation that never starts or continues a contraction.
+TAIL = ".,;:!?#*$%&"
 LEVEL = 3
 END = 0
 #: Documents of one range; a range is one task and at least one block.
 RANGE_ROWS = 50_000
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """ids as little-endian unsigned 32-bit numbers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, through the tokenizers library.
 
-    Byte-level BPE never joins across a space that a visible character follows, so
-    text falls into pieces there whose ids do not depend on their neighbours; each
-    piece is encoded once while the cache holds it. Texts with two spaces in a row
-    are encoded in one go.
+    Byte-level BPE never joins across a space that a visible character follows, nor
+    across the end of a run of letters before punctuation. Text falls into pieces
+    there whose ids do not depend on their neighbours; each is encoded once while the
+    cache holds it. Texts with two spaces in a row are encoded in one go.
     """
 
     def __init__(self, definition: str):
@@ -61,16 +73,32 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [_bytes(x.ids) for x in found]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Bring pieces into the cache; what they need is bounded by the batch they come from."""
+        cache = self.cache
+        lacking = pieces.difference(cache)
+        if len(cache) + len(lacking) > CACHE:
+            cache.clear()
+            lacking = pieces
+        parts = {}
+        for piece in lacking:
+            word = piece.rstrip(TAIL)
+            # Only where a letter stands before it does punctuation stand by itself.
+            parts[piece] = (word, piece[len(word) :]) if len(word) < len(piece) and word[-1:].isalpha() else (piece, "")
+        new = [x for x in {x for both in parts.values() for x in both} if x and x not in cache]
+        for at in range(0, len(new), 8192):  # the library's own results are large
+            some = new[at : at + 8192]
+            cache.update(zip(some, self._encode(some), strict=True))
+        cache[""] = b""
+        for piece, (word, tail) in parts.items():
+            if tail:
+                cache[piece] = cache[word] + cache[tail]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         cut = [None if "  " in t else [(p := t.split(" "))[0], *map(" ".__add__, p[1:])] for t in texts]
-        lacking = list({p for pieces in cut if pieces for p in pieces}.difference(self.cache))
-        if len(self.cache) + len(lacking) > CACHE:
-            self.cache.clear()
-            lacking = list({p for pieces in cut if pieces for p in pieces})
-        # What the pieces of one batch need is bounded by the batch.
-        self.cache.update(zip(lacking, self._encode(lacking), strict=True))
+        self._learn({p for pieces in cut if pieces for p in pieces})
         for text, pieces in zip(texts, cut, strict=True):
             yield self._encode([text])[0] if pieces is None else b"".join(map(self.cache.__getitem__, pieces))
 
@@ -92,7 +120,7 @@ def train_dictionary(docs: DataFrame, definition: str) -> bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(definition)
-        for batch in slices(batches, 1000):
+        for batch in slices(batches, 250):
             yield pa.RecordBatch.from_pydict({"ids": pa.array([ids[: 4 * SAMPLE_IDS] for ids in encode(values(batch, "text"))], pa.binary())})
 
     # A third of all rows may share one id: the sample is cut again by content.
@@ -104,17 +132,22 @@ def train_dictionary(docs: DataFrame, definition: str) -> bytes:
         return b""
 
 
-def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(data) if data else None
+def _dictionary(data: bytes, compress: bool = False) -> zstandard.ZstdCompressionDict | None:
+    if not data:
+        return None
+    found = zstandard.ZstdCompressionDict(data)
+    if compress:  # digested once, not for each frame
+        found.precompute_compress(level=LEVEL)
+    return found
 
 
 def encode(docs: DataFrame, definition: str, dictionary: bytes) -> DataFrame:
     """doc_id, number of ids with the end, and the document's own compressed frame."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, squeeze = Encoder(definition), zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(dictionary))
-        end = np.array([END], "<u4").tobytes()
-        for batch in slices(batches, 1000):
+        ids_of, squeeze = Encoder(definition), zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(dictionary, compress=True))
+        end = _bytes([END])
+        for batch in slices(batches, 250):
             ids = [x + end for x in ids_of(values(batch, "text"))]
             yield pa.RecordBatch.from_pydict(
                 {
