@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ from firstmile.llm.columns import id_remainder, raw, slices, values
 
 END = b""  # no word is empty
 CLASSES, CONTEXT, WIDTH = 1024, 2, 32
-FREQUENT, WORD_BYTES = 131_072, 64
-NOISE, SHARED, BATCH, RATE, ROUNDS = 16, 64, 2048, 0.15, 2
+FREQUENT, WORD_BYTES = 524_288, 64
+NOISE, SHARED, BATCH, HEAVIEST, RATE, ROUNDS = 16, 64, 2048, 8, 0.15, 2
 DISTINCT = 300_000  # words that a task counts before it hands them on
 
 
@@ -125,25 +126,49 @@ class Trainer:
         squares[at] += gradient * gradient
         values[at] -= RATE * gradient / np.sqrt(squares[at])
 
-    def learn(self, before: np.ndarray, after: np.ndarray) -> None:
-        m, n = self.model, len(after)
+    def learn(self, before: np.ndarray, after: np.ndarray, weight: np.ndarray) -> None:
+        """One step on `weight` occurrences of class `after` in context `before`, row by row."""
+        m = self.model
         noise = np.minimum(np.searchsorted(self.cumulative, self.draw.random(SHARED) * self.cumulative[-1]), len(self.noise) - 1)
-        hidden = m.predicted(before)
-        own = np.einsum("nd,nd->n", hidden, m.target[after]) + m.bias[after] - self.log_noise[after]
-        other = hidden @ m.target[noise].T + m.bias[noise] - self.log_noise[noise]
-        g_own = -1 / (1 + np.exp(np.clip(own, -30, 30)))  # of -log sigmoid(own)
-        g_other = (NOISE / SHARED) / (1 + np.exp(np.clip(-other, -30, 30)))  # of -log(1 - sigmoid(other))
-        g_hidden = g_own[:, None] * m.target[after] + g_other @ m.target[noise]
-        scale = 1.0 / np.sqrt(n)  # between a sum and a mean: rare classes move, frequent ones stay calm
-        rows = np.concatenate([g_own[:, None] * hidden, g_other.T @ hidden])
-        at, g_target = _summed(np.c_[rows, np.r_[g_own, g_other.sum(axis=0)]], np.r_[after, noise].astype(np.uint16))
+        hidden, wanted, unwanted = m.predicted(before), m.target[after], m.target[noise]
+        own = np.einsum("nd,nd->n", hidden, wanted) + (m.bias - self.log_noise)[after]
+        other = hidden @ unwanted.T
+        other += (m.bias - self.log_noise)[noise]
+        with np.errstate(over="ignore"):  # a score far out has a gradient of 0 or 1
+            g_own = -weight / (1 + np.exp(own))  # of -log sigmoid(own)
+            np.exp(np.negative(other, out=other), out=other)  # of -log(1 - sigmoid(other))
+        other += 1
+        np.divide((weight * np.float32(NOISE / SHARED))[:, None], other, out=other)
+        g_hidden = g_own[:, None] * wanted + other @ unwanted
+        scale = np.float32(1 / np.sqrt(weight.sum()))  # between a sum and a mean: rare classes move, frequent ones stay calm
+        rows = np.concatenate([g_own[:, None] * hidden, other.T @ hidden])
+        at, g_target = _summed(np.c_[rows, np.r_[g_own, other.sum(axis=0)]], np.r_[after, noise].astype(np.uint16))
         shift = [_summed(g_hidden * m.position[i], before[:, i].astype(np.uint16)) for i in range(CONTEXT)]
-        g_position = np.stack([(g_hidden * m.context[before[:, i]]).sum(axis=0) for i in range(CONTEXT)])
+        g_position = np.stack([np.einsum("nd,nd->d", g_hidden, m.context[before[:, i]]) for i in range(CONTEXT)])
         self._step(1, at, g_target[:, :-1] * scale)
         self._step(2, at, g_target[:, -1] * scale)
         for rows_at, g in shift:
             self._step(0, rows_at, g * scale)
-        self._step(3, slice(None), g_position * scale / n)
+        self._step(3, slice(None), g_position * (scale / weight.sum()))
+
+    def pass_over(self, before: np.ndarray, after: np.ndarray) -> None:
+        """All tokens once, in random order; repeats of a class in a context are one row of that weight, up to HEAVIEST."""
+        width = len(self.model.context)
+        code = after
+        for i in range(CONTEXT):
+            code = code * width + before[:, i]
+        code, n = np.unique(code, return_counts=True)
+        times = -(-n // HEAVIEST)
+        rows = self.draw.permutation(np.repeat(np.arange(len(code)), times))
+        weights = (n / times).astype(np.float32)
+        for at in range(0, len(rows), BATCH):
+            part = rows[at : at + BATCH]
+            own = code[part]
+            columns = []
+            for _ in range(CONTEXT):
+                columns.append(own % width)
+                own = own // width
+            self.learn(np.stack(columns[::-1], axis=1), own, weights[part])
 
 
 def contexts(ids: np.ndarray, first: np.ndarray, pad: int) -> np.ndarray:
@@ -155,20 +180,26 @@ def contexts(ids: np.ndarray, first: np.ndarray, pad: int) -> np.ndarray:
     return out
 
 
+class _OrRest(dict):
+    rest = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.rest
+
+
 class Classes:
     """Class numbers of words; the last class is the rest."""
 
     def __init__(self, named: list[bytes]):
-        self.of = {w: i for i, w in enumerate(named)}
-        self.rest = len(named)
+        self.of = _OrRest((w, i) for i, w in enumerate(named))
+        self.rest = self.of.rest = len(named)
         self.pad = self.rest + 1
 
     def ids(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
         """Classes of all tokens end to end, each token's text start, the words of each text with its end."""
-        get, rest = self.of.get, self.rest
         tokens = [[*words(t), END] for t in texts]
         sizes = np.array([len(t) for t in tokens], np.int64)
-        ids = np.fromiter((get(w, rest) for t in tokens for w in t), np.int64, int(sizes.sum()))
+        ids = np.fromiter(map(self.of.__getitem__, chain.from_iterable(tokens)), np.int64, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         return ids, np.repeat(starts, sizes), tokens
 
@@ -183,11 +214,9 @@ def _train_round(docs: DataFrame, named: list[bytes], noise: np.ndarray, model:
         classes = Classes(named)
         model = Model(*(p.copy() for p in parts))
         trainer, seen = Trainer(model, noise, 1000 + round_), 0
-        for batch in slices(batches, 200):
+        for batch in slices(batches, 500):
             ids, first, _ = classes.ids(raw(batch, "text"))
-            before = contexts(ids, first, classes.pad)
-            for at in range(0, len(ids), BATCH):
-                trainer.learn(before[at : at + BATCH], ids[at : at + BATCH])
+            trainer.pass_over(contexts(ids, first, classes.pad), ids)
             seen += len(ids)
         if seen:
             for block, part in enumerate(model.parts()):
@@ -233,7 +262,8 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> Fitted:
     tokens, distinct = row["n"], row["v"]
     often = vocabulary.where((F.col("c") * FREQUENT >= tokens) & (F.length("word") <= WORD_BYTES))
     frequent = {bytes(r["word"]): r["c"] for r in often.collect()} if tokens else {}
-    named = sorted(frequent, key=lambda w: (-frequent[w], w))[:CLASSES]
+    frequent = dict(sorted(frequent.items(), key=lambda wc: (-wc[1], wc[0])))
+    named = list(frequent)[:CLASSES]
     counted = sum(frequent[w] for w in named)
     # The rest class holds the other seen words, each with one count added, and one unseen word.
     rest_mass = float(tokens - counted + distinct - len(named) + 1)
@@ -277,29 +307,29 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_frequent long, log_fre
 def score(docs: DataFrame, fitted: Fitted, held_out: Column) -> DataFrame:
     """One row a document: tokens, known tokens, log10 probability under the unigram base and under the model."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((fitted.named, fitted.frequent, fitted.model.parts()))
+    # Frequent words by falling count: the first of them are the model's classes.
+    counts = np.array([*fitted.frequent.values()], np.float64)
+    sent = spark.sparkContext.broadcast((list(fitted.frequent), counts, len(fitted.named), fitted.model.parts()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        named, frequent, parts = sent.value
-        classes, scorer = Classes(named), Scorer(Model(*parts))
-        logs = {w: float(np.log10(c + 1)) for w, c in frequent.items()}
+        frequent, counts, n_named, parts = sent.value
+        numbers, scorer, none = Classes(frequent), Scorer(Model(*parts)), len(frequent)
+        logs = np.append(np.log10(counts + 1), 0.0)
         # What words outside the classes add to the base, they add to the model's score as well.
-        beyond = {w: x for w, x in logs.items() if w not in classes.of}
+        beyond = np.where(np.arange(none + 1) < n_named, 0.0, logs)
         for batch in slices(batches, 200):
-            ids, first, tokens = classes.ids(raw(batch, "text"))
+            found, first, tokens = numbers.ids(raw(batch, "text"))
+            ids = np.minimum(found, n_named)
             sizes = np.array([len(t) for t in tokens], np.int64)
             starts = np.cumsum(sizes) - sizes
-            by_class = np.add.reduceat(scorer(contexts(ids, first, classes.pad), ids), starts)
-            rest = np.add.reduceat((ids == classes.rest).astype(np.int64), starts)
-            n_frequent, log_frequent, log_beyond, rare, rare_tf, ends = [], [], [], [], [], [0]
-            for t in tokens:
-                tf = Counter(t)
-                lacking = {w: n for w, n in tf.items() if w not in logs}
-                n_frequent.append(len(t) - sum(lacking.values()))
-                log_frequent.append(sum(n * logs[w] for w, n in tf.items() if w in logs))
-                log_beyond.append(sum(n * beyond[w] for w, n in tf.items() if w in beyond))
-                rare.extend(lacking)
-                rare_tf.extend(lacking.values())
+            rare, rare_tf, ends = [], [], [0]
+            lacking = found == none
+            at = np.cumsum(lacking)
+            flat = list(compress(chain.from_iterable(tokens), lacking.tolist()))
+            for low, high in zip((at[starts] - lacking[starts]).tolist(), at[starts + sizes - 1].tolist(), strict=True):
+                tf = Counter(flat[low:high])
+                rare.extend(tf)
+                rare_tf.extend(tf.values())
                 ends.append(len(rare))
             pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(rare_tf, pa.int32())], ["word", "tf"])
             yield pa.RecordBatch.from_pydict(
@@ -307,10 +337,10 @@ def score(docs: DataFrame, fitted: Fitted, held_out: Column) -> DataFrame:
                     "doc_id": batch.column(0).cast(pa.int64()),
                     "held_out": batch.column(2),
                     "n_tokens": pa.array(sizes),
-                    "n_frequent": pa.array(n_frequent, pa.int64()),
-                    "log_frequent": pa.array(log_frequent, pa.float64()),
-                    "log_class": pa.array(by_class + np.array(log_beyond)),
-                    "n_rest": pa.array(rest),
+                    "n_frequent": pa.array(sizes - np.add.reduceat(lacking.astype(np.int64), starts)),
+                    "log_frequent": pa.array(np.add.reduceat(logs[found], starts)),
+                    "log_class": pa.array(np.add.reduceat(scorer(contexts(ids, first, n_named + 1), ids) + beyond[found], starts)),
+                    "n_rest": pa.array(np.add.reduceat((ids == n_named).astype(np.int64), starts)),
                     "rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                 }
             )
