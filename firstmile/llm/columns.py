@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +38,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def portions(batches: Iterator[pa.RecordBatch], name: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose text in column `name` takes about `size` bytes; a longer text comes alone."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy()
+        start, held = 0, 0
+        for i, n in enumerate(lengths.tolist()):
+            if held and held + n > size:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if start < batch.num_rows:
+            yield batch.slice(start)

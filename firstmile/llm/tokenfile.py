@@ -22,25 +22,25 @@ from __future__ import annotations
 
 import hashlib
 import os
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from firstmile.llm import store
-from firstmile.llm.columns import slices, values, whole_text
+from firstmile.llm.columns import portions, slices, values, whole_text
 
 SAMPLE, SAMPLE_IDS, DICTIONARY_BYTES = 4000, 4096, 65536
 BLOCK_BYTES = 4 << 20
-CACHE = 600_000
+#: Bytes of text that a task encodes at a time.
+PORTION = 12 << 20
 #: Punctuation that never starts or continues a contraction.
 TAIL = ".,;:!?#*$%&"
 LEVEL = 3
@@ -49,58 +49,101 @@ END = 0
 RANGE_ROWS = 50_000
 
 
-def _bytes(ids: list[int]) -> bytes:
-    """ids as little-endian unsigned 32-bit numbers."""
-    found = array("I", ids)
-    if sys.byteorder == "big":
-        found.byteswap()
-    return found.tobytes()
+def _gather(ids: np.ndarray, begin: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ids[begin[k] : begin[k] + sizes[k]] for k in `at`, end to end, and where each ends."""
+    each = sizes[at]
+    ends = np.cumsum(each)
+    return ids[np.repeat(begin[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, through the tokenizers library.
 
     Byte-level BPE never joins across a space that a visible character follows, nor
-    across the end of a run of letters before punctuation. Text falls into pieces
-    there whose ids do not depend on their neighbours; each is encoded once while the
-    cache holds it. Texts with two spaces in a row are encoded in one go.
+    across the end of a run of letters before punctuation. The texts of a portion
+    fall into words there, whose ids do not depend on their neighbours; each
+    distinct word is encoded once, and numpy puts the texts together again. Texts
+    with two spaces in a row are encoded in one go.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [_bytes(x.ids) for x in found]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Bring pieces into the cache; what they need is bounded by the batch they come from."""
-        cache = self.cache
-        lacking = pieces.difference(cache)
-        if len(cache) + len(lacking) > CACHE:
-            cache.clear()
-            lacking = pieces
-        parts = {}
-        for piece in lacking:
-            word = piece.rstrip(TAIL)
-            # Only where a letter stands before it does punctuation stand by itself.
-            parts[piece] = (word, piece[len(word) :]) if len(word) < len(piece) and word[-1:].isalpha() else (piece, "")
-        new = [x for x in {x for both in parts.values() for x in both} if x and x not in cache]
-        for at in range(0, len(new), 8192):  # the library's own results are large
-            some = new[at : at + 8192]
-            cache.update(zip(some, self._encode(some), strict=True))
-        cache[""] = b""
-        for piece, (word, tail) in parts.items():
-            if tail:
-                cache[piece] = cache[word] + cache[tail]
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [None if "  " in t else [(p := t.split(" "))[0], *map(" ".__add__, p[1:])] for t in texts]
-        self._learn({p for pieces in cut if pieces for p in pieces})
-        for text, pieces in zip(texts, cut, strict=True):
-            yield self._encode([text])[0] if pieces is None else b"".join(map(self.cache.__getitem__, pieces))
+        names = self.tokenizer.get_vocab()
+        # Byte-level vocabularies write a space as this letter.
+        self.opens = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts end to end, and each one's number of ids."""
+        out, sizes = [np.empty(0, "<u4")], []
+        for at in range(0, len(texts), 4096):  # the library's own results are large
+            for x in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
+                out.append(np.array(x.ids, "<u4"))
+                sizes.append(len(out[-1]))
+        return np.concatenate(out), np.array(sizes, np.int64)
+
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As _encode for words of letters, each after one space, as one text: a word begins at each id that opens with a space."""
+        out, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for at in range(0, len(words), 16384):
+            some = words[at : at + 16384]
+            text = " " + pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), " ")[0].as_py()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.opens[ids])
+            if len(cuts) == len(some):
+                size = np.diff(np.append(cuts, len(ids)))
+            else:  # a vocabulary that does not keep words apart
+                ids, size = self._encode([" " + w for w in some.to_pylist()])
+            out.append(ids)
+            sizes.append(size)
+        return np.concatenate(out), np.concatenate(sizes)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As _encode for distinct words, each after one space."""
+        stems = pc.utf8_rtrim(words, TAIL)
+        # Only where a letter stands before it does punctuation stand by itself.
+        apart = pc.utf8_is_alpha(pc.utf8_slice_codeunits(stems, -1))
+        stems = pc.if_else(apart, stems, words)
+        # Tails are of one byte a character, so their length tells where they start.
+        tailed = pc.binary_length(words).to_numpy() - pc.binary_length(stems).to_numpy()
+        tails = np.full(len(words), "", object)
+        for i in np.flatnonzero(tailed).tolist():
+            tails[i] = words[i].as_py()[-tailed[i] :]
+        stem, tail = stems.dictionary_encode(), pa.array(tails, pa.string()).dictionary_encode()
+        letters = pc.utf8_is_alpha(stem.dictionary)
+        ids, sizes = self._encode_words(stem.dictionary.filter(letters))
+        more, more_sizes = self._encode([" " + w for w in stem.dictionary.filter(pc.invert(letters)).to_pylist()])
+        last, last_sizes = self._encode(tail.dictionary.to_pylist())
+        # Runs of stems with letters only, other stems, and tails, in this order.
+        letters = letters.to_numpy(zero_copy_only=False)
+        place = np.where(letters, np.cumsum(letters) - 1, len(sizes) + np.cumsum(~letters) - 1)
+        ids, sizes = np.concatenate([ids, more, last]), np.concatenate([sizes, more_sizes, last_sizes])
+        both = np.empty(2 * len(words), np.int64)
+        both[0::2] = place[stem.indices.to_numpy()]
+        both[1::2] = len(sizes) - len(last_sizes) + tail.indices.to_numpy()
+        joined, ends = _gather(ids, np.cumsum(sizes) - sizes, sizes, both)
+        return joined, np.diff(np.concatenate(([0], ends[1::2])))
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text of a string array."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring(texts, "  ")
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        offsets, flat = cut.offsets.to_numpy(), cut.values
+        coded = flat.dictionary_encode()
+        ids, sizes = self._words(coded.dictionary)
+        # A text's first word has no space before it.
+        first, first_sizes = self._encode(flat.take(pa.array(offsets[:-1])).to_pylist())
+        piece = coded.indices.to_numpy().astype(np.int64)
+        piece[offsets[:-1]] = len(sizes) + np.arange(len(texts))
+        ids, sizes = np.concatenate([ids, first]), np.concatenate([sizes, first_sizes])
+        joined, ends = _gather(ids, np.cumsum(sizes) - sizes, sizes, piece)
+        data, cuts = joined.tobytes(), (4 * np.concatenate(([0], ends))[offsets]).tolist()
+        out = [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._encode([texts[i].as_py()])[0].tobytes()
+        return out
 
 
 @dataclass(frozen=True)
@@ -120,8 +163,8 @@ def train_dictionary(docs: DataFrame, definition: str) -> bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(definition)
-        for batch in slices(batches, 250):
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([ids[: 4 * SAMPLE_IDS] for ids in encode(values(batch, "text"))], pa.binary())})
+        for batch in portions(batches, "text", PORTION):
+            yield pa.RecordBatch.from_pydict({"ids": pa.array([ids[: 4 * SAMPLE_IDS] for ids in encode(batch.column(0))], pa.binary())})
 
     # A third of all rows may share one id: the sample is cut again by content.
     rows = _sample(docs).select("text").orderBy(F.xxhash64("text"), "text").limit(SAMPLE)
@@ -146,9 +189,9 @@ def encode(docs: DataFrame, definition: str, dictionary: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, squeeze = Encoder(definition), zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(dictionary, compress=True))
-        end = _bytes([END])
-        for batch in slices(batches, 250):
-            ids = [x + end for x in ids_of(values(batch, "text"))]
+        end = np.array([END], "<u4").tobytes()
+        for batch in portions(batches, "text", PORTION):
+            ids = [x + end for x in ids_of(batch.column(1))]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0).cast(pa.int64()),
