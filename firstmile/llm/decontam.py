@@ -9,10 +9,10 @@ length apart, so that every stretch as long as an item lies whole in a window.
 Each passage retrieves all items at or above the threshold with block-max WAND:
 postings of a word are ordered by item and cut into blocks with their largest
 weight; the pivot is the first item that the words' largest weights can lift to the
-threshold, and a block that cannot is skipped whole. Passages whose words together
-cannot reach the threshold for any item of the class have no pivot; numpy finds
-those for a batch at a time. Nothing is cut off: the result is that of scoring
-every passage against every item.
+threshold, and a block that cannot is skipped whole. Before that, numpy adds up the
+words' largest weights by block of items for a batch of passages at a time, and
+passages that no block can lift to the threshold are done. Nothing is cut off: the
+result is that of scoring every passage against every item.
 
 A retrieved item counts if question and answer overlap with the words around the
 passage: at least `OVERLAP` of the three-word shingles of either part (of the whole
@@ -50,6 +50,8 @@ K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.5, 3
 BLOCK = 32
 PART_WORDS = 1_000_000
+#: Numbers in a class's matrix of bounds.
+MATRIX = 1 << 22
 SHORTEST = 16
 
 _BLANK = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
@@ -98,6 +100,7 @@ class Class:
     items: list[int]
     postings: dict[int, tuple[list[int], list[float], list[float]]]  # word: items, weights, largest weight by block
     most: np.ndarray  # by word: its largest weight
+    bounds: np.ndarray  # by word and block of items: the largest weight
 
 
 class Index:
@@ -125,11 +128,16 @@ class Index:
                     lists.setdefault(w, []).append((k, x / total))
             most = np.zeros(len(self.word) + 1)
             postings = {}
+            # As many blocks of neighbouring items as the bounds' memory allows, down to one item a block.
+            n_blocks = max(1, min(len(members), MATRIX // (len(self.word) + 1)))
+            block_of = {k: i * n_blocks // len(members) for i, k in enumerate(members)}
+            bounds = np.zeros((len(self.word) + 1, n_blocks), np.float32)
             for w, found in lists.items():
                 ks, xs = zip(*found, strict=True)
                 most[w] = max(xs)
+                np.maximum.at(bounds[w], [block_of[k] for k in ks], xs)
                 postings[w] = (list(ks), list(xs), [max(xs[i : i + BLOCK]) for i in range(0, len(xs), BLOCK)])
-            self.classes.append(Class(longest, members, postings, most))
+            self.classes.append(Class(longest, members, postings, most, bounds))
 
     def ids(self, texts: list[list[bytes]]) -> np.ndarray:
         """Word numbers of the texts end to end; the number after the last stands for words of no item."""
@@ -204,20 +212,21 @@ def passages(cls: Class, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     text = np.repeat(np.arange(len(starts)), n)
     begin = starts[text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * stride
     end = np.minimum(begin + 2 * stride, ends[text])
-    slack = threshold - 1e-9
-    able = np.flatnonzero(sums[end] - sums[begin] >= slack)
-    for at in range(0, len(able), 4096):
-        some = able[at : at + 4096]
+    able = np.flatnonzero(sums[end] - sums[begin] >= threshold - 1e-9)
+    for at in range(0, len(able), 512):
+        some = able[at : at + 512]
         size = end[some] - begin[some]
         window = np.repeat(np.arange(len(some)), size)
-        place = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size) + begin[some][window]
-        word = ids[place]
+        place = np.arange(len(window)) + np.repeat(begin[some] - np.cumsum(size) + size, size)
         known = most[place] > 0
-        pairs = np.unique(window[known] * (none + 1) + word[known])
+        pairs = window[known] * (none + 1) + ids[place[known]]
+        pairs.sort()
+        pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
         window, word = pairs // (none + 1), pairs % (none + 1)
-        bound = np.bincount(window, cls.most[word], len(some))
         cuts = np.searchsorted(window, np.arange(len(some) + 1))
-        for k in np.flatnonzero(bound >= slack):
+        # Every window has a word of weight, so no cut is empty.
+        bound = np.add.reduceat(cls.bounds[word], cuts[:-1], axis=0).max(axis=1)
+        for k in np.flatnonzero(bound >= threshold - 1e-4):
             yield int(text[some[k]]), int(begin[some[k]]), int(end[some[k]]), word[cuts[k] : cuts[k + 1]].tolist()
 
 
