@@ -22,14 +22,19 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from firstmile.llm.columns import slices, values
+from firstmile.llm.columns import portions, slices, values
 
 CACHE = 300_000
+#: Bytes of text whose distinct words a task holds at a time.
+PORTION = 8 << 20
+#: White space, so no word starts with it.
+MARK = "\n"
 #: White space of the Unicode standard. str.split() also splits at the separators U+001C to U+001F.
 WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 NOT_WHITE = re.compile(r"[\x1c-\x1f]")
@@ -51,40 +56,47 @@ class Bpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.rank = {pair: i for i, pair in enumerate(merges)}
         self.suffix = model["end_of_word_suffix"] or ""
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.names = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.added.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.symbols = byte_symbols()
+        symbols = byte_symbols()
+        self.inner = [self.vocab.get(c) for c in symbols]
+        self.final = [self.vocab.get(c + self.suffix) for c in symbols]
+        # By rank: the two symbols of a merge and what they become. A pair of symbols is one number.
+        self.left, self.right = [self.vocab[a] for a, _ in merges], [self.vocab[b] for _, b in merges]
+        self.becomes = [self.vocab[a + b] for a, b in merges]
+        self.rank = {a << 32 | b: i for i, (a, b) in enumerate(zip(self.left, self.right, strict=True))}
         self.cache: dict[str, tuple[str, int, str]] = {}
 
     def merge(self, word: str) -> list[int]:
-        """Ids of one word."""
-        text = [self.symbols[b] for b in word.encode()]
-        text[-1] += self.suffix
-        n = len(text)
+        """Ids of one word. A queue entry is rank * n + place: the lowest rank first, then the leftmost place."""
+        data = word.encode()
+        n, rank = len(data), self.rank.get
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.final[data[-1]]
+        if n == 1:
+            return ids
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        rank = self.rank
-        queue = [(r, i, text[i], text[i + 1]) for i in range(n - 1) if (r := rank.get((text[i], text[i + 1]))) is not None]
+        queue = [r * n + i for i in range(n - 1) if (r := rank(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(queue)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
+            r, i = divmod(heapq.heappop(queue), n)
             j = after[i]
-            if j < 0 or text[i] != left or text[j] != right:
-                continue
-            text[i], text[j] = left + right, ""
+            if j < 0 or ids[i] != self.left[r] or ids[j] != self.right[r]:
+                continue  # stale: one of the two has been merged since
+            ids[i], ids[j] = self.becomes[r], -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if (r := rank.get((text[i], text[k]))) is not None:
-                    heapq.heappush(queue, (r, i, text[i], text[k]))
+                if (r := rank(ids[i] << 32 | ids[k])) is not None:
+                    heapq.heappush(queue, r * n + i)
             h = before[i]
-            if h >= 0 and (r := rank.get((text[h], text[i]))) is not None:
-                heapq.heappush(queue, (r, h, text[h], text[i]))
-        return [self.vocab[s] for s in text if s]
+            if h >= 0 and (r := rank(ids[h] << 32 | ids[i])) is not None:
+                heapq.heappush(queue, r * n + h)
+        return [x for x in ids if x >= 0]
 
     def normal(self, text: str) -> list[str]:
         """Lower-case words between white space, as NFC."""
@@ -94,31 +106,46 @@ class Bpe:
         text = text.lower()
         return [w for w in WHITE.split(text) if w] if NOT_WHITE.search(text) else text.split()
 
-    def _word(self, word: str) -> tuple[str, int, str]:
-        ids = [i for piece in self.pattern.findall(word) for i in self.merge(piece)]
-        return " ".join(map(str, ids)), len(ids), " ".join(self.names[i] for i in ids)
-
-    def parts(self, text: str) -> Iterator[tuple[str, int, str]]:
-        """For each word: its ids in decimal, how many, and its decoded text."""
-        cache = self.cache
-        pieces = self.cut.split(text) if self.cut and "<|" in text else [text]
-        for k, piece in enumerate(pieces):
-            if k % 2:
-                yield str(self.added[piece]), 1, piece
-                continue
-            for word in self.normal(piece):
-                found = cache.get(word)
-                if found is None:
-                    found = self._word(word)
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    if len(word) <= 64:
-                        cache[word] = found
-                if found[1]:
-                    yield found
+    def _piece(self, piece: str) -> tuple[str, int, str]:
+        found = self.cache.get(piece)
+        if found is None:
+            ids = self.merge(piece)
+            found = " ".join(map(str, ids)), len(ids), " ".join(map(self.names.__getitem__, ids))
+            if len(piece) <= 64:
+                if len(self.cache) >= CACHE:
+                    self.cache.clear()
+                self.cache[piece] = found
+        return found
+
+    def word(self, word: str) -> tuple[str, int, str]:
+        """A word's ids in decimal, how many, and the text decoded from them."""
+        pieces = self.pattern.findall(word)
+        if len(pieces) == 1:
+            return self._piece(pieces[0])
+        if not pieces:
+            return "", 0, ""
+        ids, n, names = zip(*map(self._piece, pieces), strict=True)
+        return " ".join(ids), sum(n), " ".join(names)
+
+    def words(self, text: str) -> list[str]:
+        """Normal words of a text, added tokens as they stand between them."""
+        if not (self.cut and "<|" in text):
+            return self.normal(text)
+        out = []
+        for k, piece in enumerate(self.cut.split(text)):
+            # An added token's mark keeps it apart from a word that reads the same.
+            out += [MARK + piece] if k % 2 else self.normal(piece)
+        return out
+
+    def parts(self, texts: list[list[str]]) -> list[list[tuple[str, int, str]]]:
+        """For each text the parts of its words. A word of several texts is encoded once."""
+        table = {}
+        for w in set(chain.from_iterable(texts)):
+            table[w] = (str(self.added[w[1:]]), 1, w[1:]) if w[0] == MARK else self.word(w)
+        return [[p for p in map(table.__getitem__, t) if p[1]] for t in texts]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for p in self.parts(text) for i in p[0].split(" ")]
+        return [int(i) for p in self.parts([self.words(text)])[0] for i in p[0].split(" ")]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.names[i] for i in ids)
@@ -129,10 +156,10 @@ def digest(docs: DataFrame, definition: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(definition)
-        for batch in slices(batches, 1000):
+        for batch in portions(batches, "text", PORTION):
             counts, ids, decoded = [], [], []
-            for text in values(batch, "text"):
-                a, n, b = zip(*parts, strict=True) if (parts := list(bpe.parts(text or ""))) else ((), (), ())
+            for parts in bpe.parts([bpe.words(t or "") for t in values(batch, "text")]):
+                a, n, b = zip(*parts, strict=True) if parts else ((), (), ())
                 counts.append(sum(n))
                 ids.append(hashlib.sha256(" ".join(a).encode()).hexdigest())
                 decoded.append(hashlib.sha256(" ".join(b).encode()).hexdigest())
