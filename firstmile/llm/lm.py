@@ -44,7 +44,7 @@ from firstmile.llm.columns import id_remainder, raw, slices, values
 END = b""  # no word is empty
 CLASSES, CONTEXT, WIDTH = 1024, 2, 32
 FREQUENT, WORD_BYTES = 524_288, 64
-NOISE, SHARED, BATCH, HEAVIEST, RATE, ROUNDS = 16, 64, 2048, 8, 0.15, 2
+NOISE, SHARED, BATCH, HEAVIEST, RATE, ROUNDS = 16, 64, 512, 8, 0.1, 2
 DISTINCT = 300_000  # words that a task counts before it hands them on
 
 
