@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +40,7 @@ from firstmile.llm.columns import portions, slices, values, whole_text
 SAMPLE, SAMPLE_IDS, DICTIONARY_BYTES = 4000, 4096, 65536
 BLOCK_BYTES = 4 << 20
 #: Bytes of text that a task encodes at a time.
-PORTION = 12 << 20
+PORTION = 14 << 20
 #: Punctuation that never starts or continues a contraction.
 TAIL = ".,;:!?#*$%&"
 LEVEL = 3
@@ -59,20 +59,23 @@ def _gather(ids: np.ndarray, begin: np.ndarray, sizes: np.ndarray, at: np.ndarra
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, through the tokenizers library.
 
-    Byte-level BPE never joins across a space that a visible character follows, nor
-    across the end of a run of letters before punctuation. The texts of a portion
-    fall into words there, whose ids do not depend on their neighbours; each
-    distinct word is encoded once, and numpy puts the texts together again. Texts
-    with two spaces in a row are encoded in one go.
+    Byte-level BPE never joins across a space that a visible character follows, a
+    line break between visible characters, or the end of a run of letters before
+    punctuation. The texts of a portion fall into words there, whose ids do not
+    depend on their neighbours; each distinct word is encoded once, and numpy puts
+    the texts together again. Texts with two spaces or breaks in a row are encoded
+    in one go.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         names = self.tokenizer.get_vocab()
-        # Byte-level vocabularies write a space as this letter.
-        self.opens = np.zeros(max(names.values(), default=0) + 1, bool)
-        self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+        # Byte-level vocabularies write a space and a line break as these letters.
+        self.opens = {}
+        for opener, letter in ((" ", "\u0120"), ("\n", "\u010a")):
+            self.opens[opener] = np.zeros(max(names.values(), default=0) + 1, bool)
+            self.opens[opener][[i for name, i in names.items() if name.startswith(letter)]] = True
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and each one's number of ids."""
@@ -83,24 +86,24 @@ class Encoder:
                 sizes.append(len(out[-1]))
         return np.concatenate(out), np.array(sizes, np.int64)
 
-    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """As _encode for words of letters, each after one space, as one text: a word begins at each id that opens with a space."""
+    def _encode_words(self, words: pa.Array, opener: str) -> tuple[np.ndarray, np.ndarray]:
+        """As _encode for words of letters, each after the opener, as one text: a word begins at each id that starts with it."""
         out, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
         for at in range(0, len(words), 16384):
             some = words[at : at + 16384]
-            text = " " + pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), " ")[0].as_py()
+            text = opener + pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), opener)[0].as_py()
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.opens[ids])
+            cuts = np.flatnonzero(self.opens[opener][ids])
             if len(cuts) == len(some):
                 size = np.diff(np.append(cuts, len(ids)))
             else:  # a vocabulary that does not keep words apart
-                ids, size = self._encode([" " + w for w in some.to_pylist()])
+                ids, size = self._encode([opener + w for w in some.to_pylist()])
             out.append(ids)
             sizes.append(size)
         return np.concatenate(out), np.concatenate(sizes)
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """As _encode for distinct words, each after one space."""
+        """As _encode for distinct words, each after one space but for those that start with a line break."""
         stems = pc.utf8_rtrim(words, TAIL)
         # Only where a letter stands before it does punctuation stand by itself.
         apart = pc.utf8_is_alpha(pc.utf8_slice_codeunits(stems, -1))
@@ -111,25 +114,32 @@ class Encoder:
         for i in np.flatnonzero(tailed).tolist():
             tails[i] = words[i].as_py()[-tailed[i] :]
         stem, tail = stems.dictionary_encode(), pa.array(tails, pa.string()).dictionary_encode()
-        letters = pc.utf8_is_alpha(stem.dictionary)
-        ids, sizes = self._encode_words(stem.dictionary.filter(letters))
-        more, more_sizes = self._encode([" " + w for w in stem.dictionary.filter(pc.invert(letters)).to_pylist()])
-        last, last_sizes = self._encode(tail.dictionary.to_pylist())
-        # Runs of stems with letters only, other stems, and tails, in this order.
-        letters = letters.to_numpy(zero_copy_only=False)
-        place = np.where(letters, np.cumsum(letters) - 1, len(sizes) + np.cumsum(~letters) - 1)
-        ids, sizes = np.concatenate([ids, more, last]), np.concatenate([sizes, more_sizes, last_sizes])
+        # Words of letters after a space, such words after a line break, other stems, and tails, in this order.
+        all_stems = stem.dictionary
+        broken = pc.starts_with(all_stems, "\n")
+        bare = pc.if_else(broken, pc.utf8_slice_codeunits(all_stems, 1), all_stems)
+        letters = pc.utf8_is_alpha(bare)
+        kind = np.where(letters, np.where(broken, 1, 0), 2)
+        parts = [
+            self._encode_words(bare.filter(pa.array(kind == 0)), " "),
+            self._encode_words(bare.filter(pa.array(kind == 1)), "\n"),
+            self._encode([w if w.startswith("\n") else " " + w for w in all_stems.filter(pa.array(kind == 2)).to_pylist()]),
+            self._encode(tail.dictionary.to_pylist()),
+        ]
+        place = np.empty(len(kind), np.int64)
+        place[np.argsort(kind, kind="stable")] = np.arange(len(kind))
+        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
         both = np.empty(2 * len(words), np.int64)
         both[0::2] = place[stem.indices.to_numpy()]
-        both[1::2] = len(sizes) - len(last_sizes) + tail.indices.to_numpy()
+        both[1::2] = len(kind) + tail.indices.to_numpy()
         joined, ends = _gather(ids, np.cumsum(sizes) - sizes, sizes, both)
         return joined, np.diff(np.concatenate(([0], ends[1::2])))
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text of a string array."""
         texts = pc.fill_null(texts, "")
-        whole = pc.match_substring(texts, "  ")
-        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        whole = pc.match_substring_regex(texts, r"[ \n][ \n]")
+        cut = pc.split_pattern(pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), " ")
         offsets, flat = cut.offsets.to_numpy(), cut.values
         coded = flat.dictionary_encode()
         ids, sizes = self._words(coded.dictionary)
@@ -269,8 +279,11 @@ def _load(spark: SparkSession, made: TokenFile) -> tuple[str, bytes]:
     return row["sha256"], data
 
 
-def read(spark: SparkSession, made: TokenFile) -> DataFrame:
-    """range, block, place in the block, doc_id, ids (little-endian unsigned 32-bit) of every document written."""
+PLACE = "range int, block int, place int, doc_id long"
+
+
+def _open(spark: SparkSession, made: TokenFile, more: str, of: Callable[[list[bytes]], dict[str, pa.Array]]) -> DataFrame:
+    """range, block, place in the block, doc_id and `more` of every document written; `of` makes those of a block's ids."""
     digest, dictionary = _load(spark, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,20 +293,26 @@ def read(spark: SparkSession, made: TokenFile) -> DataFrame:
             if row["dictionary_sha256"] != digest:
                 raise ValueError("block written with another dictionary")
             data, offsets = row["payload"], [*row["offsets"], len(row["payload"])]
-            ids = [open_.decompress(data[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)]
-            n = len(ids)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "range": pa.array([row["range"]] * n, pa.int32()),
-                    "block": pa.array([row["block"]] * n, pa.int32()),
-                    "place": pa.array(range(n), pa.int32()),
-                    "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                    "ids": pa.array(ids, pa.binary()),
-                }
-            )
+            n = len(row["doc_ids"])
+            for at in range(0, n, 256):
+                ids = [open_.decompress(data[a:b]) for a, b in zip(offsets[at : at + 256], offsets[at + 1 : at + 257], strict=False)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "range": pa.array([row["range"]] * len(ids), pa.int32()),
+                        "block": pa.array([row["block"]] * len(ids), pa.int32()),
+                        "place": pa.array(range(at, at + len(ids)), pa.int32()),
+                        "doc_id": pa.array(row["doc_ids"][at : at + 256], pa.int64()),
+                    }
+                    | of(ids)
+                )
 
     columns = ("range", "block", "dictionary_sha256", "doc_ids", "offsets", "payload")
-    return spark.read.parquet(made.blocks).select(*columns).mapInArrow(run, "range int, block int, place int, doc_id long, ids binary")
+    return spark.read.parquet(made.blocks).select(*columns).mapInArrow(run, f"{PLACE}, {more}")
+
+
+def read(spark: SparkSession, made: TokenFile) -> DataFrame:
+    """Place, doc_id and ids (little-endian unsigned 32-bit) of every document written."""
+    return _open(spark, made, "ids binary", lambda ids: {"ids": pa.array(ids, pa.binary())})
 
 
 def read_document(spark: SparkSession, made: TokenFile, doc_id: int) -> list[list[int]]:
@@ -325,16 +344,10 @@ def round_trip(docs: DataFrame, definition: str) -> DataFrame:
     spark = docs.sparkSession
     made = write(docs, definition, store.new_path(spark, "tokens"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = values(batch, "ids")
-            lengths = np.array([len(x) // 4 for x in ids], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(4)), pa.array(lengths), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
-                ["range", "block", "place", "doc_id", "n_tokens", "ids_crc32"],
-            )
+    def of(ids: list[bytes]) -> dict[str, pa.Array]:
+        return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids_crc32": pa.array(map(zlib.crc32, ids), pa.int64())}
 
-    each = read(spark, made).mapInArrow(run, "range int, block int, place int, doc_id long, n_tokens long, ids_crc32 long")
+    each = _open(spark, made, "n_tokens long, ids_crc32 long", of)
     # Documents of one block stand side by side: their running sum needs a block at a time.
     at = Window.partitionBy("range", "block").orderBy("place")
     placed = each.withColumn("_before", F.sum("n_tokens").over(at) - F.col("n_tokens"))
