@@ -41,6 +41,7 @@ DUCK_TYPES = {
     "string": "VARCHAR",
     "int": "INTEGER",
     "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
     "double": "DOUBLE",
     "timestamp_ntz": "TIMESTAMP",
     "date": "DATE",
