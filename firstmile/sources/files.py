@@ -18,18 +18,28 @@ def read_text_table(
 ) -> DataFrame:
     """CSV with a header, every column a string; nothing is inferred.
 
+    Files of a folder must share one header: a file whose columns stand in
+    another order fails the read, it is not taken by position.
+
     `multiline` keeps quoted line breaks inside one record. Such a file cannot
     be split between tasks, so give a folder of many files and land the result
     as Parquet before anything else reads it.
     """
-    df = (
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
     )
+    names = reader.csv(path).columns
+    first = reader.option("header", False).csv(path).first()
+    # A saved index has no name in the header; Spark names it by its place.
+    headers = ["" if first and not first[i] else name for i, name in enumerate(names)]
+    if headers.count("") > 1:
+        raise SchemaMismatch(f"{path}: more than one column without a name")
+    fields = [T.StructField(name, T.StringType()) for name in headers]
+    df = reader.option("header", True).option("enforceSchema", False).schema(T.StructType(fields)).csv(path).toDF(*names)
     return require(df, expected, str(path)) if expected is not None else df
 
 

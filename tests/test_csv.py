@@ -40,6 +40,13 @@ def test_folder_of_files(spark, tmp_path):
     assert rows(parsing_impact(spark, str(tmp_path))) == [(12, 6, 50.0)]
 
 
+def test_columns_in_another_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,type,rubro,address\nMLB1,1,2,b st\n")
+    (tmp_path / "b.csv").write_text("user_id,address,rubro,type\nMLB2,b st,2,1\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_text_table(spark, str(tmp_path)).collect()
+
+
 def test_missing_column_is_an_error(spark, users_csv):
     with pytest.raises(SchemaMismatch, match="transaction_dt"):
         read_text_table(spark, users_csv, schemas.RAW_TRANSACTIONS)
