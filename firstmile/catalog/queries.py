@@ -439,7 +439,7 @@ def ab_metrics(t):
 
 @_query
 def treatment_funnel(t):
-    treated = experiment.treatment_only(_user_flags(t), METRIC_RULES)
+    treated = experiment.outside_control(_user_flags(t), METRIC_RULES)
     return funnel.funnel_by_dimension(funnel.cohort_totals(treated))
 
 

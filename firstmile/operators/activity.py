@@ -11,12 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firstmile.functions import at_midnight, in_onboarding, onboarding_end
-from firstmile.operators.heavy import (
-    heavy_users,
-    only,
-    transaction_counts,
-    without,
-)
 from firstmile.rules import INDIVIDUALS, MAX_TYPE_CODE, SELLERS, UNKNOWN, Rules
 
 
@@ -50,9 +44,7 @@ def segment_of(mask: Column, rules: Rules) -> Column:
 
 def _per_day(transactions: DataFrame, *extra: Column) -> DataFrame:
     moment = F.col("transaction_dt")
-    return transactions.groupBy(
-        "user_id", F.to_date(moment).alias("transaction_date")
-    ).agg(
+    return transactions.groupBy("user_id", "transaction_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_or(_type_bit()).alias("mask"),
         F.min(moment).alias("first_dt"),
@@ -76,7 +68,7 @@ def _per_user(daily: DataFrame, *extra: Column) -> DataFrame:
 def daily_activity(transactions: DataFrame, rules: Rules) -> DataFrame:
     """One row per user and day: the base of both summaries and of segments."""
     return _per_day(
-        transactions,
+        _dated(transactions),
         F.count_if(F.col("type").isin(*rules.payment_types)).alias("payments"),
         F.count_if(F.col("type").isin(*rules.collection_types)).alias("collections"),
     )
@@ -161,10 +153,6 @@ def with_segment(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -
     ).fillna(UNKNOWN, ["user_segment"])
 
 
-def _logins(onboarding: DataFrame) -> DataFrame:
-    return onboarding.select("user_id", "first_login_dt")
-
-
 def near_windows(
     onboarding: DataFrame, transactions: DataFrame, rules: Rules
 ) -> DataFrame:
@@ -181,6 +169,21 @@ def near_windows(
     return transactions.filter((moment >= first) & (moment <= last))
 
 
+def _dated(transactions: DataFrame) -> DataFrame:
+    return transactions.withColumn("transaction_date", F.to_date("transaction_dt"))
+
+
+def _login_days(onboarding: DataFrame, rules: Rules) -> DataFrame:
+    """Each user's login on each day of the window.
+
+    Joined by user and day, no task gets more than a day of one user, however
+    much of the data one user owns.
+    """
+    start = F.to_date("first_login_dt")
+    days = F.sequence(start, onboarding_end(F.col("first_login_dt"), rules.onboarding_days))
+    return onboarding.select("user_id", "first_login_dt", F.explode(days).alias("transaction_date"))
+
+
 def window_transactions(
     onboarding: DataFrame, transactions: DataFrame, rules: Rules
 ) -> DataFrame:
@@ -188,22 +191,23 @@ def window_transactions(
 
     `onboarding` must hold one row per user (see dedupe).
     """
-    near = near_windows(onboarding, transactions, rules)
-    heavy = heavy_users(transaction_counts(near), rules)
-    light = without(near, heavy).join(_logins(onboarding), "user_id")
-    logins_of_heavy = F.broadcast(only(_logins(onboarding), heavy))
-    dense = near.join(logins_of_heavy, "user_id")
+    near = _dated(near_windows(onboarding, transactions, rules))
+    joined = near.join(_login_days(onboarding, rules), ["user_id", "transaction_date"])
     inside = in_onboarding(
-        light, "transaction_dt", "first_login_dt", rules.onboarding_days
+        joined, "transaction_dt", "first_login_dt", rules.onboarding_days
     )
-    return light.filter(inside).unionAll(dense.filter(inside))
+    return joined.filter(inside).select(*transactions.columns, "first_login_dt")
 
 
-def _activity(
-    transactions: DataFrame, logins: DataFrame, rules: Rules
-) -> DataFrame:
-    """All-time and in-window activity per user, on one pass over one join."""
-    joined = transactions.join(logins, "user_id")
+def _activity(transactions: DataFrame, onboarding: DataFrame, rules: Rules) -> DataFrame:
+    """All-time and in-window activity per user, on one pass over one join.
+
+    The sums by user and day reuse the join's partitioning; then days, not
+    transactions, are combined and shuffled by user.
+    """
+    joined = _dated(transactions).join(
+        _login_days(onboarding, rules), ["user_id", "transaction_date"], "left"
+    )
     inside = in_onboarding(
         joined, "transaction_dt", "first_login_dt", rules.onboarding_days
     )
@@ -221,28 +225,9 @@ def _activity(
     )
 
 
-def _with_measures(
-    onboarding: DataFrame, transactions: DataFrame, heavy: DataFrame, rules: Rules
-) -> DataFrame:
-    """Onboarding users with the columns of `_activity`, NULL where they did nothing.
-
-    Light users: transactions are shuffled by user once, and everything up to
-    the result reuses that partitioning. Heavy users are summed apart and come
-    back as a broadcast of at most one row each.
-    """
-    logins = _logins(onboarding)
-    of_light = _activity(without(transactions, heavy), logins, rules)
-    of_heavy = _activity(transactions, F.broadcast(only(logins, heavy)), rules)
-    measures = [c for c in of_light.columns if c != "user_id"]
-    renamed = of_heavy.select("user_id", *[F.col(c).alias(f"heavy_{c}") for c in measures])
-    # No user is in both, so the first non-null value is the only one.
-    merged = {c: F.coalesce(F.col(c), F.col(f"heavy_{c}")) for c in measures}
-    return (
-        onboarding.join(of_light, "user_id", "left")
-        .join(F.broadcast(renamed), "user_id", "left")
-        .withColumns(merged)
-        .drop(*[f"heavy_{c}" for c in measures])
-    )
+def _with_measures(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
+    """Onboarding users with the columns of `_activity`, NULL where they did nothing."""
+    return onboarding.join(_activity(transactions, onboarding, rules), "user_id", "left")
 
 
 def with_activity(
@@ -258,12 +243,10 @@ def with_activity(
     read for the windows only.
     """
     if segments is None:
-        heavy = heavy_users(transaction_counts(transactions), rules)
-        active = _with_measures(onboarding, transactions, heavy, rules)
+        active = _with_measures(onboarding, transactions, rules)
         return active.withColumn("user_segment", segment_of(F.col("type_mask"), rules))
-    counts = segments.select("user_id", F.col("total_transactions").alias("n"))
     near = near_windows(onboarding, transactions, rules)
-    active = _with_measures(onboarding, near, heavy_users(counts, rules), rules)
+    active = _with_measures(onboarding, near, rules)
     window = [c for c in active.columns if c.startswith("window_")]
     return (
         active.select(*onboarding.columns, *window)

@@ -9,16 +9,19 @@ from firstmile.functions import rounded_percent
 from firstmile.functions.rates import rounded_loss_percent
 from firstmile.rules import Rules
 
-CONTROL, TREATMENT = "control", "treatment"
+CONTROL, TREATMENT, UNASSIGNED = "control", "treatment", "unassigned"
 
 
 def group_of(rules: Rules, user_id: str = "user_id") -> Column:
     """Group from the last two digits of the numeric id, so that it is stable
-    across runs and engines. NULL for an id without a number."""
-    number = F.substring(user_id, len(rules.id_prefix) + 1, 40).try_cast("bigint")
-    bucket = F.pmod(number, F.lit(100))
-    return F.when(bucket < rules.control_percent, F.lit(CONTROL)).when(
-        bucket.isNotNull(), F.lit(TREATMENT)
+    across runs and engines, for a number of any length. An id without a number
+    is unassigned."""
+    number = F.regexp_extract(user_id, rules.id_digits, 1)
+    bucket = F.right(number, F.lit(2)).try_cast("int")
+    return (
+        F.when(bucket < rules.control_percent, F.lit(CONTROL))
+        .when(bucket.isNotNull(), F.lit(TREATMENT))
+        .otherwise(F.lit(UNASSIGNED))
     )
 
 
@@ -26,8 +29,9 @@ def ab_groups(users: DataFrame, rules: Rules) -> DataFrame:
     return users.select("user_id", group_of(rules).alias("ab_group"))
 
 
-def treatment_only(users: DataFrame, rules: Rules) -> DataFrame:
-    return users.filter(group_of(rules) == TREATMENT)
+def outside_control(users: DataFrame, rules: Rules) -> DataFrame:
+    """Users who are not held back: the treatment group and the unassigned."""
+    return users.filter(group_of(rules) != CONTROL)
 
 
 def ab_metrics(metrics: DataFrame, rules: Rules) -> DataFrame:

@@ -33,7 +33,7 @@ def _default_habit() -> dict[str, HabitRule]:
 
 @dataclass(frozen=True)
 class Rules:
-    """Fixed values of the business plus the two limits that define a heavy user."""
+    """Fixed values of the business."""
 
     payment_types: tuple[int, ...] = (1, 2, 3, 4, 5, 6, 7)
     collection_types: tuple[int, ...] = (8, 9)
@@ -47,10 +47,6 @@ class Rules:
     habit: dict[str, HabitRule] = field(default_factory=_default_habit)
     control_percent: int = 5
     max_missing_percent: float = 10.0
-    # A user is heavy with at least `heavy_floor` rows AND more than
-    # 1/heavy_share of all rows; fewer than `heavy_share` users can be.
-    heavy_share: int = 1000
-    heavy_floor: int = 100_000
 
     def __post_init__(self) -> None:
         bad = [t for t in self.valid_types if not 0 <= t <= MAX_TYPE_CODE]
@@ -64,8 +60,8 @@ class Rules:
             raise ValueError(f"no habit rule for {sorted(missing)}")
         if datetime.fromisoformat(self.date_from) > datetime.fromisoformat(self.date_to):
             raise ValueError(f"no dates from {self.date_from} to {self.date_to}")
-        if self.onboarding_days < 0 or self.heavy_share < 1:
-            raise ValueError("onboarding_days and heavy_share must be positive")
+        if self.onboarding_days < 0:
+            raise ValueError("onboarding_days must not be negative")
         if not 0 <= self.control_percent <= 100:
             raise ValueError("control_percent must be in 0..100")
 
@@ -77,3 +73,7 @@ class Rules:
     def id_pattern(self) -> str:
         return f"^{self.id_prefix}[0-9]+$"
 
+    @property
+    def id_digits(self) -> str:
+        return f"^{self.id_prefix}([0-9]+)$"
+

@@ -131,5 +131,12 @@ def test_profile_and_duplicates(spark, values):
 def test_groups_are_stable_and_whole(spark):
     df = of_ids(spark, [f"MLB{i}" for i in range(1000)] + ["MLBX", None])
     groups = Counter(r["ab_group"] for r in experiment.ab_groups(df, RULES).collect())
-    assert groups == {"control": 50, "treatment": 950, None: 2}
-    assert experiment.treatment_only(df, RULES).count() == 950
+    assert groups == {"control": 50, "treatment": 950, "unassigned": 2}
+    assert experiment.outside_control(df, RULES).count() == 952
+
+
+def test_groups_of_long_ids(spark):
+    zeros = "0" * 39
+    ids = [f"MLB{zeros}123", f"MLB{zeros}103", f"MLB{zeros}7x", "MLB" + "9" * 30 + "04", "MLB7", "MLA7", "MLB"]
+    found = {r["user_id"]: r["ab_group"] for r in experiment.ab_groups(of_ids(spark, ids), RULES).collect()}
+    assert list(map(found.get, ids)) == ["treatment", "control", "unassigned", "control", "treatment", "unassigned", "unassigned"]

@@ -14,7 +14,6 @@ from firstmile.operators import activity, funnel, metrics
 from firstmile.operators.dedupe import one_row_per_user
 from helpers import ONBOARDING, TRANSACTIONS, at
 
-HEAVY = Rules(date_from="2023-12-01", date_to="2024-12-31", heavy_floor=1, heavy_share=30)
 
 
 @pytest.fixture(scope="module")
@@ -75,20 +74,8 @@ def test_layout_changes_nothing(wide, inputs):
     assert rows(again) == rows(wide)
 
 
-def test_heavy_split_changes_nothing(wide, inputs):
-    from firstmile.operators.heavy import heavy_users, transaction_counts
-
-    heavy = heavy_users(transaction_counts(inputs.transactions), HEAVY).count()
-    assert 0 < heavy < 30
-    again = metrics.user_metrics(inputs.onboarding, inputs.transactions, HEAVY)
-    assert rows(again) == rows(wide)
-    a = activity.window_transactions(inputs.onboarding, inputs.transactions, METRIC_RULES)
-    b = activity.window_transactions(inputs.onboarding, inputs.transactions, HEAVY)
-    assert rows(a) == rows(b)
-
-
-@pytest.mark.parametrize("rules", [METRIC_RULES, HEAVY])
-def test_landed_segments_change_nothing(spark, wide, inputs, rules, tmp_path):
+def test_landed_segments_change_nothing(spark, wide, inputs, tmp_path):
+    rules = METRIC_RULES
     daily = activity.daily_activity(inputs.transactions, rules)
     path = str(tmp_path / "segments")
     activity.user_segments(daily, rules).write.parquet(path)
@@ -99,35 +86,6 @@ def test_landed_segments_change_nothing(spark, wide, inputs, rules, tmp_path):
     assert rows(again) == rows(wide)
 
 
-def test_heavy_list_is_bounded(spark):
-    """Even with a share that nearly every user reaches, the bound holds."""
-    from firstmile.operators.heavy import heavy_users, transaction_counts
-
-    tx = spark.range(1000).select(
-        F.concat(F.lit("MLB"), (F.col("id") % 10).cast("string")).alias("user_id")
-    )
-    counts = transaction_counts(tx)
-    assert heavy_users(counts, Rules(heavy_floor=1, heavy_share=11)).count() == 10
-    assert heavy_users(counts, Rules(heavy_floor=1, heavy_share=10)).count() == 0
-    assert heavy_users(counts, Rules(heavy_floor=101, heavy_share=11)).count() == 0
-
-
-def test_hot_user_leaves_the_shuffle(spark):
-    """A user with a third of all rows is the one heavy user; what is left for
-    the join by id holds no user above the share."""
-    from firstmile.operators.heavy import heavy_users, transaction_counts, without
-
-    rules = Rules(heavy_floor=50, heavy_share=100)
-    hot = F.col("id") % 3 == 0
-    tx = spark.range(30_000).select(
-        F.when(hot, F.lit("hot")).otherwise((F.col("id") % 1009).cast("string")).alias("user_id")
-    )
-    heavy = heavy_users(transaction_counts(tx), rules)
-    assert rows(heavy) == [("hot",)]
-    left = transaction_counts(without(tx, heavy))
-    assert left.agg(F.sum("n"), F.max("n") * 100 <= 30_000).first() == (20_000, True)
-
-
 moments = st.integers(0, 45 * 24).map(lambda h: (h // 24, h % 24))
 
 
@@ -135,10 +93,9 @@ moments = st.integers(0, 45 * 24).map(lambda h: (h // 24, h % 24))
 @given(
     logins=st.dictionaries(st.sampled_from("abcd"), st.tuples(st.integers(1, 9), st.integers(0, 23)), min_size=1),
     events=st.lists(st.tuples(st.sampled_from("abcde"), moments, st.integers(1, 9)), max_size=40),
-    share=st.sampled_from([1, 4, 1000]),
 )
-def test_against_plain_python(spark, logins, events, share):
-    """Window counts by brute force, with and without heavy users."""
+def test_against_plain_python(spark, logins, events):
+    """Window counts by brute force."""
     from datetime import datetime, timedelta
 
     first = {u: datetime(2022, 1, d, h) for u, (d, h) in logins.items()}
@@ -147,7 +104,7 @@ def test_against_plain_python(spark, logins, events, share):
     tx = spark.createDataFrame(done, TRANSACTIONS)
     got = {
         r["user_id"]: (r["user_segment"], r["total_transactions"], r["total_transactions_period"], r["unique_transaction_days"])
-        for r in metrics.user_metrics(base, tx, Rules(heavy_floor=1, heavy_share=share)).collect()
+        for r in metrics.user_metrics(base, tx, Rules()).collect()
     }
     want = {}
     for user, login in first.items():

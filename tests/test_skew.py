@@ -12,8 +12,7 @@ from firstmile.operators import activity, metrics, overlap
 from firstmile.operators.dedupe import one_row_per_user
 
 TASKS = 16
-SPLIT = Rules(heavy_floor=1000, heavy_share=100)
-NO_SPLIT = Rules(heavy_floor=10**9)
+RULES = Rules()
 
 
 @pytest.fixture(scope="module")
@@ -99,26 +98,36 @@ def worst_share(spark, log: str, name: str, df) -> float:
 def test_window_join_is_even(spark, event_log, extracts, wide_shuffles):
     onboarding, transactions = one_row_per_user(extracts[0]), extracts[1]
 
-    def worst(rules, label):
-        df = metrics.user_metrics(onboarding, transactions, rules)
-        return worst_share(spark, event_log, f"user_metrics {label}", df)
+    df = metrics.user_metrics(onboarding, transactions, RULES)
+    assert worst_share(spark, event_log, "user_metrics", df) < 2
+    # The measure itself works: by user alone, one task gets a third of all rows.
+    whole = transactions.repartition(TASKS, "user_id")
+    assert worst_share(spark, event_log, "by user", whole) > 4
 
-    assert worst(SPLIT, "split") < 2
-    # The measure itself works: unsplit, one task gets a third of all rows.
-    assert worst(NO_SPLIT, "whole") > 4
+
+def test_many_busy_users_are_even(spark, event_log, extracts, wide_shuffles):
+    """Twenty users who own all rows between them: none stands out, all are large."""
+    number = F.col("id")
+    busy = spark.range(0, 240_000, 1, 8).select(
+        F.concat(F.lit("MLB"), number % 20).alias("user_id"),
+        F.timestamp_add("MINUTE", (number % 43_200).cast("int"), F.lit("2022-01-10 10:00:00").cast("timestamp_ntz")).alias("transaction_dt"),
+        (1 + number % 7).cast("int").alias("type"),
+    )
+    df = metrics.user_metrics(one_row_per_user(extracts[0]), busy, RULES)
+    assert worst_share(spark, event_log, "busy users", df) < 2
 
 
 @pytest.mark.parametrize(
     "name, build",
     [
-        ("window", lambda o, t: activity.window_transactions(one_row_per_user(o), t, SPLIT)),
+        ("window", lambda o, t: activity.window_transactions(one_row_per_user(o), t, RULES)),
         ("dedupe", lambda o, t: one_row_per_user(o)),
-        ("daily", lambda o, t: activity.daily_activity(t, SPLIT)),
-        ("segments", lambda o, t: activity.user_segments(activity.daily_activity(t, SPLIT), SPLIT)),
-        ("with_segment", lambda o, t: activity.with_segment(one_row_per_user(o), t, SPLIT)),
+        ("daily", lambda o, t: activity.daily_activity(t, RULES)),
+        ("segments", lambda o, t: activity.user_segments(activity.daily_activity(t, RULES), RULES)),
+        ("with_segment", lambda o, t: activity.with_segment(one_row_per_user(o), t, RULES)),
         ("activation", lambda o, t: metrics.activation_metric(one_row_per_user(o), t)),
         ("drop", lambda o, t: metrics.drop_from_activity(one_row_per_user(o), t)),
-        ("families", lambda o, t: activity.family_membership(t, SPLIT)),
+        ("families", lambda o, t: activity.family_membership(t, RULES)),
         ("difference", lambda o, t: overlap.users_without_transactions(o, t)),
         ("regions", lambda o, t: overlap.membership_regions(o, t, o)),
     ],
