@@ -20,12 +20,24 @@ from firstmile.operators.cleaning import (
     type_transactions,
 )
 from firstmile.operators.dedupe import one_row_per_user
-from firstmile.rules import Rules
+from firstmile.rules import INDIVIDUALS, SELLERS, UNKNOWN, HabitRule, Rules
+
+HABIT_TRANSACTIONS, HABIT_DAYS, HABIT_COLLECTIONS = 60, 25, 30
 
 # Bounds that cut into both raw tables, for the cleaning queries.
 CLEANING_RULES = Rules(date_from="2024-01-01 00:00:00", date_to="2024-01-28 00:00:00")
 # Bounds around every login, for the metric queries.
-METRIC_RULES = Rules(date_from="2023-12-01", date_to="2024-12-31")
+# An event is no purchase, so habits need more of them than in the business.
+_OFTEN = HabitRule(min_transactions=HABIT_TRANSACTIONS, min_days=HABIT_DAYS)
+METRIC_RULES = Rules(
+    date_from="2023-12-01",
+    date_to="2024-12-31",
+    habit={
+        INDIVIDUALS: _OFTEN,
+        SELLERS: HabitRule(min_transactions=HABIT_COLLECTIONS, collections_only=True),
+        UNKNOWN: _OFTEN,
+    },
+)
 
 FIRST_LOGIN = "2023-12-20 06:00:00"
 
@@ -83,9 +95,9 @@ class Inputs:
         )
 
     @cached_property
-    def purchases_raw(self) -> DataFrame:
-        """All events again, typed by what they are: a purchase is a payment or,
-        for every fifth user, at times a collection; no other event has a type."""
+    def activity_raw(self) -> DataFrame:
+        """All events again, each a payment or, for every fifth user, at times a
+        collection."""
         event = F.col("event_id")
         collects = F.col("user_id") % 5 == 0
         kind = (
@@ -97,14 +109,14 @@ class Inputs:
             "event_id",
             F.concat(F.lit("MLB"), _text(F.col("user_id"))).alias("user_id"),
             F.col("ts").alias("transaction_dt"),
-            F.when(F.col("event_type") == "purchase", kind).alias("type"),
+            kind.alias("type"),
             F.when(collects, F.lit(2)).otherwise(F.lit(1)).alias("segment"),
         )
 
     @cached_property
     def transactions(self) -> DataFrame:
         """The clean transactions of every metric."""
-        return clean_transactions(self.purchases_raw, METRIC_RULES).drop("segment")
+        return clean_transactions(self.activity_raw, METRIC_RULES).drop("segment")
 
     @cached_property
     def onboarding_raw(self) -> DataFrame:
@@ -123,7 +135,10 @@ class Inputs:
             .otherwise(F.lit(0.0))
             .alias("habito"),
             F.when(first, key % 2).otherwise(0).cast("int").alias("activacion"),
-            F.when(first & (key % 5 < 2), 1).otherwise(0).alias("setup"),
+            F.when(first & (key % 5 < 2), 1)
+            .when(first & (key % 5 == 3), 2)
+            .otherwise(0)
+            .alias("setup"),
             F.when(first & (key % 13 == 0), F.lit(None).cast("int"))
             .when(first & (key % 4 != 0), 1)
             .otherwise(0)

@@ -31,7 +31,7 @@ tx AS (
          CAST(CASE WHEN user_id % 5 = 0 AND event_id % 4 = 0 THEN 8
                    WHEN user_id % 5 = 0 AND event_id % 4 = 2 THEN 9
                    ELSE 1 + event_id % 7 END AS INTEGER) AS type
-  FROM events WHERE event_type = 'purchase'
+  FROM events
 ),
 registrations AS (
   SELECT 'MLB' || CAST(c_custkey AS VARCHAR) AS user_id,
@@ -40,7 +40,7 @@ registrations AS (
          CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 8 = 0 THEN CAST(1 AS DOUBLE)
               ELSE CAST(0 AS DOUBLE) END AS habito,
          CAST(c_custkey % 2 AS INTEGER) AS activacion,
-         CAST(CASE WHEN c_custkey % 5 < 2 THEN 1 ELSE 0 END AS INTEGER) AS setup,
+         CAST(CASE WHEN c_custkey % 5 < 2 THEN 1 WHEN c_custkey % 5 = 3 THEN 2 ELSE 0 END AS INTEGER) AS setup,
          CAST(CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 4 <> 0 THEN 1 ELSE 0 END AS INTEGER) AS "return",
          CAST(0 AS INTEGER) AS seq
   FROM customer
@@ -61,7 +61,7 @@ onboarding_raw AS (
 onboarding_typed AS (
   SELECT user_id, first_login_dt, week_year,
          COALESCE(CAST(habito AS INTEGER), 0) AS habito, COALESCE(activacion, 0) AS activacion,
-         COALESCE(setup, 0) AS setup, COALESCE("return", 0) AS return_flag, seq,
+         CAST(CASE WHEN setup = 1 THEN 1 ELSE 0 END AS INTEGER) AS setup, COALESCE("return", 0) AS return_flag, seq,
          habito_dt, activacion_dt, setup_dt, return_dt
   FROM onboarding_raw
 ),
@@ -147,9 +147,9 @@ habit AS (
   SELECT o.user_id, o.user_segment, o.first_login_dt, o.habito,
          COALESCE(h.total_transactions_period, 0) AS total_transactions_period,
          h.unique_transaction_days,
-         CAST(CASE WHEN o.user_segment = 'SELLERS' AND h.total_transactions_period >= 5 THEN 1
-                   WHEN o.user_segment <> 'SELLERS' AND h.total_transactions_period >= 5
-                        AND h.unique_transaction_days >= 5 THEN 1
+         CAST(CASE WHEN o.user_segment = 'SELLERS' AND h.total_transactions_period >= 30 THEN 1
+                   WHEN o.user_segment <> 'SELLERS' AND h.total_transactions_period >= 60
+                        AND h.unique_transaction_days >= 25 THEN 1
                    ELSE 0 END AS INTEGER) AS habit_achieved_calculated
   FROM onb_segment o LEFT JOIN habit_parts h ON o.user_id = h.user_id
 ),
@@ -231,7 +231,8 @@ def _bucket(name: str, label: str) -> str:
     )
 
 
-_AB = """CASE WHEN CAST(SUBSTRING(user_id, 4) AS BIGINT) % 100 < 5 THEN 'control' ELSE 'treatment' END"""
+_BUCKET = "TRY_CAST(RIGHT(regexp_extract(user_id, '^MLB([0-9]+)$', 1), 2) AS INTEGER)"
+_AB = f"CASE WHEN {_BUCKET} < 5 THEN 'control' WHEN {_BUCKET} IS NULL THEN 'unassigned' ELSE 'treatment' END"
 
 
 def _with(ctes: str, body: str) -> str:
@@ -622,7 +623,7 @@ def oracles() -> dict[str, str]:
         ),
         "treatment_funnel": _measured(
             _funnel(
-                _BY_SEGMENT, _BY_MONTH, source=f"(SELECT * FROM um WHERE {_AB} = 'treatment') treated"
+                _BY_SEGMENT, _BY_MONTH, source=f"(SELECT * FROM um WHERE {_AB} <> 'control') treated"
             )
         ),
         "drop_from_activity": _measured(

@@ -35,15 +35,10 @@ def code(df: DataFrame, name: str) -> Column:
 
 
 def flag(df: DataFrame, name: str) -> Column:
-    """0/1 integer; a missing flag is 0."""
+    """1 for a one, in digits or as text; 0 for everything else, missing or not."""
     kind = _type_of(df, name)
-    if isinstance(kind, T.IntegerType):
-        value = F.col(name)
-    elif isinstance(kind, T.IntegralType):
-        value = F.col(name).try_cast("int")
-    else:
-        value = number(df, name).try_cast("int")
-    return F.coalesce(value, F.lit(0))
+    value = F.col(name) if isinstance(kind, T.IntegralType) else number(df, name)
+    return F.when(value == 1, F.lit(1)).otherwise(F.lit(0))
 
 
 def timestamp(df: DataFrame, name: str) -> Column:

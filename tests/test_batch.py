@@ -56,11 +56,11 @@ def test_ledger_accounts_for_every_row(extracts, done):
         ("onboarding", 1, "id_prefix", 156, 0, 156),
         ("onboarding", 2, "time_present", 156, 0, 156),
         ("onboarding", 3, "date_range", 156, 0, 156),
-        ("transactions", 1, "id_prefix", 205, 0, 205),
-        ("transactions", 2, "type_domain", 205, 3, 202),
-        ("transactions", 3, "segment_domain", 202, 0, 202),
-        ("transactions", 4, "time_present", 202, 0, 202),
-        ("transactions", 5, "date_range", 202, 0, 202),
+        ("transactions", 1, "id_prefix", 1003, 0, 1003),
+        ("transactions", 2, "type_domain", 1003, 3, 1000),
+        ("transactions", 3, "segment_domain", 1000, 0, 1000),
+        ("transactions", 4, "time_present", 1000, 0, 1000),
+        ("transactions", 5, "date_range", 1000, 0, 1000),
         ("users", 1, "id_prefix", 150, 13, 137),
         ("users", 2, "id_present", 137, 0, 137),
         ("users", 3, "id_format", 137, 12, 125),
@@ -130,7 +130,7 @@ def test_exploration_reports(spark, extracts):
     reports = {name: df.collect() for name, df in explore(extracts, Rules()).items()}
     assert {r["dataset"]: r["row_count"] for r in reports["row_counts"]} == {
         "users": 150,
-        "transactions": 205,
+        "transactions": 1003,
         "onboarding": 156,
     }
     assert {r["rule"]: r["invalid_rows"] for r in reports["invalid_counts"]}["type_domain"] == 3
@@ -160,4 +160,4 @@ def test_light_loader(spark, extracts):
 
     light = prefix_only(extracts.transactions, Rules())
     assert "_c0" not in light.columns
-    assert light.count() == 205
+    assert light.count() == 1003

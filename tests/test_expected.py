@@ -18,7 +18,7 @@ def test_extract_sizes(spark):
     medium = {r["dataset"]: r["row_count"] for r in run(spark, "row_counts").collect()}
     assert small == {"users": 150, "transactions": 1000, "onboarding": 156}
     assert medium == {"users": 1500, "transactions": 10000, "onboarding": 1558}
-    assert Inputs(spark, MEDIUM).transactions.count() == 1981
+    assert Inputs(spark, MEDIUM).transactions.count() == 10000
 
 
 def test_cleaning_totals(spark):
@@ -45,8 +45,8 @@ def test_segment_table(spark):
         F.sum("habit_achieved_calculated").alias("computed"),
     )
     assert rows(table) == [
-        ("INDIVIDUALS", 120, 83, 60, 30, 14, 100),
-        ("SELLERS", 30, 20, 15, 30, 3, 11),
+        ("INDIVIDUALS", 120, 83, 60, 30, 14, 10),
+        ("SELLERS", 30, 20, 15, 30, 3, 4),
         ("UNKNOWN", 1350, 935, 675, 540, 153, 0),
     ]
 
