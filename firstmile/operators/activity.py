@@ -2,7 +2,7 @@
 
 Summaries are built in two steps, user and day, then user. Both combine before
 they shuffle, and the second needs no distinct count: days are rows, types are
-bits of one long.
+small sets.
 """
 
 from __future__ import annotations
@@ -11,42 +11,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firstmile.functions import at_midnight, in_onboarding, onboarding_end
-from firstmile.rules import INDIVIDUALS, MAX_TYPE_CODE, SELLERS, UNKNOWN, Rules
+from firstmile.rules import INDIVIDUALS, SELLERS, UNKNOWN, Rules
 
 
-def mask_of(types: tuple[int, ...]) -> int:
-    return sum(1 << t for t in set(types))
+def _did(types: tuple[int, ...]) -> Column:
+    return F.coalesce(F.bool_or(F.col("type").isin(*types)), F.lit(False))
 
 
-def _type_bit() -> Column:
-    kind = F.col("type")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), kind.cast("int"))
-    message = F.concat(F.lit("transaction type out of range: "), kind.cast("string"))
-    return (
-        F.when(kind.between(0, MAX_TYPE_CODE), bit)
-        .when(kind.isNull(), F.lit(None).cast("bigint"))
-        .otherwise(F.raise_error(message).cast("bigint"))
-    )
-
-
-def _has_any(mask: Column, types: tuple[int, ...]) -> Column:
-    return mask.bitwiseAND(F.lit(mask_of(types)).cast("bigint")) != 0
-
-
-def segment_of(mask: Column, rules: Rules) -> Column:
+def segment_of(paid: Column, collected: Column) -> Column:
     """Any collection makes a seller, else any payment an individual."""
-    return (
-        F.when(_has_any(mask, rules.collection_types), F.lit(SELLERS))
-        .when(_has_any(mask, rules.payment_types), F.lit(INDIVIDUALS))
-        .otherwise(F.lit(UNKNOWN))
-    )
+    return F.when(collected, F.lit(SELLERS)).when(paid, F.lit(INDIVIDUALS)).otherwise(F.lit(UNKNOWN))
 
 
-def _per_day(transactions: DataFrame, *extra: Column) -> DataFrame:
+def _per_day(transactions: DataFrame, rules: Rules, *extra: Column) -> DataFrame:
     moment = F.col("transaction_dt")
     return transactions.groupBy("user_id", "transaction_date").agg(
         F.count(F.lit(1)).alias("n"),
-        F.bit_or(_type_bit()).alias("mask"),
+        _did(rules.payment_types).alias("paid"),
+        _did(rules.collection_types).alias("collected"),
+        F.collect_set("type").alias("types"),
         F.min(moment).alias("first_dt"),
         F.max(moment).alias("last_dt"),
         *extra,
@@ -56,7 +39,10 @@ def _per_day(transactions: DataFrame, *extra: Column) -> DataFrame:
 def _per_user(daily: DataFrame, *extra: Column) -> DataFrame:
     return daily.groupBy("user_id").agg(
         F.sum("n").alias("total_transactions"),
-        F.bit_or("mask").alias("type_mask"),
+        F.bool_or("paid").alias("paid"),
+        F.bool_or("collected").alias("collected"),
+        # A user has no more sets than days, and no more types than there are codes.
+        F.size(F.array_distinct(F.flatten(F.collect_set("types")))).alias("unique_transaction_types"),
         # NULL days are not counted, as a distinct count would not.
         F.count("transaction_date").alias("transaction_days"),
         F.min("first_dt").alias("first_transaction_dt"),
@@ -69,6 +55,7 @@ def daily_activity(transactions: DataFrame, rules: Rules) -> DataFrame:
     """One row per user and day: the base of both summaries and of segments."""
     return _per_day(
         _dated(transactions),
+        rules,
         F.count_if(F.col("type").isin(*rules.payment_types)).alias("payments"),
         F.count_if(F.col("type").isin(*rules.collection_types)).alias("collections"),
     )
@@ -81,7 +68,7 @@ def daily_summary(daily: DataFrame) -> DataFrame:
         F.col("n").alias("transaction_count"),
         F.col("payments").alias("payment_transactions"),
         F.col("collections").alias("collection_transactions"),
-        F.coalesce(F.bit_count("mask"), F.lit(0)).alias("unique_transaction_types"),
+        F.size("types").alias("unique_transaction_types"),
     )
 
 
@@ -90,7 +77,7 @@ def user_summary(daily: DataFrame) -> DataFrame:
     return _per_user(daily).select(
         "user_id",
         "total_transactions",
-        F.coalesce(F.bit_count("type_mask"), F.lit(0)).alias("unique_transaction_types"),
+        "unique_transaction_types",
         "transaction_days",
         "first_transaction_dt",
         "last_transaction_dt",
@@ -100,11 +87,11 @@ def user_summary(daily: DataFrame) -> DataFrame:
 def user_segments(daily: DataFrame, rules: Rules) -> DataFrame:
     """Segment and all-time summary of every user with a valid transaction."""
     users = _per_user(daily)
-    return users.filter(_has_any(F.col("type_mask"), rules.valid_types)).select(
+    return users.filter("paid OR collected").select(
         "user_id",
-        segment_of(F.col("type_mask"), rules).alias("user_segment"),
+        segment_of(F.col("paid"), F.col("collected")).alias("user_segment"),
         "total_transactions",
-        F.bit_count("type_mask").alias("unique_transaction_types"),
+        "unique_transaction_types",
         "transaction_days",
         "first_transaction_dt",
         "last_transaction_dt",
@@ -113,12 +100,12 @@ def user_segments(daily: DataFrame, rules: Rules) -> DataFrame:
 
 def segment_only(transactions: DataFrame, rules: Rules) -> DataFrame:
     """Just (user_id, user_segment): one shuffle of one row per user and task."""
-    mask = F.bit_or(_type_bit()).alias("type_mask")
+    paid, collected = _did(rules.payment_types), _did(rules.collection_types)
     return (
         transactions.groupBy("user_id")
-        .agg(mask)
-        .filter(_has_any(F.col("type_mask"), rules.valid_types))
-        .select("user_id", segment_of(F.col("type_mask"), rules).alias("user_segment"))
+        .agg(paid.alias("paid"), collected.alias("collected"))
+        .filter("paid OR collected")
+        .select("user_id", segment_of(F.col("paid"), F.col("collected")).alias("user_segment"))
     )
 
 
@@ -214,6 +201,7 @@ def _activity(transactions: DataFrame, onboarding: DataFrame, rules: Rules) -> D
     collected = F.col("type").isin(*rules.collection_types)
     daily = _per_day(
         joined,
+        rules,
         F.count_if(inside).alias("n_in"),
         F.count_if(inside & collected).alias("collected_in"),
     )
@@ -244,7 +232,7 @@ def with_activity(
     """
     if segments is None:
         active = _with_measures(onboarding, transactions, rules)
-        return active.withColumn("user_segment", segment_of(F.col("type_mask"), rules))
+        return active.withColumn("user_segment", segment_of(F.col("paid"), F.col("collected")))
     near = near_windows(onboarding, transactions, rules)
     active = _with_measures(onboarding, near, rules)
     window = [c for c in active.columns if c.startswith("window_")]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from firstmile import schemas
 from firstmile.operators import activity, cleaning, funnel, metrics, overlap
 from firstmile.operators.dedupe import one_row_per_user
-from firstmile.plans.lineage import checkpointed
 from firstmile.plans.publish import WRITTEN, Published, publish, verify
 from firstmile.rules import Rules
 from firstmile.schemas import Contract
@@ -151,7 +151,8 @@ def serve(
     `Contract.with_wide_counts`.
     """
     wide = read_parquet(spark, f"{folder}/user_metrics")
-    cohorts = checkpointed(funnel.cohort_totals(wide), f"{folder}/checkpoints")
+    write_parquet(funnel.cohort_totals(wide), f"{folder}/cohorts")
+    cohorts = read_parquet(spark, f"{folder}/cohorts")
     daily = read_parquet(spark, f"{folder}/daily_activity")
     tables = [
         (schemas.USER_SEGMENTS, read_parquet(spark, f"{folder}/user_segments")),
@@ -182,20 +183,49 @@ def check(
     return problems
 
 
+class Outcome(NamedTuple):
+    """What `run` did: the cleaning ledger, what became of each served table, what is wrong with any."""
+
+    ledger: DataFrame
+    published: list[Published]
+    problems: list[str]
+
+
+def clean_and_compare(raw: Extracts, rules: Rules, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Land the clean tables, their overlaps and coverage; return ledger and overlaps."""
+    ledger = preprocess(raw, rules, folder)
+    overlaps = consistency(read_clean(raw.users.sparkSession, folder), folder)
+    write_parquet(overlap.coverage_ratios(overlaps), f"{folder}/coverage")
+    return ledger, overlaps
+
+
+def serve_and_check(
+    spark: SparkSession,
+    folder: str,
+    sink_of: Callable[[str], Sink] | None = None,
+    with_week: bool = False,
+    adapt: Callable[[Contract], Contract] = lambda contract: contract,
+) -> tuple[list[Published], list[str]]:
+    """Publish the six tables and read each of them back."""
+    served = sink_of or (lambda name: parquet_table(f"{folder}/served/{name}"))
+    published = serve(spark, folder, served, with_week, adapt)
+    return published, check(spark, folder, published, served, adapt)
+
+
 def run(
     raw: Extracts,
     rules: Rules,
     folder: str,
     sink_of: Callable[[str], Sink] | None = None,
-) -> tuple[DataFrame, list[Published]]:
-    """All stages: the cleaning ledger and what became of each served table.
+    with_week: bool = False,
+    adapt: Callable[[Contract], Contract] = lambda contract: contract,
+) -> Outcome:
+    """All stages, in the order and with the checks of the command line.
 
-    The overlaps of the clean tables are in `folder`/consistency.
+    The overlaps of the clean tables are in `folder`/consistency, the coverage
+    ratios in `folder`/coverage.
     """
     spark = raw.users.sparkSession
-    ledger = preprocess(raw, rules, folder)
-    clean = read_clean(spark, folder)
-    consistency(clean, folder)
-    transform(clean, rules, folder)
-    served = sink_of or (lambda name: parquet_table(f"{folder}/served/{name}"))
-    return ledger, serve(spark, folder, served)
+    ledger, _ = clean_and_compare(raw, rules, folder)
+    transform(read_clean(spark, folder), rules, folder)
+    return Outcome(ledger, *serve_and_check(spark, folder, sink_of, with_week, adapt))

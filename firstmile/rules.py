@@ -9,9 +9,6 @@ INDIVIDUALS = "INDIVIDUALS"
 SELLERS = "SELLERS"
 UNKNOWN = "UNKNOWN"
 
-# Type codes live in one long bitmask per user (see operators.activity).
-MAX_TYPE_CODE = 62
-
 
 @dataclass(frozen=True)
 class HabitRule:
@@ -49,9 +46,6 @@ class Rules:
     max_missing_percent: float = 10.0
 
     def __post_init__(self) -> None:
-        bad = [t for t in self.valid_types if not 0 <= t <= MAX_TYPE_CODE]
-        if bad:
-            raise ValueError(f"type codes must be in 0..{MAX_TYPE_CODE}: {bad}")
         both = set(self.payment_types) & set(self.collection_types)
         if both:
             raise ValueError(f"types in both families: {sorted(both)}")

@@ -12,12 +12,11 @@ import argparse
 from pyspark.sql import SparkSession
 
 from firstmile import Rules
-from firstmile.operators.overlap import coverage_ratios
 from firstmile.plans import batch
 from firstmile.plans.explore import explore
 from firstmile.plans.publish import status_table
 from firstmile.schemas import Contract
-from firstmile.sources import keyed_table, parquet_table
+from firstmile.sources import keyed_table, parquet_table, read_parquet
 
 STAGES = ("explore", "preprocess", "transform", "serve")
 
@@ -52,10 +51,10 @@ def main() -> None:
         for name, report in explore(raw, rules).items():
             report.write.mode("overwrite").parquet(f"{args.output}/exploration/{name}")
     if "preprocess" in stages:
-        batch.preprocess(raw, rules, args.output).show(truncate=False)
-        overlaps = batch.consistency(batch.read_clean(spark, args.output), args.output)
+        ledger, overlaps = batch.clean_and_compare(raw, rules, args.output)
+        ledger.show(truncate=False)
         overlaps.show(truncate=False)
-        coverage_ratios(overlaps).show(truncate=False)
+        read_parquet(spark, f"{args.output}/coverage").show(truncate=False)
     if "transform" in stages:
         batch.transform(batch.read_clean(spark, args.output), rules, args.output)
     if "serve" in stages:
@@ -70,9 +69,10 @@ def main() -> None:
                 contract = contract.with_instants()
             return contract.with_wide_counts() if args.wide_counts else contract
 
-        published = batch.serve(spark, args.output, sink_of, args.with_week, adapt)
+        published, problems = batch.serve_and_check(
+            spark, args.output, sink_of, args.with_week, adapt
+        )
         status_table(spark, published).show(truncate=False)
-        problems = batch.check(spark, args.output, published, sink_of, adapt)
         if problems:
             raise SystemExit("\n".join(problems))
 

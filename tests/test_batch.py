@@ -46,7 +46,8 @@ def extracts(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def done(spark, extracts, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("batch"))
-    ledger, published = batch.run(extracts, METRIC_RULES, folder)
+    ledger, published, problems = batch.run(extracts, METRIC_RULES, folder)
+    assert problems == []
     return folder, ledger, published
 
 
@@ -145,16 +146,6 @@ def test_landed_raw_extracts_are_unchanged(extracts, tmp_path):
         assert rows(after) == rows(before)
 
 
-def test_checkpoint_folder_of_the_session_wins(spark, tmp_path):
-    from firstmile.plans.lineage import checkpointed
-
-    df = spark.range(3)
-    checkpointed(df, str(tmp_path / "first"))
-    named = spark.sparkContext.getCheckpointDir()
-    assert checkpointed(df, str(tmp_path / "second")).count() == 3
-    assert spark.sparkContext.getCheckpointDir() == named
-
-
 def test_light_loader(spark, extracts):
     from firstmile.operators.cleaning import prefix_only
 

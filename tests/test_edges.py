@@ -98,15 +98,22 @@ def test_zoned_timestamps_work_too(spark):
     assert wide["i1"]["unique_transaction_days"] == 5
 
 
-def test_type_out_of_range_is_an_error(spark):
-    bad = spark.createDataFrame([("MLB1", LOGIN, 99)], TRANSACTIONS)
-    with pytest.raises(Exception, match="type out of range"):
-        activity.segment_only(bad, RULES).collect()
+def test_any_type_code_is_counted(spark):
+    """Codes are no bits: large, negative and missing ones neither fail nor collide."""
+    data = [("MLB1", LOGIN, t) for t in (3, 99, -1, 63, 127, 99, None)] + [("MLB2", LOGIN, 1000)]
+    tx = spark.createDataFrame(data, TRANSACTIONS)
+    assert rows(activity.segment_only(tx, RULES)) == [("MLB1", "INDIVIDUALS")]
+    daily = activity.daily_activity(tx, RULES)
+    assert {r[0]: r["unique_transaction_types"] for r in activity.daily_summary(daily).collect()} == {"MLB1": 5, "MLB2": 1}
+    assert {r[0]: r["unique_transaction_types"] for r in activity.user_summary(daily).collect()} == {"MLB1": 5, "MLB2": 1}
+    wide = Rules(payment_types=(1, 70), collection_types=(900,))
+    assert rows(activity.segment_only(spark.createDataFrame([("MLB1", LOGIN, 70), ("MLB2", LOGIN, 900)], TRANSACTIONS), wide)) == [
+        ("MLB1", "INDIVIDUALS"), ("MLB2", "SELLERS"),
+    ]
+
 
 
 def test_rules_reject_unusable_values():
-    with pytest.raises(ValueError):
-        Rules(payment_types=(1, 70))
     with pytest.raises(ValueError):
         Rules(payment_types=(1, 8))
     with pytest.raises(ValueError):
