@@ -438,6 +438,24 @@ def oracles() -> dict[str, str]:
             " UNION ALL SELECT 'transactions', 'segment_domain', COUNT(*)"
             " FROM transactions_raw WHERE segment NOT IN (1, 2)"
         ),
+        "unreadable_counts": _raw(
+            " UNION ALL ".join(
+                f"SELECT '{table}' AS dataset, '{column}' AS column_name, COUNT(*) AS unreadable_rows"
+                f" FROM {table}_raw WHERE {bad}"
+                for table, column, bad in (
+                    ("users", "type", "type IS NOT NULL AND TRY_CAST(NULLIF(TRIM(type), '') AS DOUBLE) IS NULL"),
+                    ("users", "rubro", "rubro IS NOT NULL AND TRY_CAST(NULLIF(TRIM(rubro), '') AS DOUBLE) IS NULL"),
+                    ("transactions", "transaction_dt", "FALSE"),
+                    ("transactions", "type", "FALSE"),
+                    ("transactions", "segment", "FALSE"),
+                    ("onboarding", "first_login_dt", "FALSE"),
+                    ("onboarding", "habito", "habito NOT IN (0, 1)"),
+                    ("onboarding", "activacion", "activacion NOT IN (0, 1)"),
+                    ("onboarding", "setup", "setup NOT IN (0, 1)"),
+                    ("onboarding", "return", '"return" NOT IN (0, 1)'),
+                )
+            )
+        ),
         "row_counts": _raw(
             "SELECT 'users' AS dataset, COUNT(*) AS row_count FROM users_raw"
             " UNION ALL SELECT 'transactions', COUNT(*) FROM transactions_raw"

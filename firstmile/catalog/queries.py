@@ -141,6 +141,11 @@ def invalid_counts(t):
     return quality.invalid_counts(t.users_raw, t.transactions_typed, CLEANING_RULES)
 
 
+@_query
+def unreadable_counts(t):
+    return quality.unreadable_counts(_raw_tables(t))
+
+
 @_query
 def row_counts(t):
     return quality.row_counts(_raw_tables(t))

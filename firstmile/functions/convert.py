@@ -34,6 +34,12 @@ def code(df: DataFrame, name: str) -> Column:
     return F.when(value == F.floor(value), value.try_cast("int"))
 
 
+def a_flag(df: DataFrame, name: str) -> Column:
+    """0 or 1; NULL for any other value."""
+    value = F.col(name) if isinstance(_type_of(df, name), T.IntegralType) else number(df, name)
+    return F.when(value.isin(0, 1), value.cast("int"))
+
+
 def flag(df: DataFrame, name: str) -> Column:
     """1 for a one, in digits or as text; 0 for everything else, missing or not."""
     kind = _type_of(df, name)

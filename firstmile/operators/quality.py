@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firstmile.functions import rounded_percent
+from firstmile.functions.convert import a_flag, code, number, timestamp
 from firstmile.operators.cleaning import drop_index
 from firstmile.rules import Rules
 
@@ -74,6 +75,28 @@ def invalid_counts(
     )
 
 
+def unreadable_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Values that are there but cannot be read as what their column holds.
+
+    Blank and non-numeric codes, unreadable times, flags other than 0 and 1: the
+    values that typing turns into NULL, so that no later rule sees them. One pass
+    over each raw table; columns that a table lacks are not reported.
+    """
+
+    def one(name: str, raw: DataFrame) -> DataFrame:
+        readers = {"transaction_dt": timestamp, "first_login_dt": timestamp, "segment": code}
+        readers |= {c: a_flag for c in ("habito", "activacion", "setup", "return")}
+        readers |= {"type": code, "rubro": number}
+        there = [c for c in raw.columns if c in readers]
+        counts = raw.agg(
+            *[F.count_if(_column(c).isNotNull() & readers[c](raw, c).isNull()).alias(c) for c in there]
+        )
+        tall = counts.unpivot([], there, "column_name", "unreadable_rows")
+        return tall.select(F.lit(name).alias("dataset"), "*")
+
+    return reduce(DataFrame.unionAll, [one(name, df) for name, df in tables.items()])
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     counted = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(

@@ -25,6 +25,7 @@ def explore(raw: Extracts, rules: Rules) -> dict[str, DataFrame]:
         "row_counts": quality.row_counts(tables),
         "duplicate_rows": quality.duplicate_rows(tables),
         "invalid_counts": quality.invalid_counts(users, transactions, rules),
+        "unreadable_counts": quality.unreadable_counts(tables),
         "overlap_counts": overlaps,
         "coverage_ratios": overlap.coverage_ratios(overlaps),
         "membership_regions": overlap.membership_regions(users, transactions, onboarding),

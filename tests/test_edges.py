@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from firstmile import Rules
 from firstmile.functions import collapse_whitespace, iso_week_label, iso_year, rounded_percent
-from firstmile.operators import activity, cleaning, funnel, metrics
+from firstmile.operators import activity, cleaning, funnel, metrics, quality
 from firstmile.operators.dedupe import one_row_per_user
 
 RULES = Rules()
@@ -211,6 +211,15 @@ def test_counts_of_odd_flags_agree(spark):
     assert clean.agg(F.sum("habito"), F.count_if(F.col("habito") == 1)).first() == (1, 1)
 
 
+def test_unreadable_values_are_counted(spark):
+    """The dirtiest values become NULL when typed; the report counts them before."""
+    text = spark.createDataFrame(
+        [("MLB1", "x", "1", "soon"), ("MLB2", " ", "zz", "2022-01-01 10:00:00"), ("MLB3", "12", None, None), ("MLB4", "3.5", "2", "")],
+        "user_id string, type string, segment string, transaction_dt string",
+    )
+    assert rows(quality.unreadable_counts({"t": text})) == [("t", "segment", 1), ("t", "transaction_dt", 2), ("t", "type", 3)]
+
+
 def test_drop_values(spark):
     df = spark.createDataFrame(
         [(f"MLB{i}", LOGIN, 0, 0, 0, r) for i, r in enumerate([1, 0, 2, None])], ONBOARDING
