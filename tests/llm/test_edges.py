@@ -203,6 +203,22 @@ def test_wrappers_align():
     assert html.as_text(html.align(*pages[::-1])) == html.as_text(both)
 
 
+def test_classes_that_only_speak_of_other_parts():
+    page = "<body class='has-sidebar home'><div class='content with-comments'><p>Long text of the article.</p><div class='post-comments'>x</div></div><div class='sidebar-left'>y</div></body>"
+    assert html.main_text(page, None) == "Long text of the article."
+
+
+def test_a_host_of_many_class_names_is_read_by_tags(monkeypatch):
+    monkeypatch.setattr(html, "NODES", 8)
+    pages = [f"<body><div class='c{'abcdefgh'[i]}'><article><p>text {i}</p><div class='ad'>no</div></article></div></body>" for i in range(8)]
+    whole = None
+    for page in pages:
+        whole = html.merged(whole, html.wrapper(html.parse(page)))
+    found = html.rules(whole)
+    assert not found["named"] and html._size(whole) < 12
+    assert [html.text_of(html.parse(p), found) for p in pages] == [f"text {i}" for i in range(8)]
+
+
 @pytest.mark.parametrize("source", ["<" * 100_000, "<a \"" * 30_000, "<div>" * 50_000, "<p>" * 50_000 + "x", "<!--" * 30_000, "<script>" * 20_000, "</p>" * 50_000])
 def test_html_is_linear(source):
     html.main_text(source, None)
