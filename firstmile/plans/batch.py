@@ -90,13 +90,21 @@ def preprocess(raw: Extracts, rules: Rules, folder: str) -> DataFrame:
     transactions = cleaning.type_transactions(raw.transactions)
     onboarding = cleaning.type_onboarding(raw.onboarding)
     plans = {
-        "users": (users, cleaning.user_rules(rules), cleaning.one_line_address),
+        "users": (
+            users,
+            cleaning.user_rules(rules),
+            lambda df: schemas.declared(cleaning.one_line_address(df), schemas.CLEAN_USERS, "users"),
+        ),
         "transactions": (
             transactions,
             cleaning.transaction_rules(transactions, rules),
-            lambda df: df,
+            lambda df: schemas.declared(df, schemas.CLEAN_TRANSACTIONS, "transactions"),
+        ),
+        "onboarding": (
+            onboarding,
+            cleaning.onboarding_rules(onboarding, rules),
+            lambda df: schemas.declared(df, schemas.CLEAN_ONBOARDING, "onboarding"),
         ),
-        "onboarding": (onboarding, cleaning.onboarding_rules(onboarding, rules), lambda df: df),
     }
     rows = []
     for name, (typed, kept, finish) in plans.items():
@@ -107,8 +115,13 @@ def preprocess(raw: Extracts, rules: Rules, folder: str) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, folder: str) -> Extracts:
+    expected = {
+        "users": schemas.CLEAN_USERS,
+        "transactions": schemas.CLEAN_TRANSACTIONS,
+        "onboarding": schemas.CLEAN_ONBOARDING,
+    }
     return Extracts(
-        *[read_parquet(spark, f"{folder}/clean_{n}") for n in ("users", "transactions", "onboarding")]
+        *[read_parquet(spark, f"{folder}/clean_{n}", schema) for n, schema in expected.items()]
     )
 
 

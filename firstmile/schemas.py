@@ -183,6 +183,12 @@ def require(df: DataFrame, expected: T.StructType | list[str], table: str) -> Da
     return df
 
 
+def declared(df: DataFrame, expected: T.StructType, table: str) -> DataFrame:
+    """The declared columns and no others, in the declared types."""
+    require(df, expected, table)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in expected.fields])
+
+
 def _stored(df: DataFrame, field: T.StructField, table: str) -> Column:
     """A column as the contract declares it. A count too large for INT is an
     error in every session, also where casts would wrap."""

@@ -146,6 +146,22 @@ def test_landed_raw_extracts_are_unchanged(extracts, tmp_path):
         assert rows(after) == rows(before)
 
 
+def test_extra_columns_change_nothing(spark, extracts, done, tmp_path):
+    """Undeclared columns end at cleaning, so they cannot break ties later."""
+    wider = batch.Extracts(
+        *[
+            df.withColumn("Flag", F.col("user_id").substr(4, 2)).withColumn("consigna", F.lit("x"))
+            for df in (extracts.users, extracts.transactions, extracts.onboarding)
+        ]
+    )
+    folder = str(tmp_path / "wider")
+    batch.clean_and_compare(wider, METRIC_RULES, folder)
+    clean, plain = batch.read_clean(spark, folder), batch.read_clean(spark, done[0])
+    for ours, theirs in zip((clean.users, clean.transactions, clean.onboarding), (plain.users, plain.transactions, plain.onboarding), strict=True):
+        assert ours.columns == theirs.columns
+        assert rows(ours) == rows(theirs)
+
+
 def test_light_loader(spark, extracts):
     from firstmile.operators.cleaning import prefix_only
 
