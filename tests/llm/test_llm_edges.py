@@ -224,6 +224,12 @@ def test_html_is_linear(source):
     html.main_text(source, None)
 
 
+def test_raw_text_ends_on_pages_whose_lower_case_is_longer():
+    page = "<head><TITLE>\u0130stanbul</Title><script>x</SCRIPT></head><body><article><p>Text of \u0130zmir.</p></article></body>"
+    assert html.main_text(page, None) == "Text of \u0130zmir."
+    assert html.main_text("<title>\u017ftyle</title><style>a</\u017ftyle>b</style><p>c", None) == "c"
+
+
 def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, "What is this? That.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
