@@ -230,6 +230,24 @@ def test_raw_text_ends_on_pages_whose_lower_case_is_longer():
     assert html.main_text("<title>\u017ftyle</title><style>a</\u017ftyle>b</style><p>c", None) == "c"
 
 
+def test_html_of_any_depth():
+    deep = "<div>" * 70 + "<p>deep</p><nav><p>no</p></nav>" + "</div>" * 70
+    assert html.main_text(f"<div id=wrap><article><p>a</p>{deep}<p>after</p></article></div>", None) == "a\ndeep\nafter"
+    page = "<article>" + "<div>" * 20_000 + "<p>deep</p>" + "</div>" * 20_000 + "<p>after</p></article>"
+    whole = html.unpacked(html.packed(html.merged(html.wrapper(html.parse(page)), html.wrapper(html.parse(page)))))
+    assert html.text_of(html.parse(page), html.rules(whole)) == "deep\nafter" and html.as_text(whole)
+
+
+def test_only_the_group_that_is_too_wide_forgets_classes(monkeypatch):
+    monkeypatch.setattr(html, "NODES", 30)
+    pages = ["<body><div class=side><p>no {0}</p></div><div class=list>".format(i) + "".join(f"<i class='x{i}{'abcdefgh'[k]}'>y</i>" for k in range(8)) + f"</div><div class=post><article><p>text {i}</p></article></div></body>" for i in "abcdef"]
+    whole = None
+    for page in pages:
+        whole = html.merged(whole, html.wrapper(html.parse(page)))
+    assert [html.text_of(html.parse(p), html.rules(whole)) for p in pages] == [f"text {i}" for i in "abcdef"]
+    assert {w[html.NAME] for w in html._walk(whole) if w[html.TAG] == "div"} == {"side", "list", "post"}
+
+
 def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, "What is this? That.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
