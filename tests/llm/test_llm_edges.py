@@ -248,6 +248,28 @@ def test_only_the_group_that_is_too_wide_forgets_classes(monkeypatch):
     assert {w[html.NAME] for w in html._walk(whole) if w[html.TAG] == "div"} == {"side", "list", "post"}
 
 
+def by_host(pages):
+    """The texts of a host's pages."""
+    whole = None
+    for page in pages:
+        whole = html.merged(whole, html.wrapper(html.parse(page)))
+    found = html.rules(whole)
+    return [html.main_text(page, found) for page in pages]
+
+
+def test_constant_texts_go_only_where_distinct_pages_agree():
+    story = "<div class=story><h2>A</h2><p>x</p><p>y</p><h2>B</h2><p>z</p></div>"
+    assert by_host([story]) == by_host([story, story])[:1] == [html.main_text(story, None)] == ["A\nx\ny\nB\nz"]
+    assert html.main_text("<h1>T</h1><p>x</p><p>y</p>", None) == "T\nx\ny"
+    pages = [f"<div class=story><h2>First {i}</h2><p>x{i}<p>y{i}<h2>B{i}</h2><p>Follow us</p><h2>C</h2><p>The longest text of page {i}</p></div>" for i in range(3)]
+    pages.append("<div class=story><h2>First 9</h2><p>Follow us</p><p>y</p><h2>C</h2><p>The longest text of page 9</p></div>")
+    for got, i in zip(by_host(pages), (0, 1, 2), strict=False):
+        assert {f"First {i}", f"x{i}", f"y{i}", f"B{i}", f"The longest text of page {i}"} <= set(got.split("\n"))
+    assert "Follow us" in by_host(pages)[3].split("\n")
+    framed = [f"<div class=top>Our <b>site</b></div><div class=story><p>By <i>A{i}</i></p><p>The longest text of page {i}</p></div><div class=end>Rights</div>" for i in range(3)]
+    assert by_host(framed) == [f"By A{i}\nThe longest text of page {i}" for i in range(3)]
+
+
 def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, "What is this? That.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
