@@ -270,6 +270,17 @@ def test_constant_texts_go_only_where_distinct_pages_agree():
     assert by_host(framed) == [f"By A{i}\nThe longest text of page {i}" for i in range(3)]
 
 
+def test_no_block_is_left_out_for_being_short():
+    one = f"<body><div class=post><p>{'a' * 200}</p><ul><li>{'b' * 400}</li></ul></div></body>"
+    assert html.main_text(one, None) == f"{'a' * 200}\n{'b' * 400}"
+    assert html.main_text(f"<div><div class=intro>in</div><div class=text>{'b' * 400}</div></div>", None) == f"in\n{'b' * 400}"
+    parts = [f"<div class=intro>in {i}</div><section><p>{'long text ' * 90}{i}</p></section><section><p>s{i}</p></section>" for i in range(3)]
+    assert [x.split("\n")[0] for x in by_host(parts)] == ["in 0", "in 1", "in 2"]
+    links = "<body><div class=top><a href='/'>Home</a> | <a href='/b'>B</a></div><div class=post><h1><a href=/x>Title</a></h1><div><p>Text</p></div></div></body>"
+    assert html.main_text(links, None) == "Title\nText"
+    assert by_host(["<body><div><p>short</p></div></body>", f"<body><div><p>{'long ' * 99}</p></div><table><tr><td>t</td></tr></table></body>"])[1].endswith("\nt")
+
+
 def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, "What is this? That.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
