@@ -281,6 +281,18 @@ def test_no_block_is_left_out_for_being_short():
     assert by_host(["<body><div><p>short</p></div></body>", f"<body><div><p>{'long ' * 99}</p></div><table><tr><td>t</td></tr></table></body>"])[1].endswith("\nt")
 
 
+def test_article_text_is_not_dropped_for_a_word_of_its_name():
+    body = (
+        "<section id='related-work'><h2 id='search'>Search</h2><p class='share-price'>Price</p></section><h2 id='notice-of-change'>Change</h2>"
+        "<div id='contact-form'><p>Write to us</p></div><div class=section id=notice><h3>Notice</h3><p>of it</p></div><section id=banner><p>Banner</p></section>"
+        "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2</annotation></math>.</p>"
+    )
+    gone = "<div class='ad-banner'>no</div><div class=share>no</div><div id=comments><h2>Comments</h2><p>no</p></div><div id=sidebar><p>no</p></div><nav>no</nav>"
+    text = "Search\nPrice\nChange\nWrite to us\nNotice\nof it\nBanner\nLet x=2."
+    assert html.main_text(f"<article>{body}{gone}</article>", None) == text
+    assert html.main_text("<div><h2 id=search>Search</h2><p class=share-price>Price</p><div class=share-price>no</div></div>", None) == "Search\nPrice"
+
+
 def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, "What is this? That.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
