@@ -15,9 +15,10 @@ passages that no block can lift to the threshold are done. Nothing is cut off: t
 result is that of scoring every passage against every item.
 
 A retrieved item counts if question and answer overlap with the words around the
-passage: at least `OVERLAP` of the three-word shingles of either part (of the whole
-part if shorter). The answer is what follows `Answer:` or the last question mark,
-else the last sentence; an item of one sentence is all question.
+passage: at least `OVERLAP` of the three-word shingles of either part; of a part of
+at most `SHORT` words, more than half of its words, standing together. The answer is
+what follows `Answer:` or the last question mark; an item that marks none is all
+question.
 
 The index travels to the tasks in parts of about `PART_WORDS` words of items, one
 pass over the documents a part, so its size is bounded for any benchmark; document
@@ -48,6 +49,8 @@ from firstmile.llm.columns import slices, values
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.5, 3
+#: Of so many words, one edit can change more than half of the shingles.
+SHORT = 7
 BLOCK = 32
 PART_WORDS = 1_000_000
 #: Numbers in a class's matrix of bounds.
@@ -56,7 +59,6 @@ SHORTEST = 16
 
 _BLANK = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 _ANSWER = re.compile(r"\banswer\s*:", re.IGNORECASE)
-_SENTENCE = re.compile(r"(?<=[.!?\n])\s+(?=\S)")
 
 
 def words(text: str | None) -> list[bytes]:
@@ -69,8 +71,6 @@ def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
         cut, end = found[-1].span()
     elif "?" in text[:-1]:
         cut = end = text.rindex("?", 0, len(text) - 1) + 1
-    elif found := list(_SENTENCE.finditer(text)):
-        cut, end = found[-1].span()
     else:
         return words(text), []
     question, answer = words(text[:cut]), words(text[end:])
@@ -82,11 +82,27 @@ def shingles(part: list[bytes]) -> set[tuple[bytes, ...]]:
     return {tuple(part[i : i + n]) for i in range(len(part) - n + 1)} if n else set()
 
 
+def _nearby(part: list[bytes], around: list[bytes]) -> float:
+    """Largest share of the part's words that stand together, one word more allowed; up to half do so by chance and count as none."""
+    left, width, held, best = Counter(part), len(part) + 1, 0, 0
+    for i, w in enumerate(around):
+        held += left[w] > 0
+        left[w] -= 1
+        if i >= width:
+            old = around[i - width]
+            left[old] += 1
+            held -= left[old] > 0
+        best = max(best, held)
+    return best / len(part) if 2 * best > len(part) else 0.0
+
+
 def overlap(part: list[bytes], around: list[bytes]) -> float:
-    """Share of the part's shingles that the words around hold; 1 for an empty part."""
-    wanted = shingles(part)
-    if not wanted:
+    """Share of the part's shingles, or of a short part's words, that the words around hold; 1 for an empty part."""
+    if not part:
         return 1.0
+    if len(part) <= SHORT:
+        return _nearby(part, around)
+    wanted = shingles(part)
     n = len(next(iter(wanted)))
     there = {tuple(around[i : i + n]) for i in range(len(around) - n + 1)}
     return len(wanted & there) / len(wanted)

@@ -173,6 +173,22 @@ def test_decontamination_of_odd_rows(spark, docs):
     assert decontam.remove_leaks(docs, items).columns == docs.columns
 
 
+def test_items_without_an_answer_are_found_as_a_whole(spark):
+    item = "Inha from eder thes the eroundth. Onnthe rest onthsh onen lytion inon lyoren for as thantionsh. It went well that day. Er."
+    asked = "What is the name of the river that runs through the old town of Erblest? Answer: the slow river Inan"
+    items = spark.createDataFrame([(1, item), (2, item[:-4]), (3, asked)], "item_id long, text string")
+    rows = [(1, f"aa bb {item[:-27]} cc dd"), (2, f"aa {item.replace('went', 'goes')} bb"), (3, item.replace(" Er.", "")), (4, asked.replace("river Inan", "stream Inan")), (5, asked[:75]), (6, "Er. It went well that day. Er.")]
+    found = decontam.matches(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2), (4, 3)]
+
+
+def test_short_parts_are_compared_by_words():
+    part = b"it went well that day".split()
+    assert decontam.overlap(part, b"x it went badly that day y".split()) == 0.8
+    assert decontam.overlap(part, b"it a b c d e f went g h i j k l well".split()) == 0
+    assert decontam.overlap([b"a", b"a"], [b"a"]) == 0 and decontam.overlap([b"er"], [b"x"] * 9) == 0 and decontam.overlap([b"er"], []) == 0
+
+
 PAGE = (
     "<html><head><title>x</title></head><body><header>Site {n}</header><nav><a href='/'>Home</a></nav>"
     "<div class='cookie-notice'>We use cookies</div><main><article><h1>Title {n}</h1><p>First &amp; {n}<br>line"
