@@ -120,13 +120,19 @@ def _score(text: str, start: int, end: int, kind: str) -> float:
 
 
 def extra_spans(text: str) -> Iterator[tuple[int, int, str]]:
-    """The longest prefix of each IBAN proposal that passes mod 97, US social security numbers, secrets."""
-    for m in IBAN.finditer(text):
-        for end in range(m.end(), m.start() + 14, -1):
+    """The longest prefix of each IBAN proposal that passes mod 97, US social security numbers, secrets.
+
+    Proposals may overlap: a code before an IBAN does not hide it.
+    """
+    at, done = 0, 0
+    while m := IBAN.search(text, at):
+        for end in range(m.end(), max(m.start() + 14, done), -1):
             code = text[m.start() : end].replace(" ", "")
             if text[end - 1] != " " and 15 <= len(code) <= 34 and not text[end : end + 1].isalnum() and mod97(code):
                 yield m.start(), end, "iban"
+                done = end
                 break
+        at = m.start() + 1
     for m in SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area[0] != "9" and group != "00" and serial != "0000":
@@ -135,14 +141,14 @@ def extra_spans(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def spans(text: str) -> list[tuple[int, int, str, float]]:
-    """(start, end, kind, score) by start, then kind: every base span, and the further ones above the threshold."""
+    """(start, end, kind, score) by start, then kind: every base span, and the further ones above the threshold that none covers."""
     if not HINT.search(text):
         return []
     found = [(a, b, k, _score(text, a, b, k)) for a, b, k in base_spans(text)]
     taken = [(a, b) for a, b, _, _ in found]
     for a, b, kind in extra_spans(text):
         score = _score(text, a, b, kind)
-        if score >= THRESHOLD and not any(a < y and x < b for x, y in taken):
+        if score >= THRESHOLD and not any(x <= a and b <= y for x, y in taken):
             found.append((a, b, kind, score))
     return sorted(found, key=lambda s: (s[0], ORDER[s[2]], s[1]))
 

@@ -143,6 +143,14 @@ def test_pii_validators_and_context():
     assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB83WEST12345698765432")
 
 
+def test_ibans_beside_cards_and_codes():
+    code = "GB39WEST36075983867565"
+    assert pii.luhn(code[8:]) and {("iban", 5, 27), ("card", 13, 27)} == {(k, a, b) for a, b, k, _ in pii.spans(f"iban {code}")}
+    assert pii.redact_text(f"pay {code} now") == "pay <iban> now"
+    assert pii.redact_text("code AB12 GB82 WEST 1234 5698 7654 32 end") == "code AB12 <iban> end"
+    assert pii.redact_text(f"GB82 WEST 1234 5698 7654 32 {code}") == "<iban> <iban>"
+
+
 @pytest.mark.parametrize("text", ["1" * 200_000, "1." * 100_000, "@" * 100_000, "a@" * 60_000, "+1 " * 60_000, "a" * 200_000 + "@", "GB82 " * 40_000])
 def test_pii_is_linear(text):
     pii.spans(text)
