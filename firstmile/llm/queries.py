@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstmile.llm import bpe, columns, decontam, html, langid, lm, pii, quality, shard, simhash, tokenfile
+from firstmile.llm import ann, bpe, columns, decontam, fim, html, langid, lm, pii, quality, shard, simhash, tokenfile, trie
 
 
 def tokenizer_file(name: str, folder: str | None = None) -> str:
@@ -66,6 +66,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(columns.table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(columns.table(spark, sf_dir, "conversations"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(columns.table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(columns.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_lm_scoring,
@@ -78,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bpe,
         op9_html,
         op10_sharding,
+        op11_prefix_trie,
+        op12_nearest,
+        op13_fill_in_middle,
     )
     return {f.__name__: f for f in every}
 
@@ -105,5 +120,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b"""
 
 
+def _crc32_sql(text: str) -> str:
+    """crc32 of ASCII text, bit by bit: a byte is taken in by exclusive or, -1 stands for one shift."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda a, x: {step}), 4294967295::BIGINT)"
+
+
+def _op11_sql() -> str:
+    return rf"""
+WITH s AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, turn, sha256(strlen(role)::VARCHAR || ':' || role || text) AS t,
+             len(regexp_extract_all(text, '[^ 	-]+')) AS w FROM s),
+o AS (SELECT c, t, w, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, t) AS p FROM h),
+f AS (SELECT c, c - c % {trie.FAMILY} AS b, {_crc32_sql('c::VARCHAR')} % {trie.HEADS} AS h FROM (SELECT DISTINCT c FROM s)),
+r AS (SELECT f.c, 0 AS g, o.p, o.t, o.w FROM f JOIN o ON o.c = f.b AND o.p <= f.h
+      UNION ALL SELECT f.c, 1, o.p, o.t, o.w FROM f JOIN o ON o.c = f.c AND o.p > f.h),
+d AS (SELECT c, t, w, row_number() OVER (PARTITION BY c ORDER BY g, p) AS depth FROM r),
+m AS (SELECT c, depth, w, sha256(string_agg(t, ',') OVER (PARTITION BY c ORDER BY depth)) AS node,
+             coalesce(sha256(string_agg(t, ',') OVER (PARTITION BY c ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), '') AS up FROM d
+      UNION ALL SELECT c, 0, 0, '', NULL FROM f),
+e AS (SELECT c, max(depth) AS depth FROM m GROUP BY c),
+n AS (SELECT depth, node, min(up) AS up, min(c) AS conv_id, count(*) AS n_convs, min(w) AS w FROM m GROUP BY depth, node),
+k AS (SELECT up AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+q AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (node, depth)),
+u AS (SELECT m.depth, m.node, sum((q.n_convs - 1) * q.w)::BIGINT AS saved_tokens, count(*) FILTER (q.n_children = 0) AS n_leaves
+      FROM q JOIN m ON m.c = q.conv_id AND m.depth <= q.depth GROUP BY ALL),
+z AS (SELECT m.depth, m.node, sha256(string_agg(m.c::VARCHAR, ',' ORDER BY m.c)) AS ends FROM m JOIN e USING (c, depth) GROUP BY ALL)
+SELECT q.conv_id, q.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, q.n_convs, q.n_children, u.n_leaves, u.saved_tokens,
+       coalesce(z.ends, sha256('')) AS ends_sha256
+FROM q JOIN u USING (depth, node) LEFT JOIN z USING (depth, node) LEFT JOIN n p ON p.node = q.up AND p.depth = q.depth - 1"""
+
+
+def _op13_sql() -> str:
+    draw = lambda i: f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT"
+    p, s, m = fim.PREFIX, fim.SUFFIX, fim.MIDDLE
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+l AS (SELECT *, regexp_extract_all(text, '[^
+]*
+|[^
+]+') AS lines FROM d),
+c AS (SELECT *, len(lines) AS n, {draw(0)} % (len(lines) + 1) AS i, {draw(1)} % (len(lines) + 1) AS j,
+             CASE WHEN text = '' OR contains(text, '{p}') OR contains(text, '{s}') OR contains(text, '{m}') OR {draw(2)} % 100 >= {fim.RATE} THEN 'plain'
+                  WHEN {draw(3)} % 100 < {fim.SPM_RATE} THEN 'spm' ELSE 'psm' END AS form FROM l),
+x AS (SELECT *, array_to_string(lines[1:least(i, j)], '') AS a, array_to_string(lines[least(i, j) + 1:greatest(i, j)], '') AS b,
+             array_to_string(lines[greatest(i, j) + 1:n], '') AS e FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(a)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(b)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '{p}' || a || '{s}' || e || '{m}' || b WHEN 'spm' THEN '{s}' || e || '{p}' || a || '{m}' || b ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM x"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": _op4_sql()}
+    return {"op4_quality_rules": _op4_sql(), "op11_prefix_trie": _op11_sql(), "op13_fill_in_middle": _op13_sql()}
