@@ -7,11 +7,12 @@ failure never reaches further back than the last table written.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from firstmile import schemas
 from firstmile.operators import activity, cleaning, funnel, metrics, overlap
@@ -19,8 +20,11 @@ from firstmile.operators.dedupe import one_row_per_user
 from firstmile.plans.publish import WRITTEN, Published, publish, verify
 from firstmile.rules import Rules
 from firstmile.schemas import Contract
-from firstmile.sources import parquet_table, read_parquet, read_text_table, write_parquet
-from firstmile.sources.keyed import Sink
+from firstmile.sources import Layout, read_parquet, read_text_table, versioned_table, versions, write_parquet
+from firstmile.sources.keyed import VERSIONED, Sink
+
+#: Rows of a served table in one bucket: what one task sorts and writes.
+ROWS_PER_BUCKET = 2_000_000
 
 LEDGER_SCHEMA = (
     "dataset string, step int, rule string,"
@@ -79,7 +83,7 @@ def _land(
     """
     seen = Observation()
     watched = typed.observe(seen, *cleaning.ledger_counts(kept))
-    finish(cleaning.keep_all(watched, kept)).write.mode("overwrite").parquet(path)
+    write_parquet(finish(cleaning.keep_all(watched, kept)), path)
     counts = seen.get
     return [counts[f"after_{i}"] for i in range(len(kept) + 1)]
 
@@ -148,7 +152,14 @@ def transform(clean: Extracts, rules: Rules, folder: str) -> None:
 
 
 def _fallback(folder: str, table: str) -> Sink:
-    return parquet_table(f"{folder}/fallback/{table}")
+    return versioned_table(f"{folder}/fallback/{table}")
+
+
+def layout_of(contract: Contract, rows: int) -> Layout:
+    """Folders for a served table: months where its key has a day, buckets of its first
+    key column so that one holds ROWS_PER_BUCKET rows or so of the whole table."""
+    days = [k for k in contract.key if isinstance(contract.schema[k].dataType, T.DateType)]
+    return Layout(days[0] if days else None, contract.key[0], max(1, -(-rows // ROWS_PER_BUCKET)))
 
 
 def serve(
@@ -168,16 +179,26 @@ def serve(
     cohorts = read_parquet(spark, f"{folder}/cohorts")
     daily = read_parquet(spark, f"{folder}/daily_activity")
     tables = [
-        (schemas.USER_SEGMENTS, read_parquet(spark, f"{folder}/user_segments")),
-        (schemas.USER_METRICS, wide),
-        (schemas.FUNNEL_ANALYSIS, funnel.funnel_by_dimension(cohorts, with_week)),
-        (schemas.MONTHLY_METRICS, funnel.monthly_metrics(cohorts)),
-        (schemas.WEEKLY_METRICS, funnel.weekly_metrics(cohorts)),
-        (schemas.TRANSACTION_SUMMARY, activity.daily_summary(daily)),
-    ]
-    return [
-        publish(df, adapt(c), sink_of(c.name), _fallback(folder, c.name)) for c, df in tables
+        (schemas.USER_SEGMENTS, read_parquet(spark, f"{folder}/user_segments"), "user_segments"),
+        (schemas.USER_METRICS, wide, "user_metrics"),
+        (schemas.FUNNEL_ANALYSIS, funnel.funnel_by_dimension(cohorts, with_week), None),
+        (schemas.MONTHLY_METRICS, funnel.monthly_metrics(cohorts), None),
+        (schemas.WEEKLY_METRICS, funnel.weekly_metrics(cohorts), None),
+        (schemas.TRANSACTION_SUMMARY, activity.daily_summary(daily), "daily_activity"),
     ]
+    published = []
+    for contract, df, source in tables:
+        # Its source's commit knows the rows; roll-ups of cohorts are small.
+        rows = versions.current(spark, f"{folder}/{source}").rows if source else 0
+        sinks = sink_of(contract.name), _fallback(folder, contract.name)
+        sink, spare = (_laid_out(s, layout_of(contract, rows)) for s in sinks)
+        published.append(publish(df, adapt(contract), sink, spare))
+    return published
+
+
+def _laid_out(sink: Sink, layout: Layout) -> Sink:
+    """A versioned sink without a layout of its own gets this one."""
+    return replace(sink, layout=layout) if sink.format == VERSIONED and not sink.layout.columns() else sink
 
 
 def check(
@@ -220,7 +241,7 @@ def serve_and_check(
     adapt: Callable[[Contract], Contract] = lambda contract: contract,
 ) -> tuple[list[Published], list[str]]:
     """Publish the six tables and read each of them back."""
-    served = sink_of or (lambda name: parquet_table(f"{folder}/served/{name}"))
+    served = sink_of or (lambda name: versioned_table(f"{folder}/served/{name}"))
     published = serve(spark, folder, served, with_week, adapt)
     return published, check(spark, folder, published, served, adapt)
 

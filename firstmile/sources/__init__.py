@@ -6,9 +6,11 @@ from firstmile.sources.files import (
     read_text_table,
     write_parquet,
 )
-from firstmile.sources.keyed import Sink, keyed_table, parquet_table, read_table
+from firstmile.sources.keyed import Sink, keyed_table, parquet_table, read_table, versioned_table
+from firstmile.sources.versions import Layout
 
 __all__ = [
+    "Layout",
     "Sink",
     "keyed_table",
     "parquet_table",
@@ -16,5 +18,6 @@ __all__ = [
     "read_parquet",
     "read_table",
     "read_text_table",
+    "versioned_table",
     "write_parquet",
 ]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firstmile.functions.rates import rounded_percent
 from firstmile.schemas import SchemaMismatch, require, schema_problems
+from firstmile.sources import versions
 
 
 def read_text_table(
@@ -46,8 +47,12 @@ def read_text_table(
 def read_parquet(
     spark: SparkSession, path: str, expected: T.StructType | None = None
 ) -> DataFrame:
-    """Parquet scan; with `expected`, names and types are checked, not guessed."""
-    df = spark.read.parquet(path)
+    """Parquet scan; with `expected`, names and types are checked, not guessed.
+
+    Of a table that `write_parquet` wrote, the last version whose write ended.
+    """
+    versioned = versions.current(spark, path) is not None
+    df = versions.read(spark, path) if versioned else spark.read.parquet(path)
     if expected is not None:
         problems = schema_problems(df, expected)
         if problems:
@@ -56,10 +61,16 @@ def read_parquet(
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write and return the row count, taken during the write itself."""
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return counted.get["rows"]
+    """Write a new version and return the number of rows written, taken during the write itself.
+
+    A write that fails leaves the table as it was. Read it with `read_parquet`.
+    """
+    if mode == "append":
+        before = versions.current(df.sparkSession, path)
+        return versions.append(df, path).rows - (before.rows if before else 0)
+    if mode != "overwrite":
+        raise ValueError(f"mode {mode}: overwrite or append")
+    return versions.overwrite(df, path).rows
 
 
 def parsing_impact(spark: SparkSession, path: str | list[str]) -> DataFrame:

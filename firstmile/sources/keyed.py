@@ -1,7 +1,8 @@
 """Tables addressed by a data-source format plus options.
 
 The format is a parameter: a keyed store needs its connector on the classpath,
-a folder of Parquet files needs nothing.
+a folder of Parquet files needs nothing. A versioned table is such a folder whose
+writes are atomic, and where appending replaces rows by key, as a keyed store does.
 """
 
 from __future__ import annotations
@@ -10,6 +11,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from firstmile.sources import versions
+from firstmile.sources.versions import Layout
+
+VERSIONED = "versioned"
 CASSANDRA_FORMAT = "org.apache.spark.sql.cassandra"
 
 
@@ -22,6 +27,8 @@ class Sink:
     options: dict[str, str] = field(default_factory=dict)
     mode: str = "overwrite"
     partition_by: tuple[str, ...] = ()
+    layout: Layout = Layout()
+    keep: int = versions.KEEP
 
 
 def keyed_table(
@@ -44,6 +51,11 @@ def parquet_table(
     return Sink("parquet", {"path": path}, mode, partition_by)
 
 
+def versioned_table(path: str, layout: Layout = Layout(), mode: str = "overwrite", keep: int = versions.KEEP) -> Sink:
+    """Parquet in versions. With mode "append", rows replace those of the same key."""
+    return Sink(VERSIONED, {"path": path}, mode, layout=layout, keep=keep)
+
+
 def write_table(df: DataFrame, sink: Sink) -> None:
     writer = df.write.format(sink.format).options(**sink.options).mode(sink.mode)
     if sink.partition_by:
@@ -52,4 +64,6 @@ def write_table(df: DataFrame, sink: Sink) -> None:
 
 
 def read_table(spark: SparkSession, sink: Sink) -> DataFrame:
+    if sink.format == VERSIONED:
+        return versions.read(spark, sink.options["path"])
     return spark.read.format(sink.format).options(**sink.options).load()

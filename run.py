@@ -16,7 +16,7 @@ from firstmile.plans import batch
 from firstmile.plans.explore import explore
 from firstmile.plans.publish import status_table
 from firstmile.schemas import Contract
-from firstmile.sources import keyed_table, parquet_table, read_parquet
+from firstmile.sources import keyed_table, read_parquet, versioned_table, write_parquet
 
 STAGES = ("explore", "preprocess", "transform", "serve")
 
@@ -49,7 +49,7 @@ def main() -> None:
     if "explore" in stages:
         raw = batch.land_raw(raw, args.output)
         for name, report in explore(raw, rules).items():
-            report.write.mode("overwrite").parquet(f"{args.output}/exploration/{name}")
+            write_parquet(report, f"{args.output}/exploration/{name}")
     if "preprocess" in stages:
         ledger, overlaps = batch.clean_and_compare(raw, rules, args.output)
         ledger.show(truncate=False)
@@ -62,7 +62,7 @@ def main() -> None:
         def sink_of(table: str):
             if args.keyspace:
                 return keyed_table(table, args.keyspace)
-            return parquet_table(f"{args.output}/served/{table}")
+            return versioned_table(f"{args.output}/served/{table}")
 
         def adapt(contract: Contract) -> Contract:
             if args.keyspace:

@@ -12,7 +12,7 @@ from firstmile.catalog.inputs import METRIC_RULES, Inputs
 from firstmile.plans import batch
 from firstmile.plans.explore import explore
 from firstmile.plans.publish import verify
-from firstmile.sources import keyed_table, parquet_table
+from firstmile.sources import keyed_table, parquet_table, read_parquet, versioned_table
 
 
 @pytest.fixture(scope="module")
@@ -74,16 +74,16 @@ def test_served_tables_match_their_sql(spark, done):
     assert {p.table for p in published} == set(schemas.CONTRACTS)
     assert {p.status for p in published} == {"written"}
     for p in published:
-        sink = parquet_table(f"{folder}/served/{p.table}")
+        sink = versioned_table(f"{folder}/served/{p.table}")
         assert verify(spark, p, schemas.CONTRACTS[p.table], sink) == []
         name = p.table if p.table == "transaction_summary" else f"contract_{p.table}"
         name = "transaction_summary_daily" if p.table == "transaction_summary" else name
-        served = spark.read.parquet(f"{folder}/served/{p.table}")
+        served = read_parquet(spark, f"{folder}/served/{p.table}")
         assert differences(served, con, sql[name]) == [], p.table
 
 
 def test_consistency_is_landed(spark, done):
-    found = spark.read.parquet(f"{done[0]}/consistency").first().asDict()
+    found = read_parquet(spark, f"{done[0]}/consistency").first().asDict()
     clean = batch.read_clean(spark, done[0])
     users, transactions, onboarding = (
         {r[0] for r in df.select("user_id").collect()}
