@@ -51,14 +51,36 @@ def _per_user(daily: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def daily_activity(transactions: DataFrame, rules: Rules) -> DataFrame:
-    """One row per user and day: the base of both summaries and of segments."""
-    return _per_day(
-        _dated(transactions),
-        rules,
+def daily_activity(
+    transactions: DataFrame, rules: Rules, onboarding: DataFrame | None = None
+) -> DataFrame:
+    """One row per user and day: the base of both summaries and of segments.
+
+    With `onboarding`, one row per user, also of window counts: a day inside the window
+    counts whole, its last day up to midnight, and of the login's own day the rows from
+    the login on are counted here, where the time of day is at hand.
+    """
+    dated = _dated(transactions)
+    collected = F.col("type").isin(*rules.collection_types)
+    counts = [
         F.count_if(F.col("type").isin(*rules.payment_types)).alias("payments"),
-        F.count_if(F.col("type").isin(*rules.collection_types)).alias("collections"),
-    )
+        F.count_if(collected).alias("collections"),
+    ]
+    if onboarding is not None:
+        first = onboarding.select(
+            "user_id", "first_login_dt", F.to_date("first_login_dt").alias("transaction_date")
+        )
+        dated = dated.join(first, ["user_id", "transaction_date"], "left")
+        inside = in_onboarding(dated, "transaction_dt", "first_login_dt", rules.onboarding_days)
+        midnight = at_midnight(dated, F.col("transaction_date"), like="transaction_dt")
+        closing = F.col("transaction_dt") == midnight
+        counts += [
+            F.count_if(inside).alias("n_login"),
+            F.count_if(inside & collected).alias("collections_login"),
+            F.count_if(closing).alias("n_midnight"),
+            F.count_if(closing & collected).alias("collections_midnight"),
+        ]
+    return _per_day(dated, rules, *counts)
 
 
 def daily_summary(daily: DataFrame) -> DataFrame:
@@ -160,15 +182,15 @@ def _dated(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("transaction_date", F.to_date("transaction_dt"))
 
 
-def _login_days(onboarding: DataFrame, rules: Rules) -> DataFrame:
-    """Each user's login on each day of the window.
-
-    Joined by user and day, no task gets more than a day of one user, however
-    much of the data one user owns.
-    """
-    start = F.to_date("first_login_dt")
-    days = F.sequence(start, onboarding_end(F.col("first_login_dt"), rules.onboarding_days))
-    return onboarding.select("user_id", "first_login_dt", F.explode(days).alias("transaction_date"))
+def _windows(onboarding: DataFrame, rules: Rules, *extra: Column) -> DataFrame:
+    """First and last day of each user's window."""
+    return onboarding.select(
+        "user_id",
+        "first_login_dt",
+        F.to_date("first_login_dt").alias("first_day"),
+        onboarding_end(F.col("first_login_dt"), rules.onboarding_days).alias("last_day"),
+        *extra,
+    )
 
 
 def window_transactions(
@@ -176,46 +198,65 @@ def window_transactions(
 ) -> DataFrame:
     """Transactions inside their user's onboarding window, with the first login.
 
-    `onboarding` must hold one row per user (see dedupe).
+    `onboarding` must hold one row per user (see dedupe). Which days of which user lie in
+    a window is settled on one row a user and day; by these days transactions are then
+    joined, so that no task gets more than a day of one user, however much of the data
+    that user owns, and no login is repeated for days without transactions.
     """
     near = _dated(near_windows(onboarding, transactions, rules))
-    joined = near.join(_login_days(onboarding, rules), ["user_id", "transaction_date"])
+    active = near.select("user_id", "transaction_date").distinct()
+    days = (
+        active.join(_windows(onboarding, rules), "user_id")
+        .filter(F.col("transaction_date").between(F.col("first_day"), F.col("last_day")))
+        .select("user_id", "transaction_date", "first_login_dt")
+    )
+    joined = near.join(days, ["user_id", "transaction_date"])
     inside = in_onboarding(
         joined, "transaction_dt", "first_login_dt", rules.onboarding_days
     )
     return joined.filter(inside).select(*transactions.columns, "first_login_dt")
 
 
-def _activity(transactions: DataFrame, onboarding: DataFrame, rules: Rules) -> DataFrame:
-    """All-time and in-window activity per user, on one pass over one join.
+def with_daily_activity(onboarding: DataFrame, daily: DataFrame, rules: Rules) -> DataFrame:
+    """Onboarding users with segment, all-time and window columns, NULL where they did nothing.
 
-    The sums by user and day reuse the join's partitioning; then days, not
-    transactions, are combined and shuffled by user.
+    `daily` is `daily_activity` with this onboarding table, for example as landed:
+    transactions are not read. The user's own columns ride through the sums in one
+    struct, so that onboarding is shuffled for one join, not for two.
     """
-    joined = _dated(transactions).join(
-        _login_days(onboarding, rules), ["user_id", "transaction_date"], "left"
-    )
-    inside = in_onboarding(
-        joined, "transaction_dt", "first_login_dt", rules.onboarding_days
-    )
-    collected = F.col("type").isin(*rules.collection_types)
-    daily = _per_day(
-        joined,
-        rules,
-        F.count_if(inside).alias("n_in"),
-        F.count_if(inside & collected).alias("collected_in"),
+    day, first, last = F.col("transaction_date"), F.col("first_day"), F.col("last_day")
+
+    def within(whole: str, login: str, midnight: str) -> Column:
+        return (
+            F.when(day == first, F.col(login))
+            .when(day == last, F.col(midnight))
+            .when((day > first) & (day < last), F.col(whole))
+            .otherwise(F.lit(0))
+        )
+
+    own = onboarding.columns
+    users = _windows(onboarding, rules, F.struct(*own).alias("own")).drop("first_login_dt")
+    counted = users.join(daily, "user_id", "left").withColumns(
+        {
+            "n_in": within("n", "n_login", "n_midnight"),
+            "collected_in": within("collections", "collections_login", "collections_midnight"),
+        }
     )
-    return _per_user(
-        daily,
+    measured = _per_user(
+        counted,
         F.sum("n_in").alias("window_transactions"),
         F.sum("collected_in").alias("window_collections"),
         F.count_if(F.col("n_in") > 0).alias("window_days"),
+        F.first("own").alias("own"),
+    )
+    # Counts of nothing are 0 in SQL; who did nothing has none.
+    active = F.col("total_transactions").isNotNull()
+    found = [c for c in measured.columns if c not in ("user_id", "own")]
+    return measured.select(
+        *[F.col("own")[c].alias(c) for c in own],
+        *[F.when(active, F.col(c)).alias(c) for c in found],
+        segment_of(F.col("paid"), F.col("collected")).alias("user_segment"),
     )
-
-
-def _with_measures(onboarding: DataFrame, transactions: DataFrame, rules: Rules) -> DataFrame:
-    """Onboarding users with the columns of `_activity`, NULL where they did nothing."""
-    return onboarding.join(_activity(transactions, onboarding, rules), "user_id", "left")
 
 
 def with_activity(
@@ -231,10 +272,11 @@ def with_activity(
     read for the windows only.
     """
     if segments is None:
-        active = _with_measures(onboarding, transactions, rules)
-        return active.withColumn("user_segment", segment_of(F.col("paid"), F.col("collected")))
+        daily = daily_activity(transactions, rules, onboarding)
+        return with_daily_activity(onboarding, daily, rules)
     near = near_windows(onboarding, transactions, rules)
-    active = _with_measures(onboarding, near, rules)
+    daily = daily_activity(near, rules, onboarding)
+    active = with_daily_activity(onboarding, daily, rules)
     window = [c for c in active.columns if c.startswith("window_")]
     return (
         active.select(*onboarding.columns, *window)

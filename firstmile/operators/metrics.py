@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firstmile.functions import onboarding_end, percent, rounded_percent
-from firstmile.operators.activity import near_windows, with_activity, with_segment
+from firstmile.operators.activity import near_windows, with_activity, with_daily_activity, with_segment
 from firstmile.rules import Rules
 
 # Carried into the wide table when the onboarding extract has them.
@@ -242,7 +242,16 @@ def user_metrics(
 ) -> DataFrame:
     """One wide row per onboarding user. `onboarding` holds one row per user;
     for `segments` see `with_activity`."""
-    active = _with_habit(with_activity(onboarding, transactions, rules, segments), rules)
+    return _wide(with_activity(onboarding, transactions, rules, segments), rules)
+
+
+def user_metrics_from_daily(onboarding: DataFrame, daily: DataFrame, rules: Rules) -> DataFrame:
+    """The same rows from the landed table of `daily_activity`, without transactions."""
+    return _wide(with_daily_activity(onboarding, daily, rules), rules)
+
+
+def _wide(measured: DataFrame, rules: Rules) -> DataFrame:
+    active = _with_habit(measured, rules)
     login = F.col("first_login_dt")
     has_transactions = _as_int(F.col("total_transactions").isNotNull())
 

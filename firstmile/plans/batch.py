@@ -137,18 +137,21 @@ def consistency(clean: Extracts, folder: str) -> DataFrame:
 
 
 def transform(clean: Extracts, rules: Rules, folder: str) -> None:
-    """Land daily activity, the user segments built on it, and user metrics."""
+    """Land daily activity, the user segments built on it, and user metrics.
+
+    Transactions are read and shuffled once, for daily activity; all else is its roll-up.
+    """
     spark = clean.users.sparkSession
-    write_parquet(activity.daily_activity(clean.transactions, rules), f"{folder}/daily_activity")
+    write_parquet(one_row_per_user(clean.onboarding), f"{folder}/onboarding_users")
+    onboarding = read_parquet(spark, f"{folder}/onboarding_users")
+    write_parquet(
+        activity.daily_activity(clean.transactions, rules, onboarding), f"{folder}/daily_activity"
+    )
     daily = read_parquet(spark, f"{folder}/daily_activity")
     write_parquet(activity.user_segments(daily, rules), f"{folder}/user_segments")
-    segments = read_parquet(spark, f"{folder}/user_segments")
-    # Cleaning left no row without an id. Saying so keeps the uses of this table
-    # alike to the optimizer, which then shuffles it once for all of them.
-    identified = clean.onboarding.filter(F.col("user_id").isNotNull())
-    onboarding = one_row_per_user(identified)
-    wide = metrics.user_metrics(onboarding, clean.transactions, rules, segments)
-    write_parquet(wide, f"{folder}/user_metrics")
+    write_parquet(
+        metrics.user_metrics_from_daily(onboarding, daily, rules), f"{folder}/user_metrics"
+    )
 
 
 def _fallback(folder: str, table: str) -> Sink:
