@@ -8,6 +8,8 @@ addresses over two lines, and users registered twice with conflicting flags.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +59,15 @@ class Inputs:
         self.spark = spark
         self.folder = folder
 
+    def scratch(self, name: str) -> str:
+        """A new path in the folder that driver and executors share, for queries that write."""
+        shared = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if not self.spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            shared = tempfile.mkdtemp(prefix="run-")
+        return f"{shared.rstrip('/')}/catalog/{name}-{uuid.uuid4().hex}"
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

@@ -6,6 +6,8 @@ outer joins and unions where the library uses bitmasks, roll-ups and splits.
 
 from __future__ import annotations
 
+import math
+
 # --- the three extracts ------------------------------------------------------
 
 EXTRACTS = """
@@ -373,6 +375,96 @@ FROM um
 """
 
 
+_DAILY = (
+    "SELECT user_id, CAST(transaction_dt AS DATE) AS transaction_date,"
+    " CAST(COUNT(*) AS INTEGER) AS transaction_count,"
+    " CAST(COUNT(*) FILTER (WHERE type BETWEEN 1 AND 7) AS INTEGER) AS payment_transactions,"
+    " CAST(COUNT(*) FILTER (WHERE type IN (8, 9)) AS INTEGER) AS collection_transactions,"
+    " CAST(COUNT(DISTINCT type) AS INTEGER) AS unique_transaction_types"
+    " FROM tx GROUP BY 1, 2"
+)
+
+
+def _next_stage(name: str, moment: str, before: str) -> str:
+    return f"SELECT *, CASE WHEN {moment} >= {before} AND {moment} <= closing THEN {moment} END AS {name} FROM"
+
+
+_ORDERED = f"""
+  SELECT user_id, user_segment, registered, returned, activated, set_up, habitual FROM (
+    {_next_stage("habitual", "habito_dt", "set_up")} ({_next_stage("set_up", "setup_dt", "activated")} (
+      SELECT s.*, (SELECT MIN(t.transaction_dt) FROM tx t WHERE t.user_id = s.user_id
+                   AND t.transaction_dt >= s.returned AND t.transaction_dt <= s.closing) AS activated
+      FROM ({_next_stage("returned", "return_dt", "registered")} (
+        SELECT *, first_login_dt AS registered, CAST(CAST(first_login_dt AS DATE) + 30 AS TIMESTAMP) AS closing
+        FROM onb_segment) a) s) b) c) d
+"""
+_ORDERED_STAGES = ("registered", "returned", "activated", "set_up", "habitual")
+
+
+def _ordered_funnel() -> str:
+    parts = []
+    for i, name in enumerate(_ORDERED_STAGES):
+        before = _ORDERED_STAGES[max(i - 1, 0)]
+        wait = f"ROUND(SUM(date_sub('second', {before}, {name})) / (COUNT({name}) * 3600.0::DOUBLE), 2)" if i else "CAST(NULL AS DOUBLE)"
+        parts.append(
+            f"SELECT user_segment, {i + 1} AS stage_number, '{name}' AS stage, COUNT({name}) AS users,"
+            f" COUNT({before}) - COUNT({name}) AS lost_from_previous,"
+            f" ROUND(COUNT({name})::DOUBLE / NULLIF(COUNT(registered), 0)::DOUBLE * 100, 2) AS percent_of_first,"
+            f" ROUND(COUNT({name})::DOUBLE / NULLIF(COUNT({before}), 0)::DOUBLE * 100, 2) AS percent_of_previous,"
+            f" {wait} AS mean_hours_from_previous FROM r GROUP BY user_segment"
+        )
+    return f"SELECT * FROM (WITH r AS ({_ORDERED}) " + " UNION ALL ".join(parts) + ") f"
+
+
+_HITS = {
+    "return": "drop_flag = 0",
+    "activation": "activation_validated = 1",
+    "setup": "setup_achieved = 1",
+    "habit": "habit_validated = 1",
+}
+
+
+def _ab_lift() -> str:
+    counts = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, COUNT(*) FILTER (WHERE g = 'control') AS control_users,"
+        f" COUNT(*) FILTER (WHERE g = 'control' AND {c}) AS control_hits,"
+        f" COUNT(*) FILTER (WHERE g = 'treatment') AS treatment_users,"
+        f" COUNT(*) FILTER (WHERE g = 'treatment' AND {c}) AS treatment_hits FROM (SELECT *, {_AB} AS g FROM um) u"
+        for m, c in _HITS.items()
+    )
+    return f"""
+SELECT metric, control_users, control_hits, treatment_users, treatment_hits,
+       ROUND((q - p) * 100, 6) AS lift,
+       ROUND(((q - p) - 1.959963984540054::DOUBLE * s) * 100, 6) AS lift_low,
+       ROUND(((q - p) + 1.959963984540054::DOUBLE * s) * 100, 6) AS lift_high,
+       ROUND(CASE WHEN e > 0 THEN (q - p) / e END, 6) AS z,
+       COALESCE(CASE WHEN e > 0 THEN ABS((q - p) / e) > 1.959963984540054::DOUBLE END, FALSE) AS differs
+FROM (SELECT *, SQRT(p * (1 - p) / n + q * (1 - q) / m) AS s, SQRT(b * (1 - b) * (1 / n + 1 / m)) AS e
+      FROM (SELECT *, control_hits::DOUBLE / NULLIF(control_users, 0) AS p, treatment_hits::DOUBLE / NULLIF(treatment_users, 0) AS q,
+                   NULLIF(control_users, 0)::DOUBLE AS n, NULLIF(treatment_users, 0)::DOUBLE AS m,
+                   (control_hits + treatment_hits)::DOUBLE / NULLIF(control_users + treatment_users, 0) AS b
+            FROM ({counts}) c) r) x"""
+
+
+def _ab_bootstrap() -> str:
+    steps, total = [], 0.0
+    for k in range(12):
+        total += math.exp(-1) / math.factorial(k)
+        steps.append(f"CAST(u >= CAST('{total!r}' AS DOUBLE) AS INTEGER)")
+    rates = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, r, COALESCE(SUM(w) FILTER (WHERE g = 'treatment' AND {c}), 0)::DOUBLE / NULLIF(SUM(w) FILTER (WHERE g = 'treatment'), 0)"
+        f" - COALESCE(SUM(w) FILTER (WHERE g = 'control' AND {c}), 0)::DOUBLE / NULLIF(SUM(w) FILTER (WHERE g = 'control'), 0) AS lift FROM drawn GROUP BY r"
+        for m, c in {m: f"({c})" for m, c in _HITS.items()}.items()
+    )
+    return f"""
+SELECT metric, COUNT(lift) AS replicates, ROUND(quantile_cont(lift, 0.025) * 100, 6) AS lift_low, ROUND(quantile_cont(lift, 0.975) * 100, 6) AS lift_high
+FROM (WITH drawn AS (
+        SELECT *, {" + ".join(steps)} AS w
+        FROM (SELECT um.*, {_AB} AS g, r, ('0x' || substr(md5(user_id || ':' || CAST(r AS VARCHAR)), 1, 8))::BIGINT::DOUBLE / 4294967296 AS u
+              FROM um, (SELECT unnest(range(1, 201)) AS r) n) x)
+      {rates}) y GROUP BY metric"""
+
+
 def oracles() -> dict[str, str]:
     segments_joined = (
         "SELECT s.user_id, g.user_segment, s.total_transactions, s.unique_transaction_types,"
@@ -626,14 +718,7 @@ def oracles() -> dict[str, str]:
         "contract_funnel_analysis": _measured(_SERVED_FUNNEL),
         "contract_monthly_metrics": _measured(_bucket("year_month", _MONTH)),
         "contract_weekly_metrics": _measured(_bucket("year_week", _WEEK)),
-        "transaction_summary_daily": _raw(
-            "SELECT user_id, CAST(transaction_dt AS DATE) AS transaction_date,"
-            " CAST(COUNT(*) AS INTEGER) AS transaction_count,"
-            " CAST(COUNT(*) FILTER (WHERE type BETWEEN 1 AND 7) AS INTEGER) AS payment_transactions,"
-            " CAST(COUNT(*) FILTER (WHERE type IN (8, 9)) AS INTEGER) AS collection_transactions,"
-            " CAST(COUNT(DISTINCT type) AS INTEGER) AS unique_transaction_types"
-            " FROM tx GROUP BY 1, 2"
-        ),
+        "transaction_summary_daily": _raw(_DAILY),
         # specified extras
         "ab_groups": _measured(f"SELECT user_id, {_AB} AS ab_group FROM onb"),
         "ab_metrics": _measured(
@@ -656,4 +741,21 @@ def oracles() -> dict[str, str]:
             " CAST(CASE WHEN COUNT(i.event_id) > 0 THEN 1 ELSE 0 END AS INTEGER) AS activated_in_window"
             " FROM onb o LEFT JOIN inside i ON o.user_id = i.user_id GROUP BY o.user_id, o.activacion"
         ),
+        # stages in order, the experiment's answer, distinct users of any period
+        "funnel_ordered_users": _measured(f"SELECT * FROM ({_ORDERED}) r"),
+        "funnel_ordered": _measured(_ordered_funnel()),
+        "ab_lift": _measured(_ab_lift()),
+        "ab_bootstrap": _measured(_ab_bootstrap()),
+        "active_users_monthly": _measured(
+            "SELECT CAST(date_trunc('month', t.transaction_dt) AS DATE) AS month, s.user_segment,"
+            " COUNT(*) AS transactions, COUNT(DISTINCT t.user_id) AS users, TRUE AS estimate_within_bound"
+            " FROM tx t JOIN segments s ON t.user_id = s.user_id GROUP BY 1, 2"
+        ),
+        # versioned tables
+        "versioned_daily": _raw(_DAILY),
+        "upserted_daily": _raw(_DAILY),
+        "lookup_user_month": _raw(
+            f"SELECT * FROM ({_DAILY}) d WHERE user_id = 'MLB5'"
+            " AND transaction_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-31'"
+        ),
     }

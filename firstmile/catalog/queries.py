@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,13 @@ from firstmile.operators import (
     experiment,
     funnel,
     metrics,
+    ordered,
     overlap,
     quality,
+    sketches,
 )
+from firstmile.plans.publish import publish
+from firstmile.sources import Layout, read_table, versioned_table, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -456,3 +461,97 @@ def drop_from_activity(t):
 @_query
 def activation_in_window(t):
     return metrics.activation_in_window(t.onboarding, t.transactions, METRIC_RULES)
+
+
+# --- stages in order, the experiment's answer, distinct users of any period --------
+
+
+def _ordered(t):
+    stages = [
+        ordered.Stage("registered", "first_login_dt"),
+        ordered.Stage("returned", "return_dt"),
+        ordered.Stage("activated", "transaction_dt", t.transactions),
+        ordered.Stage("set_up", "setup_dt"),
+        ordered.Stage("habitual", "habito_dt"),
+    ]
+    users = activity.with_segment(t.onboarding, t.transactions, METRIC_RULES)
+    reached = ordered.ordered_stages(users, stages, METRIC_RULES)
+    return reached, [s.name for s in stages]
+
+
+@_query
+def funnel_ordered_users(t):
+    reached, names = _ordered(t)
+    return reached.select("user_id", "user_segment", *names)
+
+
+@_query
+def funnel_ordered(t):
+    return ordered.ordered_funnel(*_ordered(t))
+
+
+@_query
+def ab_lift(t):
+    return experiment.ab_lift(_user_flags(t), METRIC_RULES)
+
+
+@_query
+def ab_bootstrap(t):
+    return experiment.ab_bootstrap(_user_flags(t), METRIC_RULES)
+
+
+@_query
+def active_users_monthly(t):
+    """Exact users beside whether the estimate from sketches is within four standard errors."""
+    daily = _daily(t)
+    segments = activity.segment_only(t.transactions, METRIC_RULES)
+    by = [F.trunc("transaction_date", "month").alias("month"), "user_segment"]
+    estimated = sketches.distinct_users(sketches.daily_users(daily, segments), *by)
+    users = daily.select("user_id", F.trunc("transaction_date", "month").alias("month")).distinct()
+    exact = users.join(segments, "user_id").groupBy("month", "user_segment").agg(F.count(F.lit(1)).alias("users"))
+    off = F.abs(F.col("estimated_users") - F.col("users"))
+    return exact.join(estimated, ["month", "user_segment"]).select(
+        "month",
+        "user_segment",
+        "transactions",
+        "users",
+        (off <= F.ceil(4 * sketches.relative_error() * F.col("users"))).alias("estimate_within_bound"),
+    )
+
+
+# --- versioned tables ----------------------------------------------------------------
+
+
+def _served(t, mode="overwrite"):
+    layout = Layout("transaction_date", "user_id", 4)
+    return versioned_table(t.scratch("transaction_summary"), layout, mode)
+
+
+@_query
+def versioned_daily(t):
+    """Published twice; what is read is the second version."""
+    daily, sink = transaction_summary_daily(t), _served(t)
+    publish(daily.limit(10), schemas.TRANSACTION_SUMMARY, sink)
+    publish(daily, schemas.TRANSACTION_SUMMARY, sink)
+    return read_table(t.spark, sink)
+
+
+@_query
+def upserted_daily(t):
+    """Published in three portions that overlap; the later one's rows stay."""
+    daily, sink = transaction_summary_daily(t), _served(t, "append")
+    for since, until in (("2000-01-01", "2024-01-14"), ("2024-01-08", "2024-02-01"), ("2024-02-02", "2100-01-01")):
+        part = daily.filter(F.col("transaction_date").between(F.lit(since).cast("date"), F.lit(until).cast("date")))
+        stale = F.lit(since).cast("date") == F.lit("2000-01-01").cast("date")
+        wrong = F.when(stale & (F.col("transaction_date") >= F.lit("2024-01-08").cast("date")), F.lit(-1))
+        part = part.withColumn("transaction_count", F.coalesce(wrong, F.col("transaction_count")))
+        publish(part, schemas.TRANSACTION_SUMMARY, sink)
+    return read_table(t.spark, sink)
+
+
+@_query
+def lookup_user_month(t):
+    """Some days of one user, read from the files of the user's bucket and month."""
+    sink = _served(t)
+    publish(transaction_summary_daily(t), schemas.TRANSACTION_SUMMARY, sink)
+    return versions.lookup(t.spark, sink.options["path"], "MLB5", date(2024, 1, 5), date(2024, 1, 31))
