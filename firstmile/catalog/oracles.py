@@ -375,6 +375,34 @@ FROM um
 """
 
 
+def _wrong_width(body: str) -> str:
+    return _raw(
+        f"""SELECT * FROM (WITH k AS (
+              SELECT *, CAST(regexp_extract(user_id, '([0-9]+)$', 1) AS BIGINT) AS n FROM users_raw),
+            w AS (SELECT user_id, n % 17 <> 0 AND n % 19 <> 0 AS width,
+                         user_id || ',' || COALESCE(type, '') || ',' || COALESCE(rubro, '')
+                         || CASE WHEN n % 17 = 0 THEN '' ELSE ',"' || address || '"' END
+                         || CASE WHEN n % 17 <> 0 AND n % 19 = 0 THEN ',more' ELSE '' END AS record FROM k)
+            {body}) q"""
+    )
+
+
+_ANY = "user_id LIKE 'MLB%'"
+_WIDTH_STEPS = (
+    ("row_width", "TRUE", "width"),
+    ("id_prefix", "width", _ANY),
+    ("id_present", f"width AND {_ANY}", "user_id <> ''"),
+    ("id_format", f"width AND {_ANY}", "regexp_matches(user_id, '^MLB[0-9]+$')"),
+)
+_REJECTED = (
+    f"SELECT 'users' AS dataset, CASE WHEN NOT ({_ANY}) THEN 'id_prefix' ELSE 'id_format' END AS rule, user_id"
+    f" FROM users_raw WHERE NOT regexp_matches(user_id, '^MLB[0-9]+$')",
+    f"SELECT 'transactions', CASE WHEN NOT ({_ANY}) THEN 'id_prefix' WHEN type NOT BETWEEN 1 AND 9 THEN 'type_domain'"
+    " WHEN segment NOT IN (1, 2) THEN 'segment_domain' WHEN transaction_dt IS NULL THEN 'time_present' ELSE 'date_range' END, user_id"
+    " FROM transactions_raw WHERE event_id NOT IN (SELECT event_id FROM t5)",
+    "SELECT 'onboarding', 'date_range', user_id FROM onboarding_typed"
+    " WHERE NOT (first_login_dt >= TIMESTAMP '2024-01-01 00:00:00' AND first_login_dt <= TIMESTAMP '2024-01-28 00:00:00')",
+)
 _DAILY = (
     "SELECT user_id, CAST(transaction_dt AS DATE) AS transaction_date,"
     " CAST(COUNT(*) AS INTEGER) AS transaction_count,"
@@ -741,6 +769,16 @@ def oracles() -> dict[str, str]:
             " CAST(CASE WHEN COUNT(i.event_id) > 0 THEN 1 ELSE 0 END AS INTEGER) AS activated_in_window"
             " FROM onb o LEFT JOIN inside i ON o.user_id = i.user_id GROUP BY o.user_id, o.activacion"
         ),
+        # records of another width, removed rows
+        "wrong_width_ledger": _wrong_width(
+            " UNION ALL ".join(
+                f"SELECT CAST({i} AS INTEGER) AS step, '{rule}' AS rule, COUNT(*) FILTER ({before}) AS rows_before,"
+                f" COUNT(*) FILTER (({before}) AND NOT ({keep})) AS rows_removed, COUNT(*) FILTER (({before}) AND ({keep})) AS rows_after FROM w"
+                for i, (rule, before, keep) in enumerate(_WIDTH_STEPS, start=1)
+            )
+        ),
+        "wrong_width_records": _wrong_width("SELECT user_id, record FROM w WHERE NOT width"),
+        "rejected_rows": _cleaned(" UNION ALL ".join(_REJECTED)),
         # stages in order, the experiment's answer, distinct users of any period
         "funnel_ordered_users": _measured(f"SELECT * FROM ({_ORDERED}) r"),
         "funnel_ordered": _measured(_ordered_funnel()),

@@ -23,6 +23,7 @@ from firstmile.operators import (
 )
 from firstmile.plans.publish import publish
 from firstmile.sources import Layout, read_table, versioned_table, versions
+from firstmile.sources.records import parse
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -107,6 +108,39 @@ def cleaning_ledger_onboarding(t):
     return cleaning.onboarding_ledger(t.onboarding_raw, CLEANING_RULES)
 
 
+def _users_of_any_width(t):
+    parsed = parse(t.user_records, ["user_id", "type", "rubro", "address"], malformed=True)
+    typed = cleaning.type_users(cleaning.with_row_as_read(parsed))
+    return typed, cleaning.right_width(typed) + cleaning.user_rules(CLEANING_RULES)
+
+
+@_query
+def wrong_width_ledger(t):
+    return cleaning.ledger(*_users_of_any_width(t))
+
+
+@_query
+def wrong_width_records(t):
+    rejects = cleaning.rejects(*_users_of_any_width(t))
+    return rejects.filter(F.col("rule") == "row_width").select("user_id", "record")
+
+
+@_query
+def rejected_rows(t):
+    """Every removed row of the three tables with the first rule that it breaks."""
+    transactions, onboarding = t.transactions_raw, t.onboarding_raw
+    tables = {
+        "users": (cleaning.type_users, t.users_raw, lambda df: cleaning.user_rules(CLEANING_RULES)),
+        "transactions": (cleaning.type_transactions, transactions, lambda df: cleaning.transaction_rules(df, CLEANING_RULES)),
+        "onboarding": (cleaning.type_onboarding, onboarding, lambda df: cleaning.onboarding_rules(df, CLEANING_RULES)),
+    }
+    found = []
+    for name, (typing, raw, rules) in tables.items():
+        typed = typing(cleaning.with_row_as_read(raw))
+        found.append(cleaning.rejects(typed, rules(typed)).select(F.lit(name).alias("dataset"), "rule", "user_id"))
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 # --- quality -----------------------------------------------------------------
 
 

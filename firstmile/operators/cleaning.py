@@ -18,6 +18,10 @@ from firstmile.functions import (
 )
 from firstmile.rules import Rules
 
+# The column in which a reader keeps a record of another width, whole.
+MALFORMED = "_malformed"
+# The column in which a row waits as it was read, for the reject table.
+AS_READ = "_as_read"
 # Names that exporters give to a saved row index.
 INDEX_COLUMNS = ("_c0", "Unnamed: 0")
 
@@ -37,6 +41,12 @@ def drop_index(df: DataFrame) -> DataFrame:
 # --- row rules ---------------------------------------------------------------
 
 
+def right_width(df: DataFrame) -> list[Rule]:
+    """The rule that a record had as many fields as the header, where the reader kept
+    those that had not."""
+    return [Rule("row_width", F.col(MALFORMED).isNull())] if MALFORMED in df.columns else []
+
+
 def has_prefix(rules: Rules, name: str = "user_id") -> Rule:
     return Rule("id_prefix", F.col(name).startswith(rules.id_prefix))
 
@@ -102,6 +112,24 @@ def ledger(df: DataFrame, kept: list[Rule]) -> DataFrame:
     return ledger_rows(df.agg(*ledger_counts(kept)), kept)
 
 
+def with_row_as_read(raw: DataFrame) -> DataFrame:
+    """raw with each row as text: the record itself if its width was wrong, else its fields as JSON."""
+    fields = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != MALFORMED]))
+    record = F.coalesce(F.col(MALFORMED), fields) if MALFORMED in raw.columns else fields
+    return raw.withColumn(AS_READ, record)
+
+
+def rejects(typed: DataFrame, kept: list[Rule]) -> DataFrame:
+    """The removed rows: the first rule that each breaks, its id, and the row as it was read.
+
+    `typed` comes from `with_row_as_read`. Its rows are those that the ledger counts.
+    """
+    broken = [F.when(~F.coalesce(rule.keep, F.lit(False)), F.lit(rule.name)) for rule in kept]
+    first = F.coalesce(*broken) if broken else F.lit(None).cast("string")
+    found = typed.withColumn("rule", first).filter(F.col("rule").isNotNull())
+    return found.select("rule", "user_id", F.col(AS_READ).alias("record"))
+
+
 # --- column conversions and the three tables ---------------------------------
 
 

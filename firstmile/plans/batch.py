@@ -42,13 +42,20 @@ class Extracts:
 
 
 def read_extracts(
-    spark: SparkSession, users: str, transactions: str, onboarding: str
+    spark: SparkSession,
+    users: str,
+    transactions: str,
+    onboarding: str,
+    parallel: bool = False,
+    malformed: bool = False,
 ) -> Extracts:
-    """CSV extracts. Only the users file has line breaks inside a field."""
+    """CSV extracts. Only the users file has line breaks inside a field: with `parallel`
+    many tasks read it all the same. With `malformed`, records of another width are kept
+    apart, for the ledger and the reject table."""
     return Extracts(
-        read_text_table(spark, users, schemas.RAW_USERS, multiline=True),
-        read_text_table(spark, transactions, schemas.RAW_TRANSACTIONS),
-        read_text_table(spark, onboarding, schemas.RAW_ONBOARDING),
+        read_text_table(spark, users, schemas.RAW_USERS, True, parallel, malformed),
+        read_text_table(spark, transactions, schemas.RAW_TRANSACTIONS, malformed=malformed),
+        read_text_table(spark, onboarding, schemas.RAW_ONBOARDING, malformed=malformed),
     )
 
 
@@ -88,11 +95,16 @@ def _land(
     return [counts[f"after_{i}"] for i in range(len(kept) + 1)]
 
 
-def preprocess(raw: Extracts, rules: Rules, folder: str) -> DataFrame:
-    """Clean and land the three tables; returns the ledger of all their rules."""
-    users = cleaning.type_users(raw.users)
-    transactions = cleaning.type_transactions(raw.transactions)
-    onboarding = cleaning.type_onboarding(raw.onboarding)
+def preprocess(raw: Extracts, rules: Rules, folder: str, rejects: bool = False) -> DataFrame:
+    """Clean and land the three tables; returns the ledger of all their rules.
+
+    With `rejects`, the removed rows go to `folder`/rejects, each with its table, the
+    first rule that it broke, and what was read. That reads the extracts once more.
+    """
+    as_read = cleaning.with_row_as_read if rejects else (lambda df: df)
+    users = cleaning.type_users(as_read(raw.users))
+    transactions = cleaning.type_transactions(as_read(raw.transactions))
+    onboarding = cleaning.type_onboarding(as_read(raw.onboarding))
     plans = {
         "users": (
             users,
@@ -110,11 +122,15 @@ def preprocess(raw: Extracts, rules: Rules, folder: str) -> DataFrame:
             lambda df: schemas.declared(df, schemas.CLEAN_ONBOARDING, "onboarding"),
         ),
     }
-    rows = []
-    for name, (typed, kept, finish) in plans.items():
+    rows, removed = [], []
+    for name, (typed, own, finish) in plans.items():
+        kept = cleaning.right_width(typed) + own
+        removed.append(cleaning.rejects(typed, kept).select(F.lit(name).alias("dataset"), "*") if rejects else None)
         left = _land(typed, kept, f"{folder}/clean_{name}", finish)
         for i, rule in enumerate(kept, start=1):
             rows.append((name, i, rule.name, left[i - 1], left[i - 1] - left[i], left[i]))
+    if rejects:
+        write_parquet(removed[0].unionAll(removed[1]).unionAll(removed[2]), f"{folder}/rejects")
     return raw.users.sparkSession.createDataFrame(rows, LEDGER_SCHEMA)
 
 
@@ -228,9 +244,11 @@ class Outcome(NamedTuple):
     problems: list[str]
 
 
-def clean_and_compare(raw: Extracts, rules: Rules, folder: str) -> tuple[DataFrame, DataFrame]:
+def clean_and_compare(
+    raw: Extracts, rules: Rules, folder: str, rejects: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Land the clean tables, their overlaps and coverage; return ledger and overlaps."""
-    ledger = preprocess(raw, rules, folder)
+    ledger = preprocess(raw, rules, folder, rejects)
     overlaps = consistency(read_clean(raw.users.sparkSession, folder), folder)
     write_parquet(overlap.coverage_ratios(overlaps), f"{folder}/coverage")
     return ledger, overlaps

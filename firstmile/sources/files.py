@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from firstmile.functions.rates import rounded_percent
 from firstmile.schemas import SchemaMismatch, require, schema_problems
-from firstmile.sources import versions
+from firstmile.sources import records, versions
 
 
 def read_text_table(
@@ -16,15 +16,21 @@ def read_text_table(
     path: str | list[str],
     expected: T.StructType | None = None,
     multiline: bool = False,
+    parallel: bool = False,
+    malformed: bool = False,
 ) -> DataFrame:
     """CSV with a header, every column a string; nothing is inferred.
 
     Files of a folder must share one header: a file whose columns stand in
     another order fails the read, it is not taken by position.
 
-    `multiline` keeps quoted line breaks inside one record. Such a file cannot
-    be split between tasks, so give a folder of many files and land the result
-    as Parquet before anything else reads it.
+    `multiline` keeps quoted line breaks inside one record. Such a file is read by
+    one task, unless `parallel` finds its records from the quotes in each block; that
+    takes one shuffle of the text and needs quotes to stand around whole fields only.
+
+    A record with too few fields ends in NULLs, of one with too many the last are lost.
+    With `malformed`, such a record also stands whole in the column `_malformed`, which
+    is NULL for all others.
     """
     reader = (
         spark.read.option("header", True)
@@ -39,8 +45,14 @@ def read_text_table(
     headers = ["" if first and not first[i] else name for i, name in enumerate(names)]
     if headers.count("") > 1:
         raise SchemaMismatch(f"{path}: more than one column without a name")
-    fields = [T.StructField(name, T.StringType()) for name in headers]
-    df = reader.option("header", True).option("enforceSchema", False).schema(T.StructType(fields)).csv(path).toDF(*names)
+    if multiline and parallel:
+        df = records.read_records(spark, path, names, headers, malformed)
+    else:
+        more = [records.MALFORMED] if malformed else []
+        fields = [T.StructField(name, T.StringType()) for name in (*headers, *more)]
+        checked = reader.option("header", True).option("enforceSchema", False)
+        checked = checked.option("columnNameOfCorruptRecord", records.MALFORMED)
+        df = checked.schema(T.StructType(fields)).csv(path).toDF(*names, *more)
     return require(df, expected, str(path)) if expected is not None else df
 
 
@@ -76,17 +88,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 def parsing_impact(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """How many records a reader that ignores quoted line breaks would invent.
 
-    `line_rows` is what a line-by-line reader returns, `record_rows` the truth.
+    `line_rows` is what a line-by-line reader returns, `record_rows` the truth, both
+    without headers. Both come from one pass that counts lines and quotes.
     """
-    by_line = read_text_table(spark, path, multiline=False)
-    by_record = read_text_table(spark, path, multiline=True)
-    counts = (
-        by_line.select(F.lit("line").alias("reader"))
-        .unionAll(by_record.select(F.lit("record")))
-        .agg(
-            F.count_if(F.col("reader") == "line").alias("line_rows"),
-            F.count_if(F.col("reader") == "record").alias("record_rows"),
-        )
+    per_file = records.blocks(spark, path).groupBy("file").agg(
+        (F.sum("lines") - 1).alias("lines"), (F.sum("records") - 1).alias("records")
+    )
+    counts = per_file.agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("line_rows"),
+        F.coalesce(F.sum("records"), F.lit(0)).alias("record_rows"),
     )
     invented = F.col("line_rows") - F.col("record_rows")
     return counts.withColumn(

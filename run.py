@@ -2,7 +2,7 @@
 
 spark-submit run.py --users U --transactions T --onboarding O --output FOLDER
     [--stage all|explore|preprocess|transform|serve] [--skip-exploration]
-    [--keyspace NAME] [--with-week] [--wide-counts] [--date-from D] [--date-to D]
+    [--rejects] [--parallel-csv] [--keyspace NAME] [--with-week] [--wide-counts] [--date-from D] [--date-to D]
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ def main() -> None:
     parser.add_argument("--output", required=True, help="folder that all executors share")
     parser.add_argument("--stage", choices=("all", *STAGES), default="all")
     parser.add_argument("--skip-exploration", action="store_true")
+    parser.add_argument("--rejects", action="store_true", help="keep removed rows, and count records of another width")
+    parser.add_argument("--parallel-csv", action="store_true", help="read the users file by many tasks")
     parser.add_argument("--keyspace", help="publish to this keyspace instead of Parquet")
     parser.add_argument("--with-week", action="store_true", help="add weeks to the funnel")
     parser.add_argument("--wide-counts", action="store_true", help="BIGINT instead of INT")
@@ -45,13 +47,15 @@ def main() -> None:
     if stages & {"explore", "preprocess"}:
         if not (args.users and args.transactions and args.onboarding):
             parser.error("this stage needs --users, --transactions and --onboarding")
-        raw = batch.read_extracts(spark, args.users, args.transactions, args.onboarding)
+        raw = batch.read_extracts(
+            spark, args.users, args.transactions, args.onboarding, args.parallel_csv, args.rejects
+        )
     if "explore" in stages:
         raw = batch.land_raw(raw, args.output)
         for name, report in explore(raw, rules).items():
             write_parquet(report, f"{args.output}/exploration/{name}")
     if "preprocess" in stages:
-        ledger, overlaps = batch.clean_and_compare(raw, rules, args.output)
+        ledger, overlaps = batch.clean_and_compare(raw, rules, args.output, args.rejects)
         ledger.show(truncate=False)
         overlaps.show(truncate=False)
         read_parquet(spark, f"{args.output}/coverage").show(truncate=False)

@@ -168,3 +168,30 @@ def test_light_loader(spark, extracts):
     light = prefix_only(extracts.transactions, Rules())
     assert "_c0" not in light.columns
     assert light.count() == 1003
+
+
+def test_records_of_another_width_reach_ledger_and_rejects(spark, tmp_path):
+    (tmp_path / "users.csv").write_text('user_id,type,rubro,address\nMLB1,1,2,"a\nb"\nMLB2,1\nMLA3,1,2,c\nMLB4,1,2,d,e\n')
+    (tmp_path / "tx.csv").write_text(
+        "user_id,transaction_dt,type,segment\nMLB1,2022-02-01 10:00:00,1,1\nMLB1,2022-02-01 10:00:00,1\nMLB1,x,1,1\n"
+    )
+    (tmp_path / "on.csv").write_text(
+        "user_id,first_login_dt,week_year,habito,habito_dt,activacion,activacion_dt,setup,setup_dt,return,return_dt\n"
+        "MLB1,2022-01-05 09:00:00,1,0,,0,,0,,0,\nMLB9\n"
+    )
+    raw = batch.read_extracts(spark, *[str(tmp_path / f"{n}.csv") for n in ("users", "tx", "on")], parallel=True, malformed=True)
+    ledger = rows(batch.preprocess(raw, Rules(), str(tmp_path / "out"), rejects=True), "dataset", "rule", "rows_before", "rows_removed")
+    assert [x for x in ledger if x[1] == "row_width"] == [
+        ("onboarding", "row_width", 2, 1), ("transactions", "row_width", 3, 1), ("users", "row_width", 4, 2),
+    ]
+    found = rows(read_parquet(spark, str(tmp_path / "out" / "rejects")), "dataset", "rule", "user_id", "record")
+    assert [f[:3] for f in found] == [
+        ("onboarding", "row_width", "MLB9"), ("transactions", "row_width", "MLB1"), ("transactions", "time_present", "MLB1"),
+        ("users", "id_prefix", "MLA3"), ("users", "row_width", "MLB2"), ("users", "row_width", "MLB4"),
+    ]
+    assert {f[3] for f in found} == {
+        "MLB9", "MLB1,2022-02-01 10:00:00,1", '{"user_id":"MLB1","transaction_dt":"x","type":"1","segment":"1"}',
+        '{"user_id":"MLA3","type":"1","rubro":"2","address":"c"}', "MLB2,1", "MLB4,1,2,d,e",
+    }
+    assert sum(x[3] for x in ledger) == len(found)
+    assert batch.read_clean(spark, str(tmp_path / "out")).users.collect()[0]["address"] == "a b"

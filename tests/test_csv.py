@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from firstmile import schemas
 from firstmile.schemas import SchemaMismatch
-from firstmile.sources import parsing_impact, read_parquet, read_text_table, write_parquet
+from firstmile.sources import parsing_impact, read_parquet, read_text_table, records, write_parquet
 
 USERS = ',user_id,type,rubro,address\n0,MLB1,1.0,,"a, 1\nb\nsay ""q"""\n1,MLB2,2,3,plain\n'
 
@@ -81,3 +81,82 @@ def test_schema_listing(spark):
     assert rows(schemas.schema_listing(df)) == [(0, "k", "string", True), (1, "n", "int", True)]
     assert schemas.missing_columns(df, ["k", "other"]) == ["other"]
     assert schemas.schema_problems(df, df.schema) == []
+
+
+AWKWARD = (
+    'id,name,note\n1,"a\nb","x ""q"" y"\n\n2,,""\n3,"l1\r\nl2\n\nl3",z\n4," sp ", q \n'
+    '5,"""",","\n6,"a,b\n""\n""c",\\\n7,é漢😀,"\n"\n'
+)
+
+
+def awkward_file(path, times):
+    head, body = AWKWARD.split("\n", 1)
+    path.write_bytes((head + "\n" + body * times).encode())
+    return str(path)
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are read in many blocks, so that lines and quotes straddle them."""
+    conf = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:
+        spark.conf.unset(k)
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
+    path = awkward_file(tmp_path / "a.csv", 400)
+    whole = read_text_table(spark, path, multiline=True)
+    parts = read_text_table(spark, path, multiline=True, parallel=True)
+    assert whole.rdd.getNumPartitions() == 1
+    blocks = records.blocks(spark, path)
+    assert blocks.count() > 8 and blocks.filter("inside = 1").count() > 0
+    assert rows(parts) == rows(whole) and parts.count() == 2800
+    assert rows(parsing_impact(spark, path), "line_rows", "record_rows") == [
+        (read_text_table(spark, path).count(), 2800)
+    ]
+
+
+def test_records_of_many_files(spark, tmp_path, small_blocks):
+    for i in range(3):
+        awkward_file(tmp_path / f"{i}.csv", 30 * (i + 1))
+    whole, parts = (read_text_table(spark, str(tmp_path), multiline=True, parallel=p) for p in (False, True))
+    assert rows(parts) == rows(whole)
+    (tmp_path / "9.csv").write_text("id,note,name\n1,2,3\n")
+    with pytest.raises(Exception, match="header"):
+        read_text_table(spark, str(tmp_path), multiline=True, parallel=True).collect()
+
+
+def test_carriage_returns_and_missing_ends(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b'id,note\r\n1,"a\r\nb"\r\n\r\n2,c\r\n3,')
+    assert rows(read_text_table(spark, str(path), multiline=True, parallel=True)) == [
+        ("1", "a\r\nb"), ("2", "c"), ("3", None),
+    ]
+
+
+def test_quotes_that_do_not_pair_are_an_error(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,note\n1,"a\n2,b\n')
+    with pytest.raises(Exception, match="quotes do not pair"):
+        read_text_table(spark, str(path), multiline=True, parallel=True).collect()
+
+
+def test_header_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,note\n")
+    assert read_text_table(spark, str(tmp_path), multiline=True, parallel=True).collect() == []
+    assert rows(parsing_impact(spark, str(tmp_path)), "line_rows", "record_rows") == [(0, 0)]
+
+
+@pytest.mark.parametrize("how", [{}, {"multiline": True}, {"multiline": True, "parallel": True}])
+def test_records_of_another_width_are_kept(spark, tmp_path, how):
+    path = tmp_path / "a.csv"
+    path.write_text("a,b,c\n1,2,3\n1,2\n1,2,3,4\n,,\n5\n")
+    df = read_text_table(spark, str(path), malformed=True, **how)
+    assert rows(df, "_malformed", "a", "b", "c") == [
+        (None, None, None, None), (None, "1", "2", "3"),
+        ("1,2", "1", "2", None), ("1,2,3,4", "1", "2", "3"), ("5", "5", None, None),
+    ]
+    assert "_malformed" not in read_text_table(spark, str(path), **how).columns
