@@ -5,8 +5,8 @@ more coordinate that makes them unit, queries are scaled to unit with that coord
 then distance**2 = 2 - 2 * inner product. Normal (2-stable) projections to DIMS numbers
 make projected distance**2 / distance**2 chi-square with DIMS degrees of freedom.
 
-* The upper levels of a kd-tree over projections are fitted on at most SAMPLE distinct
-  vectors, those with the smallest digests. Every vector is put into a cell; a cell of
+* The upper levels of a kd-tree over projections are fitted on about SAMPLE distinct
+  vectors at most, drawn by their digests. Every vector is put into a cell; a cell of
   more than CELL_ROWS is dealt into parts, all of which are searched, so that memory is
   bounded at any size. Each part gets the lower levels, down to leaves of LEAF vectors.
 * A query takes leaves in order of projected distance and verifies, on whole vectors,
@@ -149,9 +149,12 @@ def _spaces(distinct: DataFrame, dims: int, cell_rows: int, seed: int) -> dict[i
     """One space a vector length, from its count and largest norm and a bounded sample."""
     sizes = distinct.groupBy("length").agg(F.count("*").alias("n"), F.max("norm").alias("largest")).collect()
     sample: dict[int, list[bytes]] = {}
-    # The digest is uniform, so its smallest values are a sample without a seed. With long vectors it holds fewer.
-    longest = max([r["length"] for r in sizes], default=1)
-    for row in distinct.orderBy("key").limit(max(64, min(SAMPLE, (1 << 22) // longest))).select("length", "vec").collect():
+    # The digest is uniform, so the rows below a bound are a sample without a seed, of SAMPLE
+    # rows give or take its square root. With long vectors it holds fewer.
+    longest, rows = max([r["length"] for r in sizes], default=1), sum(r["n"] for r in sizes)
+    share = min(1.0, max(64, min(SAMPLE, (1 << 22) // longest)) / max(1, rows))
+    drawn = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long") < int(share * 2**32)
+    for row in distinct.where(drawn).select("length", "vec").collect():
         sample.setdefault(row["length"], []).append(bytes(row["vec"]))
     found = {}
     for row in sizes:
