@@ -39,7 +39,6 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 SECRET = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|(?:ghp_|sk-|AKIA|xox[bp]-)[A-Za-z0-9_-]{16,80})(?![A-Za-z0-9])")
-HINT = re.compile(r"[0-9@]")
 
 # Words near a span that speak for a kind, or against it.
 FOR = {
@@ -142,8 +141,6 @@ def extra_spans(text: str) -> Iterator[tuple[int, int, str]]:
 
 def spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, score) by start, then kind: every base span, and the further ones above the threshold that none covers."""
-    if not HINT.search(text):
-        return []
     found = [(a, b, k, _score(text, a, b, k)) for a, b, k in base_spans(text)]
     taken = [(a, b) for a, b, _, _ in found]
     for a, b, kind in extra_spans(text):
@@ -153,22 +150,6 @@ def spans(text: str) -> list[tuple[int, int, str, float]]:
     return sorted(found, key=lambda s: (s[0], ORDER[s[2]], s[1]))
 
 
-SPANS = "array<struct<start:long,end:long,kind:string,score:double>>"
-
-
-def detect(docs: DataFrame, into: str = "_pii") -> DataFrame:
-    """docs with one more column `into`: the text's spans with kind and score."""
-    schema = docs.withColumn(into, F.lit(None).cast(SPANS)).schema
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2000):
-            out = [[dict(zip(("start", "end", "kind", "score"), s, strict=True)) for s in spans(t or "")] for t in values(batch, "text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, into])
-
-    return docs.mapInArrow(run, schema)
-
-
 def redact_text(text: str) -> str:
     """text with every span, overlapping ones merged, replaced by <kind> of the span that starts first."""
     parts, done = [], 0
