@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from firstmile.llm import store
 
 SHARDS, SEED = 16, 20240501
+#: Population that numpy's own draw takes, and a sample that is drawn one by one.
+NUMPY_LIMIT, HANDFUL = 10**9, 64
 #: Rows that one task of the last permutation sorts.
 TASK_ROWS = 10_000
 
@@ -48,18 +50,35 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarra
 
 
 def _hypergeometric(draw: np.random.Generator, good: int, bad: int, sample: int) -> int:
-    """numpy's draw takes populations below 10**9; larger ones are drawn in equal parts of the sample."""
+    """How many of a uniform sample without replacement are good, at any size.
+
+    numpy draws from populations below 10**9. Of a larger one every member is first
+    taken with the sample's share: two binomial draws, good and bad. What is taken is
+    then a uniform subset that is too large or too small by about the square root of the
+    sample; the surplus is given back, or the lack filled, uniformly from what was or was
+    not taken. That is a draw of the same kind for so much smaller a sample, so some five
+    rounds reach a handful of members, which are drawn one by one. No step is approximate.
+    """
     if sample == 0 or good == 0:
         return 0
     if bad == 0:
         return sample
-    if good < 10**9 and bad < 10**9 and good + bad < 10**9:
+    if good + bad < NUMPY_LIMIT:
         return int(draw.hypergeometric(good, bad, sample))
-    taken = 0
-    for _ in range(sample):  # one by one: exact at any size; a partition's rows bound the loop
-        hit = int(draw.integers(good + bad)) < good
-        taken, good, bad = taken + hit, good - hit, bad - (not hit)
-    return taken
+    if 2 * sample > good + bad:
+        return good - _hypergeometric(draw, good, bad, good + bad - sample)
+    if sample <= HANDFUL:
+        taken = 0
+        for _ in range(sample):
+            hit = int(draw.integers(good + bad)) < good
+            taken, good, bad = taken + hit, good - hit, bad - (not hit)
+        return taken
+    share = sample / (good + bad)
+    some, others = int(draw.binomial(good, share)), int(draw.binomial(bad, share))
+    surplus = some + others - sample
+    if surplus >= 0:
+        return some - _hypergeometric(draw, some, others, surplus)
+    return some + _hypergeometric(draw, good - some, bad - others, -surplus)
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
