@@ -13,9 +13,9 @@ Every document ends with id 0. The dictionary is fitted on a bounded sample
 (`SAMPLE` documents, the smallest by hash of the id, `SAMPLE_IDS` ids of each);
 every document is written whole.
 
-NULL text counts as empty (one id, the end). Repeated rows are written once each,
-in an order fixed by id and content. NULL ids come first. Other columns are not
-read. An empty table gives no block and no row.
+NULL text counts as empty (one id, the end). Repeated rows are written once each, rows
+of one id by number of ids and frame, or, where the id is hot, first by the digest of
+their text. NULL ids come first. Other columns are not read. An empty table gives no block and no row.
 """
 
 from __future__ import annotations
@@ -195,39 +195,87 @@ def _dictionary(data: bytes, compress: bool = False) -> zstandard.ZstdCompressio
 
 
 def encode(docs: DataFrame, definition: str, dictionary: bytes) -> DataFrame:
-    """doc_id, number of ids with the end, and the document's own compressed frame."""
+    """range, doc_id, number of ids with the end, and the document's own compressed frame."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, squeeze = Encoder(definition), zstandard.ZstdCompressor(LEVEL, dict_data=_dictionary(dictionary, compress=True))
         end = np.array([END], "<u4").tobytes()
         for batch in portions(batches, "text", PORTION):
-            ids = [x + end for x in ids_of(batch.column(1))]
+            ids = [x + end for x in ids_of(batch.column(2))]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": batch.column(0).cast(pa.int64()),
+                    "range": batch.column(0),
+                    "doc_id": batch.column(1).cast(pa.int64()),
                     "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
                     "frame": pa.array(map(squeeze.compress, ids), pa.binary()),
                 }
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, frame binary")
+    return docs.select("range", "doc_id", "text").mapInArrow(run, "range int, doc_id long, n_tokens long, frame binary")
 
 
 BLOCK = "range int, block int, first_id long, last_id long, doc_ids array<long>, offsets array<long>, n_tokens array<long>, dictionary_sha256 string, payload binary"
 
 
 def _ranges(docs: DataFrame) -> tuple[Column, int]:
-    """The range of a doc_id, and how many there are: cut points from the ids alone, equal ids together unless hot."""
-    n = docs.count()
+    """The range of a row of docs (doc_id, text), and how many ranges there are.
+
+    Cut points come from the ids alone. An id that holds a good part of a range (all NULL
+    ids are one) shows as a cut point that repeats. If it holds more, its rows are cut again by the digest
+    of their text, and equal texts of it, which are interchangeable, by a salt. So no
+    range is larger than its share for one id's or one text's sake.
+    """
+    spark, counted = docs.sparkSession, docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("known")).first()
+    n, unknown = counted["n"], counted["n"] - counted["known"]
     parts = max(1, -(-n // RANGE_ROWS))
-    least = docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    least = spark.conf.get("spark.sql.shuffle.partitions", "200")
     parts = max(parts, min(int(least), -(-n // 1000))) if n else 1
     if parts == 1:
         return F.lit(0), 1
-    at = [i / parts for i in range(1, parts)]
-    cuts = docs.select(F.percentile_approx("doc_id", at, 10 * parts).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    return F.coalesce(F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))), F.lit(0)), len(cuts) + 1
+    # Quarters of a range tell which ids hold a good part of one.
+    at = [i / (4 * parts) for i in range(1, 4 * parts)]
+    fine = docs.select(F.percentile_approx("doc_id", at, 40 * parts).alias("c")).first()["c"] or []
+    cuts, pieces, quarters = [], {}, 0
+    for c in sorted(set(fine)):
+        quarters += 1
+        if (often := fine.count(c)) > 1:
+            # Alone between two cut points, and cut itself.
+            pieces[c], quarters = -(-(often + 1) // 4), 0
+            cuts += [c, min(c + 1, 2**63 - 1)]
+        elif quarters >= 4:
+            quarters = 0
+            cuts.append(c)
+    if unknown * 4 * parts > n:
+        pieces[None] = -(-unknown * parts // n)
+    cuts, pieces = sorted(set(cuts)), {i: k for i, k in pieces.items() if k > 1}
+    below = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c <= F.col("doc_id")))
+    place = F.when(F.col("doc_id").isNull(), 0).otherwise(below + 1)
+    if not pieces:
+        return place, len(cuts) + 2
+    tie = F.xxhash64("text")
+    hot = F.coalesce(F.col("doc_id").isin([c for c in pieces if c is not None]), F.lit(None in pieces))
+    same = docs.where(hot).groupBy("doc_id", tie.alias("tie")).agg(F.count("*").alias("n"))
+    # At most `parts` texts hold a range's rows each.
+    large = same.where(F.col("n") > n / parts).collect()
+    widths = dict.fromkeys(range(len(cuts) + 1), 1)
+    inner: list[tuple[int, list[int], list[int]]] = []
+    for i, k in pieces.items():
+        where = 0 if i is None else sum(c <= i for c in cuts) + 1
+        copies = {r["tie"]: -(-r["n"] * parts // n) for r in large if r["doc_id"] == i}
+        borders = sorted({-(2**63) + (2**64 * j) // k for j in range(1, k)} | {b for v in copies for b in (v, v + 1) if -(2**63) < b < 2**63})
+        wide = [1] * (len(borders) + 1)
+        for v, c in copies.items():
+            wide[sum(b <= v for b in borders)] = c
+        inner.append((where, borders, wide))
+        widths[where] = sum(wide)
+    starts = [0, *np.cumsum([widths.get(i, 1) for i in range(len(cuts) + 2)]).tolist()]
+    found = F.element_at(F.lit(starts), place + 1)
+    for where, borders, wide in inner:
+        piece = F.size(F.filter(F.lit(borders).cast("array<bigint>"), lambda b: b <= tie)) + 1
+        ends = [0, *np.cumsum(wide).tolist()]
+        salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.element_at(F.lit(wide), piece))
+        found = F.when(place == where, starts[where] + F.element_at(F.lit(ends), piece) + salt).otherwise(found)
+    return found, starts[-1]
 
 
 def write(docs: DataFrame, definition: str, folder: str) -> TokenFile:
@@ -238,7 +286,7 @@ def write(docs: DataFrame, definition: str, folder: str) -> TokenFile:
     digest = hashlib.sha256(dictionary).hexdigest()
     made = TokenFile(f"{folder}/blocks", f"{folder}/dictionary")
     spark.createDataFrame([(digest, bytearray(dictionary))], "sha256 string, data binary").coalesce(1).write.parquet(made.dictionary)
-    of, n = _ranges(docs.select("doc_id"))
+    of, n = _ranges(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -265,7 +313,8 @@ def write(docs: DataFrame, definition: str, folder: str) -> TokenFile:
         if held:
             yield flush()
 
-    dealt = encode(docs, definition, dictionary).withColumn("range", of.cast("int")).repartition(n, "range")
+    # One range a task, by its number.
+    dealt = encode(docs.withColumn("range", of.cast("int")), definition, dictionary).repartitionById(n, "range")
     ordered = dealt.sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "n_tokens", "frame")
     ordered.select("range", "doc_id", "n_tokens", "frame").mapInArrow(run, BLOCK).write.option("compression", "none").parquet(made.blocks)
     return made
