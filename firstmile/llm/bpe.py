@@ -19,20 +19,26 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from firstmile.llm.columns import portions, slices, values
+from firstmile.llm.columns import portions, values
 
 CACHE = 300_000
 #: Bytes of text whose distinct words a task holds at a time.
 PORTION = 8 << 20
+#: The same where the ids themselves come out.
+IDS_PORTION = 4 << 20
+#: What `normal` does: NFC, runs of white space as one space, lower case.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 #: White space, so no word starts with it.
 MARK = "\n"
 #: White space of the Unicode standard. str.split() also splits at the separators U+001C to U+001F.
@@ -57,7 +63,11 @@ class Bpe:
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.suffix = model["end_of_word_suffix"] or ""
+        steps = (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]])
+        if [s and s["type"] for s in steps] != NORMALIZERS:
+            raise ValueError(f"{[s and s['type'] for s in steps]}: the normalizers known are {NORMALIZERS}")
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        self.mark = os.path.commonprefix(list(self.added))
         self.names = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.added.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
@@ -129,7 +139,7 @@ class Bpe:
 
     def words(self, text: str) -> list[str]:
         """Normal words of a text, added tokens as they stand between them."""
-        if not (self.cut and "<|" in text):
+        if not (self.cut and self.mark in text):
             return self.normal(text)
         out = []
         for k, piece in enumerate(self.cut.split(text)):
@@ -175,8 +185,11 @@ def tokenize(docs: DataFrame, definition: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(definition)
-        for batch in slices(batches, 1000):
-            ids = [bpe.encode(t or "") for t in values(batch, "text")]
+        for batch in portions(batches, "text", IDS_PORTION):
+            ids = [
+                np.fromstring(" ".join([p[0] for p in parts]), np.int32, sep=" ")
+                for parts in bpe.parts([bpe.words(t or "") for t in values(batch, "text")])
+            ]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column(0).cast(pa.int64()), "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))}
             )
