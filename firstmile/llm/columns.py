@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +14,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until df has no such column, in whatever letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """df through `run`, which keeps its columns; they may have any names."""
+    names, plain = df.columns, [f"c{i}" for i in range(len(df.columns))]
+    held = df.toDF(*plain)
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(plain)
+
+    return held.mapInArrow(renamed, held.schema).toDF(*names)
+
+
 def id_remainder(column: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo divisor; a NULL id counts as empty text."""
     column = F.col(column) if isinstance(column, str) else column

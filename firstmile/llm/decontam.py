@@ -45,7 +45,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstmile.llm.columns import slices, values
+from firstmile.llm.columns import map_rows, slices, values
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.5, 3
@@ -345,5 +345,5 @@ def remove_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 leaked = {t for t, _ in _find(index, [words(t) for t in values(batch, "text")])}
                 yield batch.filter(pa.array([t not in leaked for t in range(batch.num_rows)]))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_rows(docs, run)
     return docs

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firstmile.llm.columns import slices, values
+from firstmile.llm.columns import map_rows, slices, values
 
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "ssn", "secret")
@@ -172,7 +172,7 @@ def redact(docs: DataFrame) -> DataFrame:
             new = pa.array([None if t is None else redact_text(t) for t in values(batch, "text")], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), new)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = map_rows(docs, run)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -6,7 +6,7 @@ arrays of the row, so nothing is shuffled and a document never meets another.
 
 NULL and empty texts count as texts without words: they fail the base rule.
 Equal rows give equal results, row for row. Only `text` is read; other columns
-pass through, and the measures live in one struct, so their names cannot clash.
+pass through. The measures live in one struct column, whose name is a parameter.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firstmile.llm.columns import unused
+
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
@@ -154,5 +156,6 @@ def assess(docs: DataFrame, rules: tuple[Bound, ...] = RULES, into: str = "_qual
 
 
 def keep_good(docs: DataFrame, rules: tuple[Bound, ...] = RULES) -> DataFrame:
-    """The documents that pass, in their own columns."""
-    return assess(docs, rules).where(F.col("_quality.kept")).select(*docs.columns)
+    """The documents that pass, in their own columns, whatever their names."""
+    (own,) = unused(docs, "_quality")
+    return assess(docs, rules, own).where(F.col(f"{own}.kept")).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -28,11 +28,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firstmile.llm import graph, store
-from firstmile.llm.columns import raw, slices
+from firstmile.llm.columns import raw, slices, unused
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 SHARD = 2048
@@ -214,8 +214,9 @@ def link(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataF
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, in its own columns.
 
-    Documents with an id go before those without; of several rows with that id the
-    first by the hash of the text, then by the other columns, stays.
+    Documents with an id go before those without; of several rows with that id the first
+    by the hash of the text stays, and of rows equal in both the first in the table.
+    Other columns may have any name and type.
     """
     rows, rooted = _rooted(docs, shingle, radius, F.xxhash64("text").alias("_text"))
     rooted = store.land(rooted.select("_fp", "root"), "roots")
@@ -223,13 +224,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     # Copies are counted before the shuffle by component.
     copies = rows.groupBy("_fp", "doc_id", "_text").agg(F.count("*").alias("n"))
     best = copies.join(rooted, "_fp").groupBy("root").agg(F.min(order).alias("k"), F.min_by("n", order).alias("n"))
-    chosen = store.land(best.select(F.col("k.doc_id").alias("_doc_id"), F.col("k._text").alias("_text"), F.col("n").alias("_n")), "chosen")
-    wanted = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text"))
+    own_id, own_text, own_n, place, nth = unused(docs, "_doc_id", "_text", "_n", "_place", "_nth")
+    chosen = store.land(best.select(F.col("k.doc_id").alias(own_id), F.col("k._text").alias(own_text), F.col("n").alias(own_n)), "chosen")
+    wanted = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_text))
     kept = docs.join(chosen, wanted, "left_semi")
-    if not chosen.where(F.col("_n") > 1).take(1):
+    if not chosen.where(F.col(own_n) > 1).take(1):
         return kept
-    # Repeated rows of a chosen document: one of them stays.
-    single = docs.join(chosen.where(F.col("_n") == 1), wanted, "left_semi")
-    several = docs.join(chosen.where(F.col("_n") > 1), wanted, "left_semi")
-    first = several.groupBy("doc_id", F.xxhash64("text").alias("_h")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return single.unionByName(first.select(*(F.col(f"_row.{c}").alias(c) for c in docs.columns)))
+    # Repeated rows of a chosen document: one of them stays. All but a task's first go before the shuffle.
+    single = docs.join(chosen.where(F.col(own_n) == 1), wanted, "left_semi")
+    several = docs.withColumn(place, F.monotonically_increasing_id()).join(chosen.where(F.col(own_n) > 1), wanted, "left_semi")
+    copy = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(place)
+    first = several.withColumn(nth, F.row_number().over(copy)).where(F.col(nth) == 1)
+    return single.unionByName(first.select(*(F.col(f"`{c}`") for c in docs.columns)))
