@@ -1,23 +1,31 @@
 """HTML main text through wrappers: union-free regular expressions inferred from the pages of a host.
 
 A page is a stream of tags and texts, read as nested groups. Two streams of a host
-are aligned level by level: tags that match go on inside, neighbouring groups with
-the same tag become one repeated group (x)+, a group that only one side has becomes
-optional (x)?, texts that differ become a slot, texts that agree stay constant. The
-result generalises both, has no alternatives, and is aligned with the next page.
-Alignment does not depend on the order of pages, so every task folds its pages, and
-one fold over the tasks' wrappers ends it: all pages of a host shape its wrapper,
-and no page is held beyond its turn. In a wrapper of more than `NODES` groups, those
-with most children keep one child for each tag, whatever its class and place, which
-bounds a wrapper by the paths of tags on its pages; other groups stay as they are.
-Groups may be nested to any depth.
-
-The wrapper says where a host's article is: in its `article` or `main` groups, else
-in the smallest group that holds all text but links and what goes anyway. What stands in navigation, header,
-footer, side, notice, advert, form, script, style or comment groups goes. On hosts
-without an article, so do the texts of blocks in which nothing differs over distinct
-pages: a text goes if it equals the wrapper's constant in its own place. A page
-without the host's article group is read by its own wrapper.
+are aligned level by level by their longest common subsequence, which is exact for
+groups of any width: groups that match go on inside, neighbouring groups of one kind
+become one repeated group (x)+, a group that only one side has becomes optional (x)?,
+texts that differ become a slot, texts that agree stay constant. The result generalises
+both, has no alternatives, and is aligned with the next page.
+
+A group's kind is its tag with its class; of a container without class, its tag with
+what it holds: text, lists, prose or other containers. So groups that only stand side
+by side are not taken for repetitions of one. Where more than `OPTIONAL` optional groups
+of a tag have come to stand in one gap, as with a class a page, they become one whose
+class is open; that alone bounds a wrapper, by the groups of single pages.
+
+The order of alignment is that of the pages' digests: each page is written as its own
+wrapper, without its long texts; pages of a host whose digests begin alike are aligned
+in order, then what comes of them. So the same pages give the same wrapper, however they
+are dealt over files and tasks, and a host of any size is many tasks' work.
+
+The wrapper says where a host's article is. An `article` or `main` element is markup for
+just that. Without one it is the smallest group that holds all text but what the wrapper
+shows to be frame: links; blocks of texts that are the same in their place on distinct
+pages; where no class tells more, blocks that are one short slot on every page beside one
+group of prose. Navigation, header, footer, side, notice, advert, form, script, style and
+comment groups go. Pages are told apart by their three longest texts, so that copies with
+another date count once, and a long notice does not make all pages copies. A page without
+the host's article group is read by its own wrapper.
 
 NULL html or url is allowed: empty html gives an empty text; pages without a host
 form no group and are read by their own wrapper. Blocks are joined by one line
@@ -30,22 +38,33 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import html as entities
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firstmile.llm import store
 from firstmile.llm.columns import slices, values
 
-NODES, HELD = 2000, 2000
-#: Pairs of children that are compared to align two groups; of wider ones the children are kept by tag.
-CELLS = 1 << 18
+#: Optional groups of one tag that may stand in one gap before they become one of open class.
+OPTIONAL = 16
+#: Parts into which a host's pages fall by their digests.
+PARTS = 1024
+#: Characters up to which a wrapper holds a constant text itself; of longer ones it holds a digest.
+SHOWN = 64
+#: Bytes of rules up to which every task gets all of them.
+SENT = 48 << 20
+#: Rows of the bit matrix of an alignment times its columns; wider groups are cut in two first.
+BITS = 1 << 28
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript".split())
@@ -80,6 +99,12 @@ SMALLEST = PROSE | {"li", "td", "th", "dt"}
 #: Elements that hold the article, whatever their class says.
 FRAMES = ARTICLE | {"html", "body"}
 
+#: Containers whose tag says nothing; without a class they are told apart by what they hold.
+GENERIC = frozenset("div section center".split())
+LISTS = frozenset("ul ol dl menu table".split())
+#: The class of a group that stands for any class, and for any class that goes.
+OPEN, OPEN_GOES = "*", "! *"
+
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""")
 _ENDS = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
@@ -216,22 +241,31 @@ def parse(source: str) -> Node:
             if value in HOLDS:
                 holds.append(len(stack))
             stack.append(node)
+    _name_by_kind(root)
     return root
 
 
-# A wrapper is [tag, name, flags, text, own, linked, low, high, children]: flags hold '+' and '?', and '~' where the
-# children are one for each tag, in any order; text is a constant, or None for a slot; own counts the letters of texts right
-# below, linked those below links; low and high are the least and largest sign of the pages that have a constant, different
-# if distinct pages were compared; children are wrappers. Nothing here recurs, so groups may be nested as deep as they are.
-TAG, NAME, FLAGS, TEXT, OWN, LINKED, LOW, HIGH, CHILDREN = range(9)
+def _name_by_kind(root: Node) -> None:
+    """Give containers without a class a name for what they hold; no class has a slash."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        todo += [c for c in node.children if c.tag]
+        if node.tag in GENERIC and not node.name:
+            blocks = {c.tag for c in node.children if c.tag in BLOCKS}
+            node.name = "/text" if not blocks else "/prose" if blocks & PROSE else "/list" if blocks <= LISTS else "/box"
 
 
-def _name(name: str, wide: bool) -> str:
-    return ("!" if name.startswith("!") else "") if wide else name
+# A wrapper is [tag, name, flags, text, own, linked, low, high, children]: flags hold '+' and '?'; text is a constant, or
+# None for a slot; own counts the letters of texts right below, linked those below links; low and high are the least and
+# largest signs of the pages that have a constant (three numbers a page), different if distinct pages were compared;
+# children are wrappers. Nothing here recurs, so groups may be nested as deep as they are.
+TAG, NAME, FLAGS, TEXT, OWN, LINKED, LOW, HIGH, CHILDREN = range(9)
+NO_SIGN = (0, 0, 0)
 
 
-def _key(w: list, wide: bool = False) -> tuple[str, str]:
-    return w[TAG], _name(w[NAME], wide)
+def _key(w: list) -> tuple[str, str]:
+    return w[TAG], w[NAME]
 
 
 def _walk(w: list) -> list[list]:
@@ -242,40 +276,51 @@ def _walk(w: list) -> list[list]:
     return out
 
 
+def _shown(text: str) -> str:
+    """A text as wrappers hold it."""
+    return text if len(text) <= SHOWN else "\x00" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
 def _plain(page: Node) -> list:
     """A page's groups as a wrapper, nothing folded yet."""
-    root = [page.tag, page.name, "", None, 0, 0, 0, 0, []]
+    root = [page.tag, page.name, "", None, 0, 0, NO_SIGN, NO_SIGN, []]
     # A link in a sentence or a heading is text like the rest of it.
     todo = [(page, root, False, False, False)]
     texts: list[list] = []
-    longest = ""
+    content: set[str] = set()
     while todo:
         node, out, linked, prose, gone = todo.pop()
         for child in node.children:
             if child.tag:
-                w = [child.tag, child.name, "", None, 0, 0, 0, 0, []]
+                w = [child.tag, child.name, "", None, 0, 0, NO_SIGN, NO_SIGN, []]
                 out[CHILDREN].append(w)
                 todo.append((child, w, linked or child.tag == "a" and not prose, prose or child.tag in PROSE, gone or child.dropped))
             elif text := " ".join(child.name.split()):
                 out[LINKED if linked else OWN] += len(text) if _LETTER.search(text) else 0
-                if not gone and (len(text), text) > (len(longest), longest):
-                    longest = text
+                if not gone:
+                    content.add(text)
                 if node.tag not in DROPPED:
-                    texts.append(["", "", "", text, 0, 0, 0, 0, []])
+                    texts.append(["", "", "", _shown(text), 0, 0, NO_SIGN, NO_SIGN, []])
                     out[CHILDREN].append(texts[-1])
-    # Pages count as distinct by their longest text, so copies with another date or counter are not compared.
-    sign = zlib.crc32(longest.encode("utf-8", "replace"))
+    longest = heapq.nlargest(3, content, key=lambda x: (len(x), x))
+    signs = tuple([zlib.crc32(x.encode("utf-8", "replace")) for x in longest] + [0] * (3 - len(longest)))
     for w in texts:
-        w[LOW] = w[HIGH] = sign
+        w[LOW] = w[HIGH] = signs
     return root
 
 
+def _distinct(w: list) -> bool:
+    """Whether the pages of a constant are other pages, not copies: their longest text differs, or two of three do."""
+    differ = [low != high for low, high in zip(w[LOW], w[HIGH], strict=True)]
+    return differ[0] or sum(differ) > 1
+
+
 # While groups are merged, a child is (flags, groups that become one).
 Item = tuple[str, list[list]]
 
 
 def _united(a: str, b: str, more: str = "") -> str:
-    return "".join(x for x in "+?~" if x in a + b + more)
+    return "".join(x for x in "+?" if x in a + b + more)
 
 
 def _folded(items: list[Item]) -> list[Item]:
@@ -295,6 +340,102 @@ def _folded(items: list[Item]) -> list[Item]:
     return out
 
 
+def _rows(left: list, right: list) -> list[int]:
+    """Bit rows of the longest common subsequence, by Hyyro: in row i a zero at j says that column j adds one to left[:i]."""
+    where: dict = {}
+    for j, key in enumerate(right):
+        where.setdefault(key, []).append(j)
+    masks = {}
+    for key, places in where.items():
+        bits = bytearray(len(right) // 8 + 1)
+        for j in places:
+            bits[j >> 3] |= 1 << (j & 7)
+        masks[key] = int.from_bytes(bits, "little")
+    full = (1 << len(right)) - 1
+    row, out = full, [full]
+    for key in left:
+        hit = row & masks.get(key, 0)
+        row = ((row + hit) | (row - hit)) & full
+        out.append(row)
+    return out
+
+
+def _lengths(row: int, n: int) -> np.ndarray:
+    """Length of the common subsequence with right[:j] for j in 0..n."""
+    zeros = 1 - np.unpackbits(np.frombuffer(row.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little")[:n].astype(np.int64)
+    return np.concatenate(([0], np.cumsum(zeros)))
+
+
+def _common(left: list, right: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, exact at any length. The first of equal ways counts."""
+    n, m = len(left), len(right)
+    start = 0
+    while start < n and start < m and left[start] == right[start]:
+        start += 1
+    out = [(i, i) for i in range(start)]
+    left, right = left[start:], right[start:]
+    n, m = n - start, m - start
+    if not n or not m:
+        return out
+    if n > 1 and n * m > BITS:
+        half = n // 2
+        ahead = _lengths(_rows(left[:half], right)[-1], m)
+        behind = _lengths(_rows(left[half:][::-1], right[::-1])[-1], m)[::-1]
+        cut = int(np.argmax(ahead + behind))
+        out += [(start + i, start + j) for i, j in _common(left[:half], right[:cut])]
+        return out + [(start + half + i, start + cut + j) for i, j in _common(left[half:], right[cut:])]
+    # Rows from the end: row k is for left[n - k:], and its low bits for the end of right.
+    rows, i, j = _rows(left[::-1], right[::-1]), 0, 0
+    while i < n and j < m:
+        if left[i] == right[j]:
+            out.append((start + i, start + j))
+            i, j = i + 1, j + 1
+            continue
+        low = (1 << (m - j)) - 1
+        if (rows[n - i - 1] & low).bit_count() == (rows[n - i] & low).bit_count():
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def _open(w: list) -> list:
+    """A copy of a group whose class is open."""
+    out = w[:]
+    out[NAME] = OPEN_GOES if w[NAME].startswith("!") else OPEN
+    return out
+
+
+def _tag_key(item: Item) -> tuple[str, bool]:
+    w = item[1][0]
+    return w[TAG], w[NAME].startswith("!")
+
+
+def _gap(left: list[Item], right: list[Item]) -> list[Item]:
+    """What stands between two matches, all of it optional.
+
+    A tag that both sides have groups of, and together too many, gets one of open class, which takes in all that come later.
+    """
+    items = [(_united(flags, "?"), group) for flags, group in (*left, *right)]
+    if not left or not right:
+        return items
+    often = Counter(map(_tag_key, items))
+    both = {_tag_key(x) for x in left} & {_tag_key(x) for x in right}
+    already = {_tag_key(x) for x in items if x[1][0][NAME] in (OPEN, OPEN_GOES)}
+    out: list[Item] = []
+    opened: dict[tuple[str, bool], Item] = {}
+    for flags, group in items:
+        key = _tag_key((flags, group))
+        if not key[0] or key not in both or often[key] <= OPTIONAL and key not in already:
+            out.append((flags, group))
+        elif key in opened:
+            opened[key][1].extend(map(_open, group))
+        else:
+            opened[key] = ("+?", [_open(w) for w in group])
+            out.append(opened[key])
+    return out
+
+
 def _aligned(a: list[Item], b: list[Item]) -> list[Item]:
     """Children aligned by their longest common subsequence of groups; what one side lacks is optional."""
     left, right = [_key(g[0]) for _, g in a], [_key(g[0]) for _, g in b]
@@ -305,72 +446,50 @@ def _aligned(a: list[Item], b: list[Item]) -> list[Item]:
 
     if left == right:
         return [both(x, y) for x, y in zip(a, b, strict=True)]
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if left[i] == right[j] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and left[i] == right[j]:
-            out.append(both(a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append((_united(a[i][0], "?"), a[i][1]))
-            i += 1
-        else:
-            out.append((_united(b[j][0], "?"), b[j][1]))
-            j += 1
+    for x, y in [*_common(left, right), (len(a), len(b))]:
+        out += _gap(a[i:x], b[j:y])
+        if x < len(a):
+            out.append(both(a[x], b[y]))
+        i, j = x + 1, y + 1
     return _folded(out)
 
 
-def _by_tag(group: list[list]) -> list[Item]:
-    """The children of groups as one repeated group for each tag."""
-    out: dict[tuple[str, str], list[list]] = {}
-    for w in group:
-        for c in w[CHILDREN]:
-            out.setdefault(_key(c, True), []).append(c)
-    return [("+?" + "~" * any("~" in c[FLAGS] for c in cs), cs) for cs in out.values()]
-
-
-def _level(group: list[list]) -> tuple[list[Item], bool]:
-    """The children of the group that generalises some, and whether they are one for each tag."""
-    if any("~" in w[FLAGS] for w in group):
-        return _by_tag(group), True
+def _level(group: list[list]) -> list[Item]:
+    """The children of the group that generalises some."""
     now: list[Item] | None = None
     for w in group:
         these = _folded([(c[FLAGS], [c]) for c in w[CHILDREN]])
-        if now is not None and len(now) * len(these) > CELLS and len(now) != len(these):
-            return _by_tag(group), True
         now = these if now is None else _aligned(now, these)
-    return now or [], False
+    return now or []
 
 
-def _head(flags: str, group: list[list], wide: bool) -> list:
+def _head(flags: str, group: list[list]) -> list:
     """The group that generalises some of one key, without its children."""
     first = group[0]
     if len(group) == 1:
-        return [*_key(first, wide), flags, *first[TEXT:CHILDREN], []]
+        return [*_key(first), flags, *first[TEXT:CHILDREN], []]
     own, linked = sum(w[OWN] for w in group), sum(w[LINKED] for w in group)
-    text = first[TEXT] if all(w[TEXT] == first[TEXT] for w in group) else None
-    low, high = (0, 0) if text is None else (min(w[LOW] for w in group), max(w[HIGH] for w in group))
-    return [*_key(first, wide), flags, text, own, linked, low, high, []]
+    text, low, high = first[TEXT], NO_SIGN, NO_SIGN
+    if text is not None and all(w[TEXT] == text for w in group):
+        low = tuple(min(x) for x in zip(*(w[LOW] for w in group), strict=True))
+        high = tuple(max(x) for x in zip(*(w[HIGH] for w in group), strict=True))
+    else:
+        text = None
+    return [*_key(first), flags, text, own, linked, low, high, []]
 
 
 def _merged(group: list[list], folded: bool) -> list:
     """The wrapper that generalises groups of one key, from the top down; folded ones are taken as they are."""
-    root = _head("".join(x for x in "+?~" if any(x in w[FLAGS] for w in group)), group, False)
+    root = _head("".join(x for x in "+?" if any(x in w[FLAGS] for w in group)), group)
     todo = [(root, group)]
     while todo:
         out, group = todo.pop()
-        if folded and len(group) == 1 and "~" not in out[FLAGS]:
+        if folded and len(group) == 1:
             out[CHILDREN] = group[0][CHILDREN]
             continue
-        items, wide = _level(group)
-        if wide and "~" not in out[FLAGS]:
-            out[FLAGS] += "~"
-        for flags, cs in items:
-            child = _head(flags, cs, wide)
+        for flags, cs in _level(group):
+            child = _head(flags, cs)
             out[CHILDREN].append(child)
             if any(c[CHILDREN] for c in cs):
                 todo.append((child, cs))
@@ -378,7 +497,7 @@ def _merged(group: list[list], folded: bool) -> list:
 
 
 def wrapper(page: Node) -> list:
-    """The wrapper of one page: neighbouring groups with the same tag folded into one repeated group."""
+    """The wrapper of one page: neighbouring groups of one kind folded into one repeated group."""
     return _merged([_plain(page)], False)
 
 
@@ -392,25 +511,7 @@ def _size(w: list) -> int:
 
 
 def merged(a: list | None, b: list) -> list:
-    """align; where a wrapper has too many groups, those with most children keep one for each tag, whatever its class."""
-    out = b if a is None else align(a, b)
-    while len(every := _walk(out)) > NODES:
-        widest = max(len(w[CHILDREN]) * ("~" not in w[FLAGS]) for w in every)
-        if widest < 2:
-            break
-        out = _merged([_marked(out, widest // 2)], False)
-    return out
-
-
-def _marked(w: list, above: int) -> list:
-    """A copy of the wrapper in which groups of more than so many children are marked as wide."""
-    root = w[:]
-    for x in (todo := [root]):
-        if len(x[CHILDREN]) > above and "~" not in x[FLAGS]:
-            x[FLAGS] += "~"
-        x[CHILDREN] = [c[:] for c in x[CHILDREN]]
-        todo += x[CHILDREN]
-    return root
+    return b if a is None else align(a, b)
 
 
 def as_text(w: list) -> str:
@@ -422,26 +523,32 @@ def as_text(w: list) -> str:
         if isinstance(w, str):
             out.append(w)
             continue
-        flags = w[FLAGS].replace("~", "")
+        flags = w[FLAGS]
         end = f"){flags.replace('+?', '*')}" if flags else ""
         out.append("(" if flags else "")
         if w[TAG]:
             out.append(f"<{w[TAG]}>")
             todo += [f"</{w[TAG]}>{end}", *reversed(w[CHILDREN])]
         else:
-            out.append(("#TEXT" if w[TEXT] is None else w[TEXT]) + end)
+            out.append(("#TEXT" if w[TEXT] is None else w[TEXT].replace("\x00", "#")) + end)
     return "".join(out)
 
 
 def packed(w: list) -> str:
-    """The wrapper as a flat JSON list, each group with the number of its children."""
-    return json.dumps([x for w in _walk(w) for x in (*w[:CHILDREN], len(w[CHILDREN]))])
+    """The wrapper as JSON: the pages' signs, and a flat list of groups, each with the number of its children."""
+    signs: dict[tuple, int] = {NO_SIGN: 0}
+    flat: list = []
+    for x in _walk(w):
+        low, high = (signs.setdefault(tuple(s), len(signs)) for s in (x[LOW], x[HIGH]))
+        flat += (*x[:LOW], low, high, len(x[CHILDREN]))
+    return json.dumps([list(signs), flat])
 
 
 def unpacked(text: str) -> list:
-    flat = json.loads(text)
+    signs, flat = json.loads(text)
+    signs = [tuple(s) for s in signs]
     width = CHILDREN + 1
-    every = [[*flat[i : i + CHILDREN], flat[i + CHILDREN]] for i in range(0, len(flat), width)]
+    every = [[*flat[i : i + LOW], signs[flat[i + LOW]], signs[flat[i + HIGH]], flat[i + CHILDREN]] for i in range(0, len(flat), width)]
     at = 1
     for w in every:
         n = w[CHILDREN]
@@ -468,26 +575,17 @@ def _holds_text(every: list[list]) -> set[int]:
     return out
 
 
-def _path(path: str, tag: str, name: str) -> str:
-    """A digest of the tags and names down to a group; '' is the page."""
-    return hashlib.blake2b(f"{path}/{tag}.{name}".encode("utf-8", "replace"), digest_size=8).hexdigest()
+# The way to a group: for each level the tag, the class, and, if that is open, the classes that have groups of their own there.
+Step = tuple[str, str, tuple[str, ...]]
 
 
-def _paths(w: list) -> tuple[dict[int, str], set[str]]:
-    """By id of a group: its path; and the paths below which classes do not count."""
-    out, wide = {id(w): ""}, set()
-    level = [w]
-    while level:
-        wide |= {out[id(x)] for x in level if "~" in x[FLAGS]}
-        below = []
-        for x in level:
-            here = out[id(x)]
-            for c in x[CHILDREN]:
-                if c[TAG]:
-                    out[id(c)] = _path(here, c[TAG], _name(c[NAME], here in wide))
-                    below.append(c)
-        level = below
-    return out, wide
+def _step(w: list, child: list) -> Step:
+    others = {c[NAME] for c in w[CHILDREN] if c[TAG] == child[TAG]} - {OPEN} if child[NAME] == OPEN else ()
+    return child[TAG], child[NAME], tuple(sorted(others))
+
+
+def _fits(node: Node, step: Step) -> bool:
+    return node.tag == step[0] and (node.name == step[1] or step[1] == OPEN and node.name not in step[2])
 
 
 def _fixed(every: list[list]) -> set[int]:
@@ -495,7 +593,7 @@ def _fixed(every: list[list]) -> set[int]:
     # By id of a group: whether it has a text that was compared and agrees, and one that differs or was not compared.
     same: dict[int, tuple[bool, bool]] = {}
     for w in reversed(every):
-        agrees = w[TEXT] is not None and w[LOW] != w[HIGH]
+        agrees = w[TEXT] is not None and _distinct(w)
         found = (False, False) if w[TAG] else (agrees, not agrees)
         for c in w[CHILDREN]:
             found = found[0] or same[id(c)][0], found[1] or same[id(c)][1]
@@ -516,7 +614,7 @@ def _template(every: list[list], fixed: set[int]) -> list | None:
     for w in reversed(every):
         if any(id(c) in kept for c in w[CHILDREN]):
             kept.add(id(w))
-    copies = [[*w[:TEXT], w[TEXT] if id(w) in fixed else None, 0, 0, 0, 0, w[CHILDREN] if id(w) in kept else []] for w in every]
+    copies = [[*w[:TEXT], w[TEXT] if id(w) in fixed else None, 0, 0, NO_SIGN, NO_SIGN, w[CHILDREN] if id(w) in kept else []] for w in every]
     copy_of = {id(w): c for w, c in zip(every, copies, strict=True)}
     for c in copies:
         c[CHILDREN] = [copy_of[id(x)] for x in c[CHILDREN]]
@@ -529,28 +627,26 @@ def _template_read(text: str) -> list:
 
 
 def _placed(nodes: list[Node], w: list) -> list[tuple[Node, list]]:
-    """The page's groups, each with the wrapper's child in whose place it stands; none if there are too many to compare."""
-    if "~" in w[FLAGS]:
-        by_key = {_key(c): c for c in w[CHILDREN]}
-        return [(x, by_key[k]) for x in nodes if (k := (x.tag, _name(x.name if x.tag else "", True))) in by_key]
-    n, m = len(nodes), len(w[CHILDREN])
-    if n * m > CELLS:
-        return []
-    left, right = [(x.tag, x.name if x.tag else "") for x in nodes], [_key(c) for c in w[CHILDREN]]
-    step = [0 if "+" in c[FLAGS] else 1 for c in w[CHILDREN]]
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + step[j]] + 1 if left[i] == right[j] else 0)
-    out, i, j = [], 0, 0
-    while i < n and j < m:
-        if left[i] == right[j] and best[i][j] == best[i + 1][j + step[j]] + 1:
-            out.append((nodes[i], w[CHILDREN][j]))
-            i, j = i + 1, j + step[j]
-        elif best[i][j] == best[i][j + 1]:
-            j += 1
+    """The page's groups, each with the wrapper's child in whose place it stands, aligned as wrappers are."""
+    runs: list[tuple[tuple[str, str], list[Node]]] = []
+    for x in nodes:
+        key = x.tag, x.name if x.tag else ""
+        if runs and runs[-1][0] == key:
+            runs[-1][1].append(x)
         else:
-            i += 1
+            runs.append((key, [x]))
+    children = w[CHILDREN]
+    pairs = _common([key for key, _ in runs], [_key(c) for c in children])
+    out, before = [], (-1, -1)
+    for i, j in [*pairs, (len(runs), len(children))]:
+        # What matched nothing: further groups of a repeated one beside it, or groups of an open class.
+        near = children[max(0, before[1]) : j + 1]
+        for key, group in runs[before[0] + 1 : i]:
+            place = next((c for c in near if _key(c) == key and "+" in c[FLAGS] or _key(c) == (key[0], OPEN)), None)
+            out += [(x, place) for x in group if place]
+        if i < len(runs):
+            out += [(x, children[j]) for x in runs[i][1]]
+        before = i, j
     return out
 
 
@@ -562,37 +658,59 @@ def _constants(page: Node, template: list) -> set[int]:
         node, w = todo.pop()
         for child, place in _placed([c for c in node.children if c.tag or c.name.strip()], w):
             if not child.tag:
-                if place[TEXT] is not None and place[TEXT] == " ".join(child.name.split()):
+                if place[TEXT] is not None and place[TEXT] == _shown(" ".join(child.name.split())):
                     out.add(id(child))
             elif place[CHILDREN]:
                 todo.append((child, place))
     return out
 
 
+def _slot(w: list) -> bool:
+    """A container without a class that is one differing text, in every page once."""
+    return w[NAME] == "/text" and not w[FLAGS] and len(w[CHILDREN]) == 1 and not w[CHILDREN][0][TAG] and w[CHILDREN][0][TEXT] is None
+
+
+def _prose(w: list) -> bool:
+    """A group that holds a heading or repeated prose, once on every page."""
+    return not w[FLAGS] and any(c[TAG] in HEADINGS or c[TAG] in PROSE and "+" in c[FLAGS] for c in w[CHILDREN])
+
+
+def _down(at: list[list], letters: dict[int, int]) -> list[list]:
+    """The groups of one kind, below some of one kind, that hold all their text but frame; none if there are no such groups."""
+    if any(x[OWN] for x in at):
+        return []
+    inner = [c for x in at for c in x[CHILDREN] if letters[id(c)]]
+    if len({_key(c) for c in inner}) > 1:
+        # Short slots beside one group of prose are frame where no class says what they are.
+        rest = [c for c in inner if not _slot(c)]
+        if len(rest) != 1 or not _prose(rest[0]) or rest[0][NAME] != "/prose" or any(2 * c[OWN] > letters[id(rest[0])] for c in inner if _slot(c)):
+            return []
+        inner = rest
+    return [] if not inner or inner[0][TAG] not in BLOCKS or inner[0][TAG] in SMALLEST else inner
+
+
 def rules(w: list) -> dict:
-    """What the wrapper says about its pages: paths of the article, and the template's own texts in their places."""
+    """What the wrapper says about its pages: ways to the article, and the template's own texts in their places."""
     every = _walk(w)
-    (path, wide), text = _paths(w), _holds_text(every)
-    main, template = set(), None
-    todo = [w]
-    for x in todo:
+    text, template = _holds_text(every), None
+    main: set[tuple[Step, ...]] = set()
+    todo: list[tuple[list, tuple[Step, ...]]] = [(w, ())]
+    for x, way in todo:
         for c in x[CHILDREN]:
             if c[TAG] in ARTICLE and id(c) in text:
-                main.add(path[id(c)])
+                main.add((*way, _step(x, c)))
             elif c[TAG] and not c[NAME].startswith("!"):
-                todo.append(c)
+                todo.append((c, (*way, _step(x, c))))
     if not main:
         fixed = _fixed(every)
         letters, template = _letters(every, fixed), _template(every, fixed)
-        # Down as long as one path below holds all letters, so that nothing but links, constants and dropped groups is left out.
-        at = [w]
-        while not any(x[OWN] for x in at):
-            inner = [c for x in at for c in x[CHILDREN] if letters[id(c)]]
-            if len({path[id(c)] for c in inner}) != 1 or inner[0][TAG] not in BLOCKS or inner[0][TAG] in SMALLEST:
-                break
-            at = inner
-        main = {path[id(at[0])]}
-    return {"main": sorted(main), "fixed": template and packed(template), "wide": sorted(wide), "named": not wide}
+        # Down as long as one group below holds all letters, so that nothing but links, constants and frame is left out.
+        at, way = [w], ()
+        while inner := _down(at, letters):
+            holder = next(x for x in at if any(c is inner[0] for c in x[CHILDREN]))
+            way, at = (*way, _step(holder, inner[0])), inner
+        main = {way}
+    return {"main": sorted(main), "fixed": template and packed(template)}
 
 
 def _blocks(node: Node, constants: set[int], inside: bool) -> list[list[str]]:
@@ -615,23 +733,27 @@ def _blocks(node: Node, constants: set[int], inside: bool) -> list[list[str]]:
     return out
 
 
-def _groups(page: Node, wanted: frozenset[str], wide: frozenset[str]) -> Iterator[Node]:
-    if "" in wanted:
-        yield page
-        return
-    todo = [(page, "")]
+def _groups(page: Node, ways: list[list[Step]]) -> Iterator[Node]:
+    """The page's groups at the end of some ways, in the order of the page."""
+    todo = [(page, [(way, 0) for way in ways])]
     while todo:
-        node, path = todo.pop()
-        if path in wanted:
+        node, open_ = todo.pop()
+        if any(depth == len(way) for way, depth in open_):
             yield node
             continue
-        todo += [(c, _path(path, c.tag, _name(c.name, path in wide))) for c in reversed(node.children) if c.tag and not c.dropped]
+        below = []
+        for c in node.children:
+            if c.tag and not c.dropped:
+                there = [(way, depth + 1) for way, depth in open_ if _fits(c, way[depth])]
+                if there:
+                    below.append((c, there))
+        todo += reversed(below)
 
 
 def text_of(page: Node, found: dict) -> str:
     constants = _constants(page, _template_read(found["fixed"])) if found["fixed"] else set()
     lines = []
-    for node in _groups(page, frozenset(found["main"]), frozenset(found["wide"])):
+    for node in _groups(page, found["main"]):
         lines += [" ".join(entities.unescape("".join(b)).split()) for b in _blocks(node, constants, inside=node.tag in ARTICLE)]
     return "\n".join(x for x in lines if x)
 
@@ -653,48 +775,60 @@ def host(url: str | None) -> str | None:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """_host, rules (JSON), pattern (the wrapper as an expression), of every host."""
+    """_host, rules (JSON), pattern (the wrapper as an expression), of every host.
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict({"_host": pa.array(held.keys(), pa.string()), "wrapper": pa.array(map(packed, held.values()), pa.string())})
-            held.clear()
-            return out
+    What moves is a row a page with its groups and short texts, by host and the first bits
+    of the page's digest; then a row a part of a host.
+    """
+    schema = "_host string, part int, digest binary, wrapper string"
 
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
+            found = []
             for url, source in zip(values(batch, "url"), values(batch, "html"), strict=True):
                 if source and (name := host(url)):
-                    held[name] = merged(held.get(name), wrapper(parse(source)))
-            if len(held) > HELD:
-                yield flush()
-        if held:
-            yield flush()
+                    digest = hashlib.blake2b(source.encode("utf-8", "replace"), digest_size=16).digest()
+                    found.append((name, int.from_bytes(digest[:2]) % PARTS, digest, packed(wrapper(parse(source)))))
+            if found:
+                kinds = (pa.string(), pa.int32(), pa.binary(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], ["_host", "part", "digest", "wrapper"])
 
     def join(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-        now, held = None, None
+        """Wrappers of one host, or of one part of it, folded in the order of rows; a page that comes again is passed over."""
+        now, held, seen, out = None, None, None, []
 
-        def done() -> pa.RecordBatch:
-            values = {"_host": [now], "wrapper": [packed(held)]} | ({"rules": [json.dumps(rules(held))], "pattern": [as_text(held)]} if last else {})
-            if last:
-                del values["wrapper"]
-            return pa.RecordBatch.from_pydict({k: pa.array(v, pa.string()) for k, v in values.items()})
+        def done() -> list[tuple]:
+            if now is None:
+                return []
+            # A part of one page is that page's row.
+            own = held if isinstance(held, list) else unpacked(held)
+            return [(now[0], json.dumps(rules(own)), as_text(own))] if last else [(*now, seen, held if isinstance(held, str) else packed(held))]
 
-        for batch in slices(batches, 100):
-            for name, w in zip(values(batch, "_host"), values(batch, "wrapper"), strict=True):
-                if name != now:
-                    if now is not None:
-                        yield done()
-                    now, held = name, None
-                held = merged(held, unpacked(w))
-        if now is not None:
-            yield done()
+        def batch_of(found: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.string(),) * 3 if last else (pa.string(), pa.int32(), pa.binary(), pa.string())
+            names = ["_host", "rules", "pattern"] if last else ["_host", "part", "digest", "wrapper"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], names)
 
-    # A hot host's wrappers, one a task, are folded in two steps, one after another, never held together.
-    first = pages.select("url", "html").mapInArrow(fold, "_host string, wrapper string").withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(64)))
-    some = first.repartition("_host", "salt").sortWithinPartitions("_host", "salt", "wrapper").select("_host", "wrapper").mapInArrow(lambda b: join(b, False), "_host string, wrapper string")
-    return some.repartition("_host").sortWithinPartitions("_host", "wrapper").mapInArrow(lambda b: join(b, True), "_host string, rules string, pattern string")
+        for batch in slices(batches, 100):
+            for name, part, digest, w in zip(*(values(batch, c) for c in ("_host", "part", "digest", "wrapper")), strict=True):
+                key = (name,) if last else (name, part)
+                if key != now:
+                    out += done()
+                    now, held, seen = key, w, digest
+                elif digest != seen:
+                    held = align(held if isinstance(held, list) else unpacked(held), unpacked(w))
+                    seen = digest
+            if len(out) > 200:
+                yield batch_of(out)
+                out = []
+        out += done()
+        if out:
+            yield batch_of(out)
+
+    each = pages.select("url", "html").mapInArrow(parsed, schema)
+    some = each.repartition("_host", "part").sortWithinPartitions("_host", "part", "digest").mapInArrow(lambda b: join(b, False), schema)
+    whole = some.repartition("_host").sortWithinPartitions("_host", "part")
+    return whole.mapInArrow(lambda b: join(b, True), "_host string, rules string, pattern string")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -706,7 +840,7 @@ def extract(pages: DataFrame) -> DataFrame:
             out = []
             for source, found in zip(values(batch, "html"), values(batch, "rules"), strict=True):
                 if found is not None and found not in known:
-                    if len(known) > HELD:
+                    if len(known) > 1000:
                         known.clear()
                     known[found] = json.loads(found)
                 out.append(main_text(source, known[found] if found is not None else None))
@@ -714,10 +848,12 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())], ["page_id", "url", "text", "n_chars"]
             )
 
-    hosts = wrappers(pages).select("_host", "rules")
+    hosts = store.land(wrappers(pages).select("_host", "rules"), "rules")
+    size = hosts.agg(F.sum(F.octet_length("rules") + F.octet_length("_host"))).first()[0] or 0
     named = pages.select("page_id", "url", "html", _host().alias("_page_host"))
-    joined = named.join(hosts, F.col("_page_host") == F.col("_host"), "left").select("page_id", "url", "html", "rules")
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    # Pages move only where the rules of all hosts are too many for one task.
+    joined = named.join(F.broadcast(hosts) if size <= SENT else hosts, F.col("_page_host") == F.col("_host"), "left")
+    return joined.select("page_id", "url", "html", "rules").mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def _host():

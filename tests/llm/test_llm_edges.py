@@ -232,15 +232,13 @@ def test_classes_that_only_speak_of_other_parts():
     assert html.main_text(page, None) == "Long text of the article."
 
 
-def test_a_host_of_many_class_names_is_read_by_tags(monkeypatch):
-    monkeypatch.setattr(html, "NODES", 8)
-    pages = [f"<body><div class='c{'abcdefgh'[i]}'><article><p>text {i}</p><div class='ad'>no</div></article></div></body>" for i in range(8)]
+def test_a_host_of_many_class_names_is_read_by_tags():
+    pages = [f"<body><div class='c{'abcdefghijklmnopqrstuvwxyz'[i]}'><article><p>text {i}</p><div class='ad'>no</div></article></div></body>" for i in range(26)]
     whole = None
     for page in pages:
         whole = html.merged(whole, html.wrapper(html.parse(page)))
-    found = html.rules(whole)
-    assert not found["named"] and html._size(whole) < 12
-    assert [html.text_of(html.parse(p), found) for p in pages] == [f"text {i}" for i in range(8)]
+    assert html._size(whole) < 12 and html.as_text(whole).startswith("<#><body>(<div><article><p>#TEXT</p>")
+    assert [html.text_of(html.parse(p), html.rules(whole)) for p in pages] == [f"text {i}" for i in range(26)]
 
 
 @pytest.mark.parametrize("source", ["<" * 100_000, "<a \"" * 30_000, "<div>" * 50_000, "<p>" * 50_000 + "x", "<!--" * 30_000, "<script>" * 20_000, "</p>" * 50_000])
@@ -262,14 +260,17 @@ def test_html_of_any_depth():
     assert html.text_of(html.parse(page), html.rules(whole)) == "deep\nafter" and html.as_text(whole)
 
 
-def test_only_the_group_that_is_too_wide_forgets_classes(monkeypatch):
-    monkeypatch.setattr(html, "NODES", 30)
-    pages = ["<body><div class=side><p>no {0}</p></div><div class=list>".format(i) + "".join(f"<i class='x{i}{'abcdefgh'[k]}'>y</i>" for k in range(8)) + f"</div><div class=post><article><p>text {i}</p></article></div></body>" for i in "abcdef"]
+def test_only_the_group_that_is_too_wide_forgets_classes():
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pages = [f"<body><div class=side><p>no {i}</p></div><div class=list>" + "".join(f"<i class='x{i}{k}'>y</i>" for k in letters[:8]) + f"</div><div class=post><article><p>text {i}</p></article></div></body>" for i in letters]
     whole = None
     for page in pages:
         whole = html.merged(whole, html.wrapper(html.parse(page)))
-    assert [html.text_of(html.parse(p), html.rules(whole)) for p in pages] == [f"text {i}" for i in "abcdef"]
+    assert [html.text_of(html.parse(p), html.rules(whole)) for p in pages] == [f"text {i}" for i in letters]
     assert {w[html.NAME] for w in html._walk(whole) if w[html.TAG] == "div"} == {"side", "list", "post"}
+    assert {w[html.NAME] for w in html._walk(whole) if w[html.TAG] == "i"} == {html.OPEN}
+    found = html.rules(html.unpacked(html.packed(whole)))
+    assert html.main_text("<body><div class=other><article><p>x</p></article></div></body>", found) == "x"
 
 
 def by_host(pages):
