@@ -502,7 +502,7 @@ def oracles() -> dict[str, str]:
     onboarding_profile = _profile("onboarding_raw", _ONBOARDING_COLUMNS, ["habito"])
     habit_agrees = "CAST(CASE WHEN habito = habit_achieved_calculated THEN 1 ELSE 0 END AS INTEGER)"
     activation_agrees = "CAST(CASE WHEN activacion = has_transactions THEN 1 ELSE 0 END AS INTEGER)"
-    return {
+    found = {
         # cleaning
         "filter_prefix": _cleaned("SELECT * FROM t1"),
         "filter_key_format": _raw(
@@ -789,6 +789,19 @@ def oracles() -> dict[str, str]:
             " COUNT(*) AS transactions, COUNT(DISTINCT t.user_id) AS users, TRUE AS estimate_within_bound"
             " FROM tx t JOIN segments s ON t.user_id = s.user_id GROUP BY 1, 2"
         ),
+        # files, sinks and the whole batch
+        # A CSV field without text is NULL, quoted or not.
+        "csv_users": _raw("SELECT user_id, NULLIF(type, '') AS type, NULLIF(rubro, '') AS rubro, address FROM users_raw"),
+        "parsing_impact": _raw(
+            "SELECT line_rows, record_rows,"
+            " ROUND(CAST(line_rows - record_rows AS DOUBLE) / CAST(line_rows AS DOUBLE) * 100, 2) AS reduction_percent"
+            " FROM (SELECT COUNT(*) AS record_rows,"
+            " CAST(SUM(1 + LENGTH(address) - LENGTH(REPLACE(address, CHR(10), ''))) AS BIGINT) AS line_rows FROM users_raw) c"
+        ),
+        "content_check": _measured(
+            "SELECT 'user_segments' AS table_name, COUNT(*) AS rows, CAST(0 AS BIGINT) AS problems FROM segments"
+            f" UNION ALL SELECT 'transaction_summary', COUNT(*), CAST(0 AS BIGINT) FROM ({_DAILY}) d"
+        ),
         # versioned tables
         "versioned_daily": _raw(_DAILY),
         "upserted_daily": _raw(_DAILY),
@@ -797,3 +810,6 @@ def oracles() -> dict[str, str]:
             " AND transaction_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-31'"
         ),
     }
+    found["fallback_segments"] = found["contract_user_segments"]
+    found["batch_monthly_metrics"] = found["contract_monthly_metrics"]
+    return found

@@ -21,8 +21,9 @@ from firstmile.operators import (
     quality,
     sketches,
 )
-from firstmile.plans.publish import publish
-from firstmile.sources import Layout, read_table, versioned_table, versions
+from firstmile.plans import batch
+from firstmile.plans.publish import publish, verify
+from firstmile.sources import Layout, files, keyed_table, read_parquet, read_table, read_text_table, versioned_table, versions
 from firstmile.sources.records import parse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -553,6 +554,61 @@ def active_users_monthly(t):
     )
 
 
+# --- files, sinks and the whole batch ------------------------------------------------
+
+
+def _as_csv(df, path):
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(**kept).csv(path)
+    return path
+
+
+@_query
+def csv_users(t):
+    """The users as CSV with line breaks in quotes, read back by many tasks a file."""
+    path = _as_csv(t.users_raw, t.scratch("users"))
+    return read_text_table(t.spark, path, schemas.RAW_USERS, multiline=True, parallel=True)
+
+
+@_query
+def parsing_impact(t):
+    return files.parsing_impact(t.spark, _as_csv(t.users_raw, t.scratch("users")))
+
+
+@_query
+def fallback_segments(t):
+    """A keyed store that is not there: the table goes to the fallback, and is read from it."""
+    spare = versioned_table(t.scratch("user_segments"), Layout(key="user_id", buckets=2))
+    absent = keyed_table("user_segments", "analytics", format="no.such.connector")
+    publish(activity.user_segments(_daily(t), METRIC_RULES), schemas.USER_SEGMENTS, absent, spare)
+    return read_table(t.spark, spare)
+
+
+@_query
+def content_check(t):
+    """What a check of two published tables finds: rows, and how many things wrong."""
+    found = []
+    for contract, df in (
+        (schemas.USER_SEGMENTS, activity.user_segments(_daily(t), METRIC_RULES)),
+        (schemas.TRANSACTION_SUMMARY, activity.daily_summary(_daily(t))),
+    ):
+        sink = versioned_table(t.scratch(contract.name), Layout(key="user_id", buckets=2))
+        result = publish(df, contract, sink)
+        found.append((contract.name, result.rows, len(verify(t.spark, result, contract, sink))))
+    return t.spark.createDataFrame(found, "table_name string, rows bigint, problems bigint")
+
+
+@_query
+def batch_monthly_metrics(t):
+    """The whole batch on the derived extracts; its monthly table as served."""
+    raw = batch.Extracts(t.users_raw, t.activity_raw.drop("event_id"), t.onboarding_raw.drop("seq"))
+    folder = t.scratch("batch")
+    problems = batch.run(raw, METRIC_RULES, folder).problems
+    if problems:
+        raise ValueError("; ".join(problems))
+    return read_parquet(t.spark, f"{folder}/served/monthly_metrics")
+
+
 # --- versioned tables ----------------------------------------------------------------
 
 
