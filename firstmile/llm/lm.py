@@ -1,23 +1,33 @@
 """Log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
-Words are counted over all training documents, with a combine per task. The
-`CLASSES` most frequent tokens are classes of the model, one more class stands for
-all others. The model predicts the next class: context vectors of the `CONTEXT`
-classes before it, weighted by position, add up to a vector whose product with a
-class vector, plus a bias, is the class's score. A word outside the classes gets
-the probability of the rest class times its own share among those words, so all
-probabilities of one position, one unseen word included, sum to one.
-
-Training: a round sends the model to every task; each goes once through all of
-its training documents in minibatches, against noise drawn from the unigram
-distribution, and returns its parameters; their mean, weighted by tokens, is the
-next model. The means are taken in the executors, block by block, so the driver
-sees one model a round. Scoring takes the normaliser of each distinct context from
-a matrix product over all classes.
-
-What grows with the corpus is never broadcast: words of at least 1/`FREQUENT` of
-all tokens, at most FREQUENT of them and of at most `WORD_BYTES` bytes, travel with
-the tasks; counts of all other words come by a join.
+Words are counted over all training documents, with a combine per task. The `SINGLES`
+most frequent tokens are classes of their own; the next, down to words seen `SEEN` times
+and to `FREQUENT` words in all, fall into at most `GROUPS` classes by their counts; one
+class stands for all others. The probability of a word is that of its class times that
+of the word in its class.
+
+* Class: context vectors of the `CONTEXT` classes before the token, weighted by
+  position, add up to a vector whose product with a class vector, plus a bias, is the
+  class's score.
+* Word in a group: the product of the word's vector with the vector, in this group, of
+  the nearest of the `TRIGGERS` - 1 most frequent words before it in the text, plus a bias.
+* Word outside: its share among the words without a vector.
+
+So all probabilities of one position, one unseen word included, sum to one.
+
+Training of classes: a round sends the model to every task; each goes once through all
+of its training documents in minibatches, against noise drawn from the unigram
+distribution, and returns its parameters; their mean, weighted by tokens, is the next
+model. The first round also counts words of groups by trigger; a group's counts meet in
+one task, which fits the group's vectors by noise-contrastive estimation over all its
+pairs at once, the noise being the group's unigram distribution. Means and counts are
+taken in two steps, the first salted, so the driver sees one model a round. Normalisers
+are exact, from matrix products: over all classes for each distinct context, and over a
+group's words for each trigger.
+
+What grows with the corpus is never broadcast: at most FREQUENT words of at most
+`WORD_BYTES` bytes, with a vector of `GROUP_WIDTH` numbers each, travel with the tasks;
+counts of all other words come by a join.
 
 Tokens: words between ASCII white space in lower-case ASCII, then one end. NULL
 text counts as empty: its end alone. Repeated rows are trained on and returned as
@@ -42,8 +52,10 @@ from firstmile.llm import store
 from firstmile.llm.columns import id_remainder, raw, slices, values
 
 END = b""  # no word is empty
-CLASSES, CONTEXT, WIDTH = 1024, 2, 32
-FREQUENT, WORD_BYTES = 524_288, 64
+SINGLES, GROUPS, CONTEXT, WIDTH = 767, 256, 2, 32
+FREQUENT, SEEN, WORD_BYTES = 262_144, 3, 64
+TRIGGERS, GROUP_WIDTH, STEPS, GROUP_RATE, PRIOR = 128, 16, 20, 0.5, 4.0
+SALTS, PAIRS = 16, 4_000_000
 NOISE, SHARED, BATCH, HEAVIEST, RATE, ROUNDS = 16, 64, 512, 8, 0.1, 2
 DISTINCT = 300_000  # words that a task counts before it hands them on
 
@@ -188,60 +200,197 @@ class _OrRest(dict):
 
 
 class Classes:
-    """Class numbers of words; the last class is the rest."""
-
-    def __init__(self, named: list[bytes]):
-        self.of = _OrRest((w, i) for i, w in enumerate(named))
-        self.rest = self.of.rest = len(named)
+    """Numbers of frequent words by falling count, and their classes; the last number, and the last class, are the rest."""
+
+    def __init__(self, frequent: list[bytes]):
+        self.of = _OrRest((w, i) for i, w in enumerate(frequent))
+        self.none = self.of.rest = len(frequent)
+        self.singles = min(SINGLES, len(frequent))
+        grouped = len(frequent) - self.singles
+        self.groups = min(GROUPS, grouped)
+        group = np.arange(grouped) * self.groups // max(1, grouped)
+        #: Where each group's words start and end, counted from the first word in a group.
+        self.borders = np.searchsorted(group, np.arange(self.groups + 1))
+        self.rest = self.singles + self.groups
         self.pad = self.rest + 1
+        self.class_of = np.concatenate([np.arange(self.singles), self.singles + group, [self.rest]]).astype(np.int64)
 
-    def ids(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Classes of all tokens end to end, each token's text start, the words of each text with its end."""
+    def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+        """Numbers of all tokens end to end, each token's text start, the words of each text with its end."""
         tokens = [[*words(t), END] for t in texts]
         sizes = np.array([len(t) for t in tokens], np.int64)
         ids = np.fromiter(map(self.of.__getitem__, chain.from_iterable(tokens)), np.int64, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         return ids, np.repeat(starts, sizes), tokens
 
-
-def _train_round(docs: DataFrame, named: list[bytes], noise: np.ndarray, model: Model, round_: int) -> Model:
-    """One pass of every task over its documents, and the mean of what they return."""
+    def grouped(self, numbers: np.ndarray, classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens that are in a group: their places, their words counted from the first in a group, and their triggers."""
+        at = np.flatnonzero((classes >= self.singles) & (classes < self.rest))
+        place = np.where(classes < min(TRIGGERS - 1, self.singles), np.arange(len(classes)), -1)
+        last = np.concatenate(([-1], np.maximum.accumulate(place)))[at]
+        trigger = np.where(last >= first[at], classes[last], TRIGGERS - 1)
+        return at, numbers[at] - self.singles, trigger
+
+
+class Pairs:
+    """Counts of (word in a group, trigger), kept as sorted codes."""
+
+    def __init__(self) -> None:
+        self.codes, self.counts, self.held = [], [], 0
+
+    def add(self, word: np.ndarray, trigger: np.ndarray) -> None:
+        codes, counts = np.unique(word * TRIGGERS + trigger, return_counts=True)
+        self.codes.append(codes)
+        self.counts.append(counts)
+        self.held += len(codes)
+        if self.held > PAIRS:
+            self.summed()
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        codes, where = np.unique(np.concatenate([*self.codes, np.empty(0, np.int64)]), return_inverse=True)
+        counts = np.bincount(where, np.concatenate([*self.counts, np.empty(0, np.int64)]), len(codes)).astype(np.int64)
+        self.codes, self.counts, self.held = [codes], [counts], 0
+        return codes, counts
+
+
+#: A row is a parameter block of the class model (0 to 3), or the pairs of a group (GROUP + its number).
+GROUP = 16
+ROW = "block int, weight double, data binary"
+
+
+def _row(block: int, weight: float, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "weight": pa.array([weight], pa.float64()), "data": pa.array([data], pa.binary())})
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one block, which come together, as one: weighted sums of parameters, sums of pairs."""
+    now, total, weight, pairs = None, None, 0.0, Pairs()
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if now is not None:
+            yield _row(now, weight, total.tobytes() if now < GROUP else np.stack(pairs.summed()).astype("<i8").tobytes())
+
+    for batch in batches:
+        for block, w, data in zip(*(values(batch, c) for c in ("block", "weight", "data")), strict=True):
+            if block != now:
+                yield from done()
+                now, total, weight, pairs = block, None, 0.0, Pairs()
+            if block < GROUP:
+                part = np.frombuffer(data, "<f8")
+                total = part if total is None else total + part
+            else:
+                codes, counts = np.frombuffer(data, "<i8").reshape(2, -1)
+                pairs.codes.append(codes)
+                pairs.counts.append(counts)
+                pairs.held += len(codes)
+                if pairs.held > PAIRS:
+                    pairs.summed()
+            weight += w
+    yield from done()
+
+
+def _train_round(docs: DataFrame, frequent: list[bytes], noise: np.ndarray, model: Model, round_: int) -> tuple[Model, DataFrame]:
+    """One pass of every task over its documents: the mean of what they return, and, of the first round, pairs by group."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((named, noise, model.parts()))
+    sent = spark.sparkContext.broadcast((frequent, noise, model.parts()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        named, noise, parts = sent.value
-        classes = Classes(named)
-        model = Model(*(p.copy() for p in parts))
-        trainer, seen = Trainer(model, noise, 1000 + round_), 0
+        frequent, noise, parts = sent.value
+        classes = Classes(frequent)
+        trainer, seen, pairs = Trainer(Model(*(p.copy() for p in parts)), noise, 1000 + round_), 0, Pairs()
         for batch in slices(batches, 500):
-            ids, first, _ = classes.ids(raw(batch, "text"))
+            numbers, first, _ = classes.numbers(raw(batch, "text"))
+            ids = classes.class_of[numbers]
             trainer.pass_over(contexts(ids, first, classes.pad), ids)
             seen += len(ids)
+            if round_ == 0 and classes.groups:
+                pairs.add(*classes.grouped(numbers, ids, first)[1:])
         if seen:
-            for block, part in enumerate(model.parts()):
-                yield pa.RecordBatch.from_pydict(
-                    {"block": pa.array([block], pa.int32()), "weight": pa.array([float(seen)]), "data": pa.array([part.astype("<f4").tobytes()], pa.binary())}
-                )
-
-    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        weights: Counter = Counter()
-        for batch in batches:
-            for block, weight, data in zip(*(values(batch, c) for c in ("block", "weight", "data")), strict=True):
-                part = np.frombuffer(data, "<f4").astype(np.float64) * weight
-                sums[block] = sums[block] + part if block in sums else part
-                weights[block] += weight
-        if sums:
-            yield pa.RecordBatch.from_pydict(
-                {"block": pa.array(sums.keys(), pa.int32()), "data": pa.array([(sums[b] / weights[b]).astype("<f4").tobytes() for b in sums], pa.binary())}
-            )
-
-    trained = docs.select("text").mapInArrow(run, "block int, weight double, data binary")
-    rows = trained.repartition(4, "block").mapInArrow(mean, "block int, data binary").collect()
+            for block, part in enumerate(trainer.model.parts()):
+                yield _row(block, float(seen), (part.astype("<f8") * seen).tobytes())
+            codes, counts = pairs.summed()
+            ends = np.searchsorted(codes, classes.borders * TRIGGERS)
+            for g, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                if a < b:
+                    yield _row(GROUP + g, 0.0, np.stack([codes[a:b] - classes.borders[g] * TRIGGERS, counts[a:b]]).astype("<i8").tobytes())
+
+    trained = docs.select("text").mapInArrow(run, ROW).withColumn("salt", F.pmod(F.xxhash64("data"), F.lit(SALTS)))
+    some = trained.repartition("block", "salt").sortWithinPartitions("block", "salt").select("block", "weight", "data")
+    summed = store.land(some.mapInArrow(_added, ROW), "round")
+    parts = summed.where(F.col("block") < GROUP)
+    rows = parts.repartition("block").sortWithinPartitions("block").mapInArrow(_added, ROW).collect()
     sent.unpersist()
-    found = {r["block"]: np.frombuffer(bytes(r["data"]), "<f4") for r in rows}
-    return Model(*(found[i].reshape(p.shape).copy() if i in found else p for i, p in enumerate(model.parts())))
+    found = {r["block"]: np.frombuffer(bytes(r["data"]), "<f8") / r["weight"] for r in rows}
+    mean = (found[i].reshape(p.shape).astype(np.float32) if i in found else p for i, p in enumerate(model.parts()))
+    return Model(*mean), summed.where(F.col("block") >= GROUP)
+
+
+class Group:
+    """Vectors of a group's words and of the triggers, biases, and the logarithms of the normalisers by trigger."""
+
+    def __init__(self, counts: np.ndarray):
+        self.words = np.zeros((len(counts), GROUP_WIDTH), np.float32)
+        self.triggers = np.zeros((TRIGGERS, GROUP_WIDTH), np.float32)
+        share = (counts + 1.0) / (counts + 1.0).sum()
+        self.bias = np.log(share).astype(np.float32)
+        self.normalise()
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.words, self.triggers, self.bias, self.norm]
+
+    def scores(self) -> np.ndarray:
+        return self.words @ self.triggers.T + self.bias[:, None]
+
+    def normalise(self) -> None:
+        scores = self.scores()
+        top = scores.max(axis=0)
+        self.norm = (top + np.log(np.exp(scores - top).sum(axis=0))).astype(np.float32)
+
+    def learn(self, pairs: np.ndarray) -> None:
+        """Noise-contrastive estimation over all pairs (words by triggers), with a prior that keeps rare words' vectors small."""
+        draw = np.random.default_rng(len(pairs))
+        self.words = draw.normal(0, 0.1, self.words.shape).astype(np.float32)
+        self.triggers = draw.normal(0, 0.1, self.triggers.shape).astype(np.float32)
+        share = np.exp(self.bias)
+        pairs = pairs.astype(np.float32)
+        expected = NOISE * share[:, None] * pairs.sum(axis=0)[None]
+        log_noise = np.log(NOISE * share)[:, None].astype(np.float32)
+        squares = [np.full_like(x, 1e-6) for x in (self.words, self.triggers, self.bias)]
+        for _ in range(STEPS):
+            odds = 1 / (1 + np.exp(log_noise - self.scores()))
+            gradient = (expected + pairs) * odds - pairs
+            steps = gradient @ self.triggers + PRIOR * self.words, gradient.T @ self.words + PRIOR * self.triggers, gradient.sum(axis=1)
+            for value, square, step in zip((self.words, self.triggers, self.bias), squares, steps, strict=True):
+                square += step * step
+                value -= GROUP_RATE * step / np.sqrt(square)
+        self.normalise()
+
+
+def _fit_groups(pairs: DataFrame, frequent: dict[bytes, int]) -> list[Group]:
+    """Every group, fitted on its pairs where there are any."""
+    classes, counts = Classes(list(frequent)), np.array([*frequent.values()], np.float64)
+    counts = counts[classes.singles :]
+    borders = classes.borders
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _added(batches):
+            g = values(batch, "block")[0] - GROUP
+            own = Group(counts[borders[g] : borders[g + 1]])
+            matrix = np.zeros(len(own.words) * TRIGGERS, np.int64)
+            codes, found = np.frombuffer(values(batch, "data")[0], "<i8").reshape(2, -1)
+            matrix[codes] = found
+            own.learn(matrix.reshape(-1, TRIGGERS))
+            yield _row(g, 0.0, b"".join(p.astype("<f4").tobytes() for p in own.parts()))
+
+    groups = [Group(counts[a:b]) for a, b in zip(borders, borders[1:], strict=False)]
+    for row in pairs.repartition(GROUPS // 4, "block").sortWithinPartitions("block").mapInArrow(run, ROW).collect() if groups else []:
+        own, data, at = groups[row["block"]], np.frombuffer(bytes(row["data"]), "<f4"), 0
+        made = []
+        for part in own.parts():
+            made.append(data[at : at + part.size].reshape(part.shape))
+            at += part.size
+        own.words, own.triggers, own.bias, own.norm = made
+    return groups
 
 
 @dataclass
@@ -249,10 +398,26 @@ class Fitted:
     vocabulary: DataFrame
     tokens: int
     distinct: int
-    named: list[bytes]
     frequent: dict[bytes, int]
     rest_mass: float
     model: Model
+    groups: list[Group]
+
+
+def _frequent(vocabulary: DataFrame) -> dict[bytes, int]:
+    """The words that get a number: seen SEEN times, FREQUENT of them at most, by falling count."""
+    short = vocabulary.where((F.col("c") >= SEEN) & (F.length("word") <= WORD_BYTES))
+    # How many words there are for each count, from the top; a count has few digits' worth of values.
+    step = F.when(F.col("c") < 1000, F.col("c")).otherwise(F.floor(F.log10("c") * 1000) + 1_000_000)
+    sizes = short.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda r: -r["least"]):
+        held += row["n"]
+        if held > FREQUENT:
+            break
+        least = row["least"]
+    found = {bytes(r["word"]): r["c"] for r in short.where(F.col("c") >= least).collect()} if least else {}
+    return dict(sorted(found.items(), key=lambda wc: (-wc[1], wc[0])))
 
 
 def fit(train: DataFrame, rounds: int = ROUNDS) -> Fitted:
@@ -260,19 +425,37 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> Fitted:
     vocabulary = store.land(count(train), "vocabulary")
     row = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = row["n"], row["v"]
-    often = vocabulary.where((F.col("c") * FREQUENT >= tokens) & (F.length("word") <= WORD_BYTES))
-    frequent = {bytes(r["word"]): r["c"] for r in often.collect()} if tokens else {}
-    frequent = dict(sorted(frequent.items(), key=lambda wc: (-wc[1], wc[0])))
-    named = list(frequent)[:CLASSES]
-    counted = sum(frequent[w] for w in named)
+    frequent = _frequent(vocabulary)
+    classes, counts = Classes(list(frequent)), np.array([*frequent.values()], np.float64)
+    counted = int(counts.sum())
     # The rest class holds the other seen words, each with one count added, and one unseen word.
-    rest_mass = float(tokens - counted + distinct - len(named) + 1)
-    shares = np.array([*(frequent[w] for w in named), tokens - counted], np.float64)
+    rest_mass = float(tokens - counted + distinct - len(frequent) + 1)
+    shares = np.bincount(classes.class_of, np.append(counts, tokens - counted), classes.rest + 1)
     model = initial(shares)
     noise = ((shares + 1) / (shares + 1).sum()).astype(np.float64)
+    pairs = None
     for i in range(rounds if tokens else 0):
-        model = _train_round(train, named, noise, model, i)
-    return Fitted(vocabulary, tokens, distinct, named, frequent, rest_mass, model)
+        model, found = _train_round(train, list(frequent), noise, model, i)
+        pairs = pairs or found
+    groups = _fit_groups(pairs, frequent) if pairs is not None else [Group(counts[classes.singles :][a:b]) for a, b in zip(classes.borders, classes.borders[1:], strict=False)]
+    return Fitted(vocabulary, tokens, distinct, frequent, rest_mass, model, groups)
+
+
+class GroupScorer:
+    """log10 probabilities of words in their group, by trigger."""
+
+    def __init__(self, classes: Classes, groups: list[list[np.ndarray]]):
+        parts = [np.concatenate(p) for p in zip(*groups, strict=True)] if groups else [np.zeros((0, GROUP_WIDTH), np.float32)] * 2 + [np.zeros(0, np.float32)] * 2
+        self.words, self.triggers, self.bias, self.norm = parts
+        self.group = classes.class_of[classes.singles : classes.none] - classes.singles
+
+    def __call__(self, word: np.ndarray, trigger: np.ndarray) -> np.ndarray:
+        out = np.empty(len(word), np.float64)
+        for at in range(0, len(word), 16384):
+            w = word[at : at + 16384]
+            context = self.group[w] * TRIGGERS + trigger[at : at + 16384]
+            out[at : at + 16384] = np.einsum("nd,nd->n", self.words[w], self.triggers[context]) + self.bias[w] - self.norm[context]
+        return out / np.log(10)
 
 
 class Scorer:
@@ -307,23 +490,25 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_frequent long, log_fre
 def score(docs: DataFrame, fitted: Fitted, held_out: Column) -> DataFrame:
     """One row a document: tokens, known tokens, log10 probability under the unigram base and under the model."""
     spark = docs.sparkSession
-    # Frequent words by falling count: the first of them are the model's classes.
+    # Frequent words by falling count.
     counts = np.array([*fitted.frequent.values()], np.float64)
-    sent = spark.sparkContext.broadcast((list(fitted.frequent), counts, len(fitted.named), fitted.model.parts()))
+    sent = spark.sparkContext.broadcast((list(fitted.frequent), counts, fitted.model.parts(), [g.parts() for g in fitted.groups]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, counts, n_named, parts = sent.value
-        numbers, scorer, none = Classes(frequent), Scorer(Model(*parts)), len(frequent)
+        frequent, counts, parts, groups = sent.value
+        classes, scorer = Classes(frequent), Scorer(Model(*parts))
+        in_group = GroupScorer(classes, groups)
         logs = np.append(np.log10(counts + 1), 0.0)
-        # What words outside the classes add to the base, they add to the model's score as well.
-        beyond = np.where(np.arange(none + 1) < n_named, 0.0, logs)
         for batch in slices(batches, 200):
-            found, first, tokens = numbers.ids(raw(batch, "text"))
-            ids = np.minimum(found, n_named)
+            found, first, tokens = classes.numbers(raw(batch, "text"))
+            ids = classes.class_of[found]
+            scores = scorer(contexts(ids, first, classes.pad), ids)
+            at, word, trigger = classes.grouped(found, ids, first)
+            scores[at] += in_group(word, trigger)
             sizes = np.array([len(t) for t in tokens], np.int64)
             starts = np.cumsum(sizes) - sizes
             rare, rare_tf, ends = [], [], [0]
-            lacking = found == none
+            lacking = found == classes.none
             at = np.cumsum(lacking)
             flat = list(compress(chain.from_iterable(tokens), lacking.tolist()))
             for low, high in zip((at[starts] - lacking[starts]).tolist(), at[starts + sizes - 1].tolist(), strict=True):
@@ -339,8 +524,8 @@ def score(docs: DataFrame, fitted: Fitted, held_out: Column) -> DataFrame:
                     "n_tokens": pa.array(sizes),
                     "n_frequent": pa.array(sizes - np.add.reduceat(lacking.astype(np.int64), starts)),
                     "log_frequent": pa.array(np.add.reduceat(logs[found], starts)),
-                    "log_class": pa.array(np.add.reduceat(scorer(contexts(ids, first, n_named + 1), ids) + beyond[found], starts)),
-                    "n_rest": pa.array(np.add.reduceat((ids == n_named).astype(np.int64), starts)),
+                    "log_class": pa.array(np.add.reduceat(scores, starts)),
+                    "n_rest": pa.array(np.add.reduceat(lacking.astype(np.int64), starts)),
                     "rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                 }
             )

@@ -66,14 +66,69 @@ def test_lm_base_and_gain(spark, docs):
 def test_lm_probabilities_sum_to_one(spark, docs):
     train = spark.createDataFrame([(i, r["text"]) for i, r in docs.items()], "doc_id long, text string").limit(60)
     fitted = lm.fit(train, rounds=1)
-    k = len(fitted.named)
-    before = np.array([[k + 1, k + 1], [0, k + 1], [k, 3], [5, k]])
+    classes = lm.Classes(list(fitted.frequent))
+    assert classes.singles == lm.SINGLES and classes.groups == lm.GROUPS
+    k, pad = classes.rest, classes.pad
+    before = np.array([[pad, pad], [0, pad], [k, 3], [5, k]])
     scorer = lm.Scorer(fitted.model)
     total = sum(10 ** scorer(before, np.full(4, c)) for c in range(k + 1))
     assert total == pytest.approx(np.ones(4), abs=1e-4)
+    # A group shares itself out over its words, whatever the trigger.
+    in_group = lm.GroupScorer(classes, [g.parts() for g in fitted.groups])
+    for g, trigger in ((0, 3), (7, lm.TRIGGERS - 1), (lm.GROUPS - 1, 0)):
+        words = np.arange(classes.borders[g], classes.borders[g + 1])
+        assert len(words) and (10 ** in_group(words, np.full(len(words), trigger))).sum() == pytest.approx(1, abs=1e-4)
     # The rest class shares itself out over its words and one unseen word.
-    rest = fitted.vocabulary.where(~fitted.vocabulary["word"].isin([bytearray(w) for w in fitted.named])).collect()
+    rest = fitted.vocabulary.where(~fitted.vocabulary["word"].isin([bytearray(w) for w in fitted.frequent])).collect()
     assert sum(r["c"] + 1 for r in rest) + 1 == fitted.rest_mass
+    assert all(r["c"] < lm.SEEN or len(r["word"]) > lm.WORD_BYTES for r in rest)
+
+
+def test_lm_classes_and_triggers():
+    frequent = [b"", *(f"w{i}".encode() for i in range(1, 2000))]
+    classes = lm.Classes(frequent)
+    assert classes.class_of[0] == 0 and classes.class_of[-1] == classes.rest and len(classes.class_of) == 2001
+    sizes = np.bincount(classes.class_of)[classes.singles : classes.rest]
+    assert sizes.sum() == 2000 - lm.SINGLES and sizes.max() - sizes.min() <= 1 and (np.diff(classes.borders) == sizes).all()
+    texts = [b"w900 w3 x w901 w200 w1999", b"w1500", None, b"w5 w900 unseen"]
+    numbers, first, _ = classes.numbers(texts)
+    at, word, trigger = classes.grouped(numbers, classes.class_of[numbers], first)
+    none = lm.TRIGGERS - 1
+    assert [(int(w) + lm.SINGLES, int(t)) for w, t in zip(word, trigger)] == [(900, none), (901, 3), (1999, 3), (1500, none), (900, 5)]
+    assert numbers[at].tolist() == [900, 901, 1999, 1500, 900]
+    few = lm.Classes([b"", b"a"])
+    assert (few.singles, few.groups, few.rest) == (2, 0, 2) and lm.GroupScorer(few, [])(np.array([], int), np.array([], int)).size == 0
+
+
+def test_lm_groups_learn_which_words_follow_a_trigger():
+    draw = np.random.default_rng(4)
+    likes = draw.integers(0, 4, 200)
+    pairs = draw.poisson(np.where(likes[:, None] == np.arange(lm.TRIGGERS)[None] % 4, 3.0, 0.1))
+    group = lm.Group(pairs.sum(axis=1).astype(float))
+    plain = -group.norm
+    before = (pairs * (group.scores() + plain)).sum() / pairs.sum()
+    group.learn(pairs)
+    after = (pairs * (group.scores() - group.norm)).sum() / pairs.sum()
+    assert np.exp(group.scores() - group.norm).sum(axis=0) == pytest.approx(np.ones(lm.TRIGGERS), abs=1e-3)
+    assert after - before > 0.8  # of log(4) = 1.39 at most
+
+
+def test_lm_words_with_vectors(spark, docs):
+    """All but few tokens have a vector; more of them than FREQUENT are cut by their counts."""
+    train = spark.createDataFrame([(i, r["text"]) for i, r in docs.items()], "doc_id long, text string")
+    vocabulary = lm.count(train).cache()
+    counts = {bytes(r["word"]): r["c"] for r in vocabulary.collect()}
+    found = lm._frequent(vocabulary)
+    assert found == {w: c for w, c in counts.items() if c >= lm.SEEN and len(w) <= lm.WORD_BYTES}
+    assert list(found.values()) == sorted(found.values(), reverse=True)
+
+
+def test_lm_words_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 5)
+    rows = [(w.encode(), c) for w, c in (("a", 90_000), ("b", 5000), ("c", 40), ("d", 40), ("e", 7), ("f", 7), ("g", 3), ("h", 2))]
+    found = lm._frequent(spark.createDataFrame(rows, "word binary, c long"))
+    assert found == {b"a": 90_000, b"b": 5000, b"c": 40, b"d": 40}
+    assert lm._frequent(spark.createDataFrame(rows[-1:], "word binary, c long")) == {}
 
 
 def test_language_is_found_in_held_out_texts(spark, docs):
