@@ -43,6 +43,8 @@ BLOCK_BYTES = 4 << 20
 PORTION = 14 << 20
 #: Punctuation that never starts or continues a contraction.
 TAIL = ".,;:!?#*$%&"
+#: Words whose ids an encoder keeps from one portion to the next, and the bytes of their ids.
+KNOWN, KNOWN_BYTES = 600_000, 32 << 20
 LEVEL = 3
 END = 0
 #: Documents of one range; a range is one task and at least one block.
@@ -76,6 +78,25 @@ class Encoder:
         for opener, letter in ((" ", "\u0120"), ("\n", "\u010a")):
             self.opens[opener] = np.zeros(max(names.values(), default=0) + 1, bool)
             self.opens[opener][[i for name, i in names.items() if name.startswith(letter)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.known_ids, self.known_sizes = pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64)
+
+    def _encode_known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As _encode_words after a space; words of earlier portions are looked up."""
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(pc.is_null(at))
+        ids, sizes = self._encode_words(new, " ")
+        place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, new])
+        self.known_ids, self.known_sizes = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_sizes, sizes])
+        found, _ = _gather(self.known_ids, np.cumsum(self.known_sizes) - self.known_sizes, self.known_sizes, place)
+        sizes = self.known_sizes[place]
+        if len(self.known) > KNOWN or self.known_ids.nbytes > KNOWN_BYTES:
+            self._forget()
+        return found, sizes
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and each one's number of ids."""
@@ -110,10 +131,12 @@ class Encoder:
         stems = pc.if_else(apart, stems, words)
         # Tails are of one byte a character, so their length tells where they start.
         tailed = pc.binary_length(words).to_numpy() - pc.binary_length(stems).to_numpy()
-        tails = np.full(len(words), "", object)
-        for i in np.flatnonzero(tailed).tolist():
-            tails[i] = words[i].as_py()[-tailed[i] :]
-        stem, tail = stems.dictionary_encode(), pa.array(tails, pa.string()).dictionary_encode()
+        _, ends, text = words.buffers()
+        ends = np.frombuffer(ends, np.int32)[words.offset + 1 : words.offset + len(words) + 1].astype(np.int64)
+        some, upto = _gather(np.frombuffer(text or b"", np.uint8), ends - tailed, tailed.astype(np.int64), np.arange(len(words)))
+        places = np.concatenate(([0], upto)).astype(np.int32)
+        tails = pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(places), pa.py_buffer(some.tobytes())])
+        stem, tail = stems.dictionary_encode(), tails.dictionary_encode()
         # Words of letters after a space, such words after a line break, other stems, and tails, in this order.
         all_stems = stem.dictionary
         broken = pc.starts_with(all_stems, "\n")
@@ -121,7 +144,7 @@ class Encoder:
         letters = pc.utf8_is_alpha(bare)
         kind = np.where(letters, np.where(broken, 1, 0), 2)
         parts = [
-            self._encode_words(bare.filter(pa.array(kind == 0)), " "),
+            self._encode_known(bare.filter(pa.array(kind == 0))),
             self._encode_words(bare.filter(pa.array(kind == 1)), "\n"),
             self._encode([w if w.startswith("\n") else " " + w for w in all_stems.filter(pa.array(kind == 2)).to_pylist()]),
             self._encode(tail.dictionary.to_pylist()),
