@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from firstmile.llm.columns import portions, values
 
-CACHE = 300_000
+CACHE = 600_000
 #: Bytes of text whose distinct words a task holds at a time.
 PORTION = 8 << 20
 #: The same where the ids themselves come out.
