@@ -6,9 +6,9 @@ and to `FREQUENT` words in all, fall into at most `GROUPS` classes by their coun
 class stands for all others. The probability of a word is that of its class times that
 of the word in its class.
 
-* Class: context vectors of the `CONTEXT` classes before the token, weighted by
-  position, add up to a vector whose product with a class vector, plus a bias, is the
-  class's score.
+* Class: context vectors of the `CONTEXT` words before the token, weighted by position,
+  add up to a vector whose product with a class vector, plus a bias, is the class's
+  score. Words that are no class of their own are one context.
 * Word in a group: the product of the word's vector with the vector, in this group, of
   the nearest of the `TRIGGERS` - 1 most frequent words before it in the text, plus a bias.
 * Word outside: its share among the words without a vector.
@@ -56,7 +56,7 @@ SINGLES, GROUPS, CONTEXT, WIDTH = 767, 256, 2, 32
 FREQUENT, SEEN, WORD_BYTES = 262_144, 3, 64
 TRIGGERS, GROUP_WIDTH, STEPS, GROUP_RATE, PRIOR = 128, 16, 20, 0.5, 4.0
 SALTS, PAIRS = 16, 4_000_000
-NOISE, SHARED, BATCH, HEAVIEST, RATE, ROUNDS = 16, 64, 512, 8, 0.1, 2
+NOISE, SHARED, BATCH, HEAVIEST, RATE, ROUNDS = 16, 64, 512, 8, 0.1, 1
 DISTINCT = 300_000  # words that a task counts before it hands them on
 
 
@@ -108,12 +108,12 @@ class Model:
         return sum(self.context[before[:, i]] * self.position[i] for i in range(before.shape[1]))
 
 
-def initial(counts: np.ndarray, seed: int = 7) -> Model:
+def initial(counts: np.ndarray, contexts: int, seed: int = 7) -> Model:
     """Small random vectors; biases are unigram log probabilities, so the start is the unigram model."""
     draw, k = np.random.default_rng(seed), len(counts)
     small = lambda n: draw.normal(0, 0.1, (n, WIDTH)).astype(np.float32)
     share = (counts + 1.0) / (counts + 1.0).sum()
-    return Model(small(k + 1), small(k), np.log(share).astype(np.float32), np.ones((CONTEXT, WIDTH), np.float32))
+    return Model(small(contexts), small(k), np.log(share).astype(np.float32), np.ones((CONTEXT, WIDTH), np.float32))
 
 
 def _summed(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +212,8 @@ class Classes:
         #: Where each group's words start and end, counted from the first word in a group.
         self.borders = np.searchsorted(group, np.arange(self.groups + 1))
         self.rest = self.singles + self.groups
-        self.pad = self.rest + 1
+        #: As contexts, all words but single ones are one, and one more stands before a text.
+        self.other, self.pad = self.singles, self.singles + 1
         self.class_of = np.concatenate([np.arange(self.singles), self.singles + group, [self.rest]]).astype(np.int64)
 
     def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -301,7 +302,7 @@ def _train_round(docs: DataFrame, frequent: list[bytes], noise: np.ndarray, mode
         for batch in slices(batches, 500):
             numbers, first, _ = classes.numbers(raw(batch, "text"))
             ids = classes.class_of[numbers]
-            trainer.pass_over(contexts(ids, first, classes.pad), ids)
+            trainer.pass_over(contexts(np.minimum(ids, classes.other), first, classes.pad), ids)
             seen += len(ids)
             if round_ == 0 and classes.groups:
                 pairs.add(*classes.grouped(numbers, ids, first)[1:])
@@ -431,7 +432,7 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> Fitted:
     # The rest class holds the other seen words, each with one count added, and one unseen word.
     rest_mass = float(tokens - counted + distinct - len(frequent) + 1)
     shares = np.bincount(classes.class_of, np.append(counts, tokens - counted), classes.rest + 1)
-    model = initial(shares)
+    model = initial(shares, classes.pad + 1)
     noise = ((shares + 1) / (shares + 1).sum()).astype(np.float64)
     pairs = None
     for i in range(rounds if tokens else 0):
@@ -502,7 +503,7 @@ def score(docs: DataFrame, fitted: Fitted, held_out: Column) -> DataFrame:
         for batch in slices(batches, 200):
             found, first, tokens = classes.numbers(raw(batch, "text"))
             ids = classes.class_of[found]
-            scores = scorer(contexts(ids, first, classes.pad), ids)
+            scores = scorer(contexts(np.minimum(ids, classes.other), first, classes.pad), ids)
             at, word, trigger = classes.grouped(found, ids, first)
             scores[at] += in_group(word, trigger)
             sizes = np.array([len(t) for t in tokens], np.int64)

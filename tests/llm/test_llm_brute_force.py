@@ -68,8 +68,8 @@ def test_lm_probabilities_sum_to_one(spark, docs):
     fitted = lm.fit(train, rounds=1)
     classes = lm.Classes(list(fitted.frequent))
     assert classes.singles == lm.SINGLES and classes.groups == lm.GROUPS
-    k, pad = classes.rest, classes.pad
-    before = np.array([[pad, pad], [0, pad], [k, 3], [5, k]])
+    k, other, pad = classes.rest, classes.other, classes.pad
+    before = np.array([[pad, pad], [0, pad], [other, 3], [5, other]])
     scorer = lm.Scorer(fitted.model)
     total = sum(10 ** scorer(before, np.full(4, c)) for c in range(k + 1))
     assert total == pytest.approx(np.ones(4), abs=1e-4)
