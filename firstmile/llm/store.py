@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,3 +39,18 @@ def drop(df: DataFrame) -> None:
         if "/llm/" in folder:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
+
+
+def clear(spark: SparkSession, hours: float = 24.0) -> int:
+    """Delete landed tables in which nothing has changed for some hours; how many.
+
+    A query's result reads its landed tables until it is written, so give more hours than
+    the longest job takes. Runs that are still at work keep theirs.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/llm")
+    fs = top.getFileSystem(conf)
+    old = [f.getPath() for f in (fs.listStatus(top) if fs.exists(top) else []) if f.getModificationTime() / 1000 <= time.time() - hours * 3600]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
